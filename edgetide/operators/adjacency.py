@@ -8,8 +8,8 @@ ever carries a hub whole.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgetide.operators.links import count_edges, with_copies
 from edgetide.operators.skew import fits_broadcast, hot_keys, join_unique
+from edgetide.operators.stats import count_edges, with_copies
 from edgetide.storage import checkpoint
 
 ENTRIES_PER_LIST = 100_000
@@ -20,7 +20,7 @@ def _cut(counted: DataFrame, long: DataFrame, key: str, other: str, limit: int)
     if fits_broadcast(long, key):
         sized = counted.join(F.broadcast(long), key, "left")
     else:
-        sized = join_unique(counted, long, key, hot_keys(long, key, "size", limit), "left")
+        sized = join_unique(counted, long, key, hot_keys(long, [key], "size", limit), "left")
     cut = F.lit(limit)
     blocks = F.expr(f"sequence(0L, (copies - 1) div {int(limit)})")
     parts = F.ceil(F.coalesce("size", F.lit(1)) / cut)

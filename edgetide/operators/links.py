@@ -1,48 +1,90 @@
 """Counted edges, and their layout for repeated joins with a rank table."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgetide.operators.keys import Keys, shortest_keys
 from edgetide.operators.skew import ROWS_PER_SLICE, hot_keys, repeat_per_slice, slice_rows
+from edgetide.operators.stats import nodes, with_copies
 from edgetide.storage import drop_scratch, store
 
+# Bounds on the distinct edges per partition; in between, the session's setting decides.
+FEW_ROWS = 50_000
+MANY_ROWS = 20_000_000
 
-def with_copies(edges: DataFrame) -> DataFrame:
-    """Edges with a ``copies`` column; a plain edge row stands for one link."""
-    if "copies" in edges.columns:
-        return edges.select("src", "dst", "copies")
-    return edges.select("src", "dst", F.lit(1).cast("bigint").alias("copies"))
 
+@contextmanager
+def fixed_layout(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Plans run inside shuffle into ``partitions`` and are not changed while they run.
 
-def count_edges(edges: DataFrame) -> DataFrame:
-    """One row per distinct edge with its number of copies; combined before the shuffle."""
-    return with_copies(edges).groupBy("src", "dst").agg(F.sum("copies").alias("copies"))
+    The rounds rely on the edges' partitioning: a rank table that is coalesced, or whose
+    partitioning is hidden behind an adaptive plan, would have to be shuffled again.
+    """
+    ours = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in ours}
+    for name, value in ours.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 @dataclass(frozen=True)
 class Links:
     """A graph laid out for the rounds.
 
-    ``edges``   distinct edges (src, slice, dst, weight), hash-partitioned and sorted by
-                (src, slice) and cached; ``weight`` is the edge's part of its source's rank.
+    ``edges``   distinct edges (src*, slice, dst*, weight), hash-partitioned and sorted by
+                (src*, slice) and cached; ``weight`` is the edge's part of its source's rank.
                 Without hot sources there is no ``slice`` column.
-    ``counted`` the distinct edges with their copies (src, dst, copies), a stored table.
-    ``sources`` one row per source (src, out_degree, fanout), a stored table.
-    ``hot``     sources split over several slices (src, fanout, slices), or None.
+    ``sources`` one row per source (src*, out_degree, fanout), a stored table.
+    ``nodes``   all node ids (nodeId), a stored table.
+    ``keys``    what src* and dst* are: short keys in place of ids.
+    ``hot``     sources split over several slices (src*, fanout, slices), or None.
     """
 
     edges: DataFrame
-    counted: DataFrame
     sources: DataFrame
+    nodes: DataFrame
+    keys: Keys
     hot: DataFrame | None
+    partitions: int
     scratch: tuple[str, ...]
 
     @property
-    def key(self) -> list[str]:
-        return ["src"] if self.hot is None else ["src", "slice"]
+    def src(self) -> list[str]:
+        return self.keys.names("src")
+
+    @property
+    def place(self) -> list[str]:
+        return self.src if self.hot is None else [*self.src, "slice"]
+
+    def sizes(self) -> DataFrame:
+        """One row: total_edges (with copies), total_nodes, source_nodes; tables only."""
+        edges = self.sources.select(
+            F.col("out_degree").alias("total_edges"),
+            F.lit(0).cast("bigint").alias("total_nodes"),
+            F.lit(1).cast("bigint").alias("source_nodes"),
+        )
+        none = F.lit(0).cast("bigint")
+        ids = self.nodes.select(
+            none.alias("total_edges"),
+            F.lit(1).cast("bigint").alias("total_nodes"),
+            none.alias("source_nodes"),
+        )
+        total = edges.unionByName(ids)
+        return total.agg(
+            *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in total.columns)
+        )
 
     def release(self) -> None:
         """Drop the cached edges and the stored tables."""
@@ -52,34 +94,52 @@ class Links:
             drop_scratch(spark, path)
 
 
+def _partitions(spark: SparkSession, rows: int) -> int:
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(usual, -(-rows // FEW_ROWS)), -(-rows // MANY_ROWS))
+
+
 def prepare_links(edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Links:
     """Count, weigh and place the edges once, so that no round moves them again.
 
-    The distinct edges are stored as a table first: a lost cache block is rebuilt from there
-    and not from the input. They are then shuffled once, by source. A source with more than
-    ``rows_per_slice`` distinct edges is cut into slices so that no partition carries it whole.
+    ``edges`` is read twice, for its nodes and for its links; store it first if it is costly to
+    derive. Nodes and distinct links are written as tables: a lost cache block is rebuilt from
+    there and not from the input. The links are then shuffled once, by source. A source with
+    more than ``rows_per_slice`` distinct links is cut into slices so that no partition carries
+    it whole.
     """
     spark = edges.sparkSession
-    counted, counted_path = store(count_edges(edges), "edges")
+    ids, ids_path = store(nodes(edges), "nodes")
+    keys = shortest_keys(ids)
+    src, dst = keys.names("src"), keys.names("dst")
+    counted, counted_path = store(
+        with_copies(edges)
+        .select(*keys.of("src", "src"), *keys.of("dst", "dst"), "copies")
+        .groupBy(*src, *dst)
+        .agg(F.sum("copies").alias("copies")),
+        "links",
+    )
     sources, sources_path = store(
-        counted.groupBy("src").agg(
+        counted.groupBy(*src).agg(
             F.sum("copies").alias("out_degree"), F.count(F.lit(1)).alias("fanout")
         ),
         "sources",
     )
-    hot = hot_keys(sources, "src", "fanout", rows_per_slice)
-    rows, degrees, key = counted, sources.select("src", "out_degree"), ["src"]
+    hot = hot_keys(sources, src, "fanout", rows_per_slice)
+    rows, degrees, place = counted, sources.select(*src, "out_degree"), src
     if hot is not None:
         slices = F.ceil(F.col("fanout") / F.lit(rows_per_slice)).cast("int")
         hot = hot.withColumn("slices", slices)
-        rows = slice_rows(rows, "src", hot, "dst")
-        degrees, key = repeat_per_slice(degrees, "src", hot), ["src", "slice"]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        rows.repartition(partitions, *key)
-        .join(degrees, key)
-        .select(*key, "dst", (F.col("copies") / F.col("out_degree")).alias("weight"))
-        .sortWithinPartitions(*key)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    return Links(placed, counted, sources, hot, (counted_path, sources_path))
+        rows = slice_rows(rows, src, hot, dst)
+        degrees, place = repeat_per_slice(degrees, src, hot), [*src, "slice"]
+    partitions = _partitions(spark, counted.count())
+    with fixed_layout(spark, partitions):
+        placed = (
+            rows.repartition(partitions, *place)
+            .join(degrees, place)
+            .select(*place, *dst, (F.col("copies") / F.col("out_degree")).alias("weight"))
+            .sortWithinPartitions(*place)
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
+    paths = (ids_path, counted_path, sources_path)
+    return Links(placed, sources, ids, keys, hot, partitions, paths)

@@ -2,40 +2,55 @@
 
 Only sources start with a rank, each with 1.0. A round replaces the rank table by the nodes
 that received something; ranks of sinks are not redistributed and nothing is normalised.
+Inside the rounds a rank table is (node*, pagerank) with the short keys of ``Links``.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgetide.operators.links import Links, prepare_links
+from edgetide.operators.links import Links, fixed_layout, prepare_links
 from edgetide.operators.skew import repeat_per_slice
 from edgetide.schema import CHECKPOINT_EVERY, DAMPING, ITERATIONS
 from edgetide.storage import checkpoint
 
 
+def _renamed(table: DataFrame, links: Links, old: str, new: str) -> DataFrame:
+    names = zip(links.keys.names(old), links.keys.names(new), strict=True)
+    return table.withColumnsRenamed(dict(names))
+
+
 def initial_ranks(links: Links) -> DataFrame:
-    return links.sources.select(F.col("src").alias("nodeId"), F.lit(1.0).alias("pagerank"))
+    ranks = links.sources.select(*links.src, F.lit(1.0).alias("pagerank"))
+    return _renamed(ranks, links, "src", "node")
 
 
 def contributions(links: Links, ranks: DataFrame) -> DataFrame:
-    """What each target receives in one round: (nodeId, received).
+    """What each target receives in one round: (node*, received).
 
     The cached edges stay where they are. The rank table leaves the previous round's
     aggregation partitioned by node, which is the edges' partitioning; only ranks of a graph
     with hot sources move once more, to reach each slice. Sums are combined before the shuffle.
     """
-    senders = ranks.withColumnRenamed("nodeId", "src")
+    senders = _renamed(ranks, links, "node", "src")
     if links.hot is not None:
-        senders = repeat_per_slice(senders, "src", links.hot)
-    sent = links.edges.join(senders, links.key)
-    return sent.groupBy(F.col("dst").alias("nodeId")).agg(
-        F.sum(F.col("pagerank") * F.col("weight")).alias("received")
-    )
+        senders = repeat_per_slice(senders, links.src, links.hot)
+    received = F.sum(F.col("pagerank") * F.col("weight")).alias("received")
+    sent = links.edges.join(senders, links.place)
+    return _renamed(sent.groupBy(*links.keys.names("dst")).agg(received), links, "dst", "node")
 
 
 def next_ranks(links: Links, ranks: DataFrame, damping: float = DAMPING) -> DataFrame:
     score = F.lit(1.0 - damping) + F.lit(float(damping)) * F.col("received")
-    return contributions(links, ranks).select("nodeId", score.alias("pagerank"))
+    return contributions(links, ranks).select(
+        *links.keys.names("node"), score.alias("pagerank")
+    )
+
+
+def with_ids(links: Links, table: DataFrame) -> DataFrame:
+    """``table`` with ``nodeId`` in place of the short keys."""
+    names = links.keys.names("node")
+    ids = links.nodes.select("nodeId", *links.keys.of("nodeId", "node"))
+    return ids.join(table, names).drop(*names)
 
 
 def check_parameters(iterations: int, damping: float) -> None:
@@ -57,12 +72,13 @@ def rank(
     failure never goes back further than the last cut.
     """
     check_parameters(iterations, damping)
-    ranks = initial_ranks(links)
-    for done in range(1, iterations + 1):
-        ranks = next_ranks(links, ranks, damping)
-        if done % checkpoint_every == 0 and done < iterations:
-            ranks = checkpoint(ranks)
-    return checkpoint(ranks)
+    with fixed_layout(links.edges.sparkSession, links.partitions):
+        ranks = initial_ranks(links)
+        for done in range(1, iterations + 1):
+            ranks = next_ranks(links, ranks, damping)
+            if done % checkpoint_every == 0 and done < iterations:
+                ranks = checkpoint(ranks)
+        return checkpoint(with_ids(links, ranks))
 
 
 def rank_edges(

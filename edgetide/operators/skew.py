@@ -16,35 +16,39 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
 
-def hot_keys(sizes: DataFrame, key: str, size: str, threshold: int) -> DataFrame | None:
+def hot_keys(
+    sizes: DataFrame, key: list[str], size: str, threshold: int
+) -> DataFrame | None:
     """The heaviest keys of ``sizes`` (one row per key) with more than ``threshold`` rows.
 
     Columns: the key and its size. None when no key is that heavy.
     """
     heaviest = (
         sizes.where(F.col(size) > threshold)
-        .select(key, size)
-        .orderBy(F.desc(size), key)
+        .select(*key, size)
+        .orderBy(F.desc(size), *key)
         .limit(MAX_HOT)
     )
     hot = checkpoint(heaviest)
     return None if hot.isEmpty() else hot
 
 
-def slice_rows(rows: DataFrame, key: str, hot: DataFrame, spread: str) -> DataFrame:
+def slice_rows(
+    rows: DataFrame, key: list[str], hot: DataFrame, spread: list[str]
+) -> DataFrame:
     """Add ``slice``: rows of a hot key are spread by the hash of ``spread``, others get 0."""
-    slot = F.pmod(F.xxhash64(spread), F.col("slices"))
+    slot = F.pmod(F.xxhash64(*spread), F.col("slices"))
     return (
-        rows.join(F.broadcast(hot.select(key, "slices")), key, "left")
+        rows.join(F.broadcast(hot.select(*key, "slices")), key, "left")
         .withColumn("slice", F.coalesce(slot, F.lit(0)).cast("int"))
         .drop("slices")
     )
 
 
-def repeat_per_slice(table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def repeat_per_slice(table: DataFrame, key: list[str], hot: DataFrame) -> DataFrame:
     """The other side of ``slice_rows``: one copy of a hot key's row for each of its slices."""
     return (
-        table.join(F.broadcast(hot.select(key, "slices")), key, "left")
+        table.join(F.broadcast(hot.select(*key, "slices")), key, "left")
         .withColumn("slice", F.explode(F.expr("sequence(0, coalesce(slices, 1) - 1)")))
         .drop("slices")
     )
@@ -81,4 +85,4 @@ def rows_matching(rows: DataFrame, ids: DataFrame, key: str, threshold: int) ->
     if fits_broadcast(ids, key):
         return rows.join(F.broadcast(ids), key, "left_semi")
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
-    return join_unique(rows, ids, key, hot_keys(sizes, key, "size", threshold), "left_semi")
+    return join_unique(rows, ids, key, hot_keys(sizes, [key], "size", threshold), "left_semi")

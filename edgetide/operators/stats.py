@@ -1,9 +1,23 @@
-"""Counts, degrees and node sets of a graph. Every input may be plain or counted edges."""
+"""Counts, degrees and node sets of a graph.
+
+Every operator takes plain edges (src, dst) or counted ones (src, dst, copies), where a row
+stands for ``copies`` equal links and an edge may come in several rows.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgetide.operators.links import with_copies
+
+def with_copies(edges: DataFrame) -> DataFrame:
+    """Edges with a ``copies`` column; a plain edge row stands for one link."""
+    if "copies" in edges.columns:
+        return edges.select("src", "dst", "copies")
+    return edges.select("src", "dst", F.lit(1).cast("bigint").alias("copies"))
+
+
+def count_edges(edges: DataFrame) -> DataFrame:
+    """One row per distinct edge with its number of copies; combined before the shuffle."""
+    return with_copies(edges).groupBy("src", "dst").agg(F.sum("copies").alias("copies"))
 
 
 def nodes(edges: DataFrame) -> DataFrame:

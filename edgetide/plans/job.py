@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame
 
 from edgetide.operators.links import prepare_links
 from edgetide.operators.rank import check_parameters, rank
+from edgetide.operators.stats import count_edges
 from edgetide.schema import DAMPING, ITERATIONS
 from edgetide.sources.results import job_metadata, write_metadata, write_rankings
+from edgetide.storage import drop_scratch, store
 
 
 def new_version() -> str:
@@ -27,22 +29,26 @@ def run_job(
 ) -> str:
     """Rank ``edges`` and save everything under ``out_dir``; returns the new version's name.
 
-    The input is read once: all outputs come from the stored distinct edges. Readers go on
+    The input is read once: all outputs come from its stored, counted edges. Readers go on
     seeing the previous version until the metadata, written last, is there. A failure leaves
     the previous version in place and is raised.
     """
     check_parameters(iterations, damping)
     version = version or new_version()
     folder = f"{out_dir}/version={version}"
-    links = prepare_links(edges)
+    counted, path = store(count_edges(edges), "edges")
     try:
-        ranks = rank(links, iterations, damping)
-        write_rankings(ranks, links.counted, folder)
-        completed_at = completed_at or datetime.now(timezone.utc).isoformat()
-        metadata = job_metadata(
-            links.counted, ranks, dataset_name, iterations, damping, completed_at
-        )
-        write_metadata(metadata, folder)
+        links = prepare_links(counted)
+        try:
+            ranks = rank(links, iterations, damping)
+            write_rankings(ranks, counted, folder)
+            completed_at = completed_at or datetime.now(timezone.utc).isoformat()
+            metadata = job_metadata(
+                links.sizes(), ranks, dataset_name, iterations, damping, completed_at
+            )
+            write_metadata(metadata, folder)
+        finally:
+            links.release()
     finally:
-        links.release()
+        drop_scratch(edges.sparkSession, path)
     return version

@@ -9,7 +9,7 @@ from edgetide.functions.text import rounded
 from edgetide.operators import adjacency as lists
 from edgetide.operators import lookup, stats, topk
 from edgetide.operators.links import prepare_links
-from edgetide.operators.rank import contributions, initial_ranks, rank_edges
+from edgetide.operators.rank import contributions, initial_ranks, rank_edges, with_ids
 from edgetide.operators.trace import trace
 from edgetide.plans.job import run_job
 from edgetide.schema import DAMPING, ITERATIONS
@@ -33,13 +33,18 @@ def _on_graph(graph: str, make: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: make(GRAPHS[graph](spark, sf_dir))
 
 
+def _on_stored(graph: str, make: Callable[[DataFrame], DataFrame]) -> Query:
+    """For operators that read the edges more than once: these are derived and stored first."""
+    return lambda spark, sf_dir: make(store(GRAPHS[graph](spark, sf_dir), "edges")[0])
+
+
 def _on_ranks(
     graph: str,
     make: Callable[[DataFrame], DataFrame],
     iterations: int = ITERATIONS,
     damping: float = DAMPING,
 ) -> Query:
-    return _on_graph(graph, lambda edges: make(rank_edges(edges, iterations, damping)))
+    return _on_stored(graph, lambda edges: make(rank_edges(edges, iterations, damping)))
 
 
 def _scores(ranks: DataFrame) -> DataFrame:
@@ -56,13 +61,9 @@ def _scan(make_lines, fmt: str, **options) -> Query:
     return query
 
 
-def _rank_iter0(edges: DataFrame) -> DataFrame:
-    return _scores(initial_ranks(prepare_links(edges)))
-
-
 def _contributions(edges: DataFrame) -> DataFrame:
     links = prepare_links(edges)
-    received = contributions(links, initial_ranks(links))
+    received = with_ids(links, contributions(links, initial_ranks(links)))
     return received.select("nodeId", rounded(F.col("received")).alias("received"))
 
 
@@ -80,34 +81,21 @@ def _first_target(edges: DataFrame) -> DataFrame:
     return edges.agg(F.min("dst").alias("nodeId"))
 
 
-def _trace(graph: str, hops: int, back: bool = False) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        edges, _ = store(GRAPHS[graph](spark, sf_dir), "edges")
-        start = _first_target(edges) if back else _first_source(edges)
-        return trace(edges, start, hops, back)
-
-    return query
+def _trace(hops: int, back: bool = False) -> Callable[[DataFrame], DataFrame]:
+    first = _first_target if back else _first_source
+    return lambda edges: trace(edges, first(edges), hops, back)
 
 
-def _neighbors_batch(direction: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        edges, _ = store(GRAPHS["part_supp"](spark, sf_dir), "edges")
-        name = "neighbors" if direction == "outgoing" else "sources"
-        found = lookup.neighbors_of(edges, _degree_ids(edges), direction)
-        return found.select("nodeId", "direction", "count", "part", _joined(name))
-
-    return query
-
-
-def _node_scores_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges, _ = store(GRAPHS["part_supp"](spark, sf_dir), "edges")
-    return lookup.node_scores(rank_edges(edges), stats.nodes(edges))
+def _neighbors_batch(direction: str) -> Callable[[DataFrame], DataFrame]:
+    name = "neighbors" if direction == "outgoing" else "sources"
+    return lambda edges: lookup.neighbors_of(edges, _degree_ids(edges), direction).select(
+        "nodeId", "direction", "count", "part", _joined(name)
+    )
 
 
 def _metadata(edges: DataFrame, dataset_name: str) -> DataFrame:
-    return job_metadata(
-        edges, rank_edges(edges), dataset_name, ITERATIONS, DAMPING, COMPLETED_AT
-    )
+    sizes, ranks = stats.graph_stats(edges), rank_edges(edges)
+    return job_metadata(sizes, ranks, dataset_name, ITERATIONS, DAMPING, COMPLETED_AT)
 
 
 def _roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,18 +144,18 @@ def registered() -> dict[str, Query]:
         "in_degree": _on_graph("part_supp", stats.in_degree),
         "sink_nodes": _on_graph("page_links", stats.sink_nodes),
         "no_inlink_nodes": _on_graph("part_supp", stats.no_inlink_nodes),
-        "adjacency": _on_graph(
+        "adjacency": _on_stored(
             "part_next",
             lambda edges: lists.adjacency(edges).select("nodeId", "part", _joined("neighbors")),
         ),
-        "reverse_adjacency": _on_graph(
+        "reverse_adjacency": _on_stored(
             "page_links",
             lambda edges: lists.reverse_adjacency(edges).select(
                 "nodeId", "part", _joined("sources")
             ),
         ),
-        "contributions": _on_graph("nation_trade", _contributions),
-        "rank_iter0": _on_graph("part_supp", _rank_iter0),
+        "contributions": _on_stored("nation_trade", _contributions),
+        "rank_iter0": _on_ranks("part_supp", _scores, iterations=0),
         "rank_iter1": _on_ranks("nation_trade", _scores, iterations=1),
         "rank_iter2": _on_ranks("part_supp", _scores, iterations=2),
         "pagerank_10": _on_ranks("part_next", _scores),
@@ -194,7 +182,9 @@ def registered() -> dict[str, Query]:
             "part_next", lambda r: lookup.node_score(r, "100", stored=None)
         ),
         "node_score_missing": _on_ranks("part_next", lambda r: lookup.node_score(r, "none")),
-        "node_scores_batch": _node_scores_batch,
+        "node_scores_batch": _on_stored(
+            "part_supp", lambda e: lookup.node_scores(rank_edges(e), stats.nodes(e))
+        ),
         "neighbors": _on_graph(
             "part_next",
             lambda edges: lookup.neighbors(edges, "100").select(
@@ -207,15 +197,15 @@ def registered() -> dict[str, Query]:
                 "nodeId", "direction", "count", "part", _joined("sources")
             ),
         ),
-        "neighbors_batch": _neighbors_batch("outgoing"),
-        "influenced_by_batch": _neighbors_batch("incoming"),
-        "job_metadata": _on_graph("part_next", lambda e: _metadata(e, "part_next")),
-        "stats": _on_graph(
+        "neighbors_batch": _on_stored("part_supp", _neighbors_batch("outgoing")),
+        "influenced_by_batch": _on_stored("part_supp", _neighbors_batch("incoming")),
+        "job_metadata": _on_stored("part_next", lambda e: _metadata(e, "part_next")),
+        "stats": _on_stored(
             "page_links", lambda e: lookup.job_stats(_metadata(e, "page_links"))
         ),
-        "trace_2hop": _trace("part_supp", 2),
-        "trace_3hop": _trace("part_next", 3),
-        "trace_back_2hop": _trace("page_links", 2, back=True),
+        "trace_2hop": _on_stored("part_supp", _trace(2)),
+        "trace_3hop": _on_stored("part_next", _trace(3)),
+        "trace_back_2hop": _on_stored("page_links", _trace(2, back=True)),
         "roundtrip_results": _roundtrip,
         "refresh_from_stream": _refresh,
     }

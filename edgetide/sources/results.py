@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgetide.operators.adjacency import adjacency
-from edgetide.operators.stats import graph_stats
 from edgetide.operators.topk import ranking_lines, stored_list, top_list
 from edgetide.schema import ADJACENCY, METADATA, RANKS, TOP_LIST
 
@@ -35,15 +34,18 @@ class Results:
 
 
 def job_metadata(
-    edges: DataFrame,
+    sizes: DataFrame,
     ranks: DataFrame,
     dataset_name: str,
     iterations: int,
     damping: float,
     completed_at: str,
 ) -> DataFrame:
-    """The one-row description of a job; ``top_node`` is null for an empty ranking."""
-    sizes = graph_stats(edges).select(
+    """The one-row description of a job; ``top_node`` is null for an empty ranking.
+
+    ``sizes`` is the row of ``graph_stats`` or of ``Links.sizes``.
+    """
+    known = sizes.select(
         "total_nodes", "total_edges", F.lit(None).cast("string").alias("top_node")
     )
     none = F.lit(None).cast("bigint")
@@ -51,7 +53,7 @@ def job_metadata(
         none.alias("total_nodes"), none.alias("total_edges"), F.col("nodeId").alias("top_node")
     )
     return (
-        sizes.unionByName(best)
+        known.unionByName(best)
         .agg(*(F.max(name).alias(name) for name in ("total_nodes", "total_edges", "top_node")))
         .select(
             F.lit(dataset_name).alias("dataset_name"),

@@ -1,9 +1,8 @@
-"""Link graphs inside the test tables, as counted edges (src, dst, copies)."""
+"""Link graphs inside the test tables, as edges (src, dst) or counted ones (src, dst, copies)."""
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from edgetide.operators.links import count_edges
 from edgetide.operators.skew import ROWS_PER_SLICE, hot_keys, join_unique
 from edgetide.storage import checkpoint
 
@@ -73,13 +72,13 @@ def part_next(
     if hot is not None:
         cut = _next_in_large_orders(lines.join(large, "l_orderkey", "left_semi"))
         edges = edges.unionByName(cut)
-    return count_edges(edges)
+    return edges
 
 
 def part_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each part to its supplier, both in one id space."""
     lines = table(spark, sf_dir, "lineitem")
-    return count_edges(lines.select(*_edge(F.col("l_partkey"), F.col("l_suppkey"))))
+    return lines.select(*_edge(F.col("l_partkey"), F.col("l_suppkey")))
 
 
 def nation_trade(
@@ -115,10 +114,8 @@ def nation_trade(
     named = per_nation.join(buyer, F.col("c_nationkey") == F.col("buyer.n_nationkey")).join(
         seller, F.col("seller") == F.col("seller_nation.n_nationkey")
     )
-    return count_edges(
-        named.select(
-            *_edge(F.col("buyer.n_name"), F.col("seller_nation.n_name"), F.col("copies"))
-        )
+    return named.select(
+        *_edge(F.col("buyer.n_name"), F.col("seller_nation.n_name"), F.col("copies"))
     )
 
 
@@ -126,12 +123,12 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page to every address its html refers to."""
     found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
     pages = table(spark, sf_dir, "pages").select("url", F.explode(found).alias("target"))
-    return count_edges(pages.select(*_edge(F.col("url"), F.col("target"))))
+    return pages.select(*_edge(F.col("url"), F.col("target")))
 
 
 def _heavy(rows: DataFrame, key: str, threshold: int) -> DataFrame | None:
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
-    return hot_keys(sizes, key, "size", threshold)
+    return hot_keys(sizes, [key], "size", threshold)
 
 
 GRAPHS = {

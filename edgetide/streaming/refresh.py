@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from edgetide.operators.links import count_edges
+from edgetide.operators.stats import count_edges
 from edgetide.plans.job import run_job
 from edgetide.schema import DAMPING, ITERATIONS
 from edgetide.sources.edges import stream_edges
