@@ -1,0 +1,169 @@
+"""The plans behind the rounds: what is shuffled, where intermediate tables go."""
+
+import pytest
+
+import brute
+from edgetide.operators import links as layout
+from edgetide.operators.links import fixed_layout, prepare_links
+from edgetide.operators.rank import initial_ranks, next_ranks
+from edgetide.sources import tables
+from edgetide.storage import checkpoint, drop_scratch, scratch_path, shared_folder, store
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(df, column):
+    return plan_of(df).count(f"Exchange hashpartitioning({column}#")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.fixture
+def more_partitions(monkeypatch):
+    monkeypatch.setattr(layout, "FEW_ROWS", 10)
+
+
+def test_a_round_shuffles_the_sums_only(spark, make_edges, no_broadcast, more_partitions):
+    links = prepare_links(make_edges(brute.random_edges(100, 900, seed=1)))
+    assert links.partitions == 8
+    with fixed_layout(spark, links.partitions):
+        ranks = checkpoint(next_ranks(links, initial_ranks(links)))
+        once = next_ranks(links, ranks)
+        twice = next_ranks(links, once)
+        inside_cache = shuffles(links.edges, "src0")
+        for df, rounds in ((once, 1), (twice, 2)):
+            assert shuffles(df, "dst0") == rounds
+            # no other shuffle than the ones that made the cached edges
+            assert shuffles(df, "src0") == rounds * inside_cache
+            assert plan_of(df).count("Exchange ") == rounds * (1 + inside_cache)
+            assert plan_of(df).count("partial_sum") >= rounds
+        assert "SortMergeJoin" in plan_of(once)
+    links.release()
+
+
+def test_hot_sources_cost_one_more_shuffle_of_the_ranks(
+    spark, make_edges, no_broadcast, more_partitions
+):
+    links = prepare_links(make_edges(brute.random_edges(100, 900, seed=2)), rows_per_slice=5)
+    with fixed_layout(spark, links.partitions):
+        ranks = checkpoint(next_ranks(links, initial_ranks(links)))
+        once = next_ranks(links, ranks)
+    with fixed_layout(spark, links.partitions):
+        whole = plan_of(once)
+    assert whole.count("Exchange hashpartitioning(src0") >= 1
+    assert "BroadcastHashJoin" in whole
+    links.release()
+
+
+def test_partition_count_follows_the_data(spark):
+    assert layout._partitions(spark, 0) == 1
+    assert layout._partitions(spark, 1) == 1
+    assert layout._partitions(spark, 200_000) == 4
+    assert layout._partitions(spark, 100_000_000) == 8
+    assert layout._partitions(spark, 100_000_000_000) == 5000
+
+
+def test_layout_settings_are_put_back(spark):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before = [spark.conf.get(name) for name in names]
+    with pytest.raises(RuntimeError):
+        with fixed_layout(spark, 3):
+            assert spark.conf.get(names[0]) == "3"
+            raise RuntimeError
+    assert [spark.conf.get(name) for name in names] == before
+
+
+class Session:
+    """Stands for a cluster session; only what shared_folder asks for."""
+
+    def __init__(self, configured=None, current=None):
+        outer = self
+
+        class Context:
+            master = "spark://somewhere:7077"
+
+            def getCheckpointDir(self):
+                return current
+
+            def setCheckpointDir(self, folder):
+                outer.set = folder
+
+        class Conf:
+            def get(self, name, default):
+                assert name == "spark.checkpoint.dir"
+                return configured or default
+
+        self.sparkContext, self.conf, self.set = Context(), Conf(), None
+
+
+def test_shared_folder_is_the_sessions(spark):
+    own = shared_folder(spark)
+    assert shared_folder(spark) == own
+    assert scratch_path(spark, "x").startswith(own)
+    named = Session("hdfs://a/folder/", "hdfs://a/folder/1")
+    assert shared_folder(named) == "hdfs://a/folder" and named.set is None
+    chosen = Session(None, "hdfs://a/folder/1")
+    assert shared_folder(chosen) == "hdfs://a/folder/1" and chosen.set is None
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
+def test_scratch_tables(spark, tmp_path):
+    from pathlib import Path
+
+    table, path = store(spark.range(5), "numbers")
+    assert table.count() == 5 and Path(path).exists()
+    drop_scratch(spark, path)
+    assert not Path(path).exists()
+    keep = tmp_path / "keep"
+    keep.mkdir()
+    drop_scratch(spark, str(keep))
+    assert keep.exists()
+
+
+def pairs(edges):
+    from edgetide.operators.stats import count_edges
+
+    return sorted(map(tuple, count_edges(edges).collect()))
+
+
+def test_large_orders_give_the_same_edges(spark, sf001):
+    usual = pairs(tables.part_next(spark, sf001))
+    assert pairs(tables.part_next(spark, sf001, rows_per_order=0)) == usual
+    assert pairs(tables.part_next(spark, sf001, rows_per_order=4)) == usual
+
+
+def test_one_order_holding_everything(spark, tmp_path):
+    """One order over many ranges, with repeated rows: the plain successor list."""
+    import random
+
+    rng = random.Random(12)
+    rows = [(1, rng.randrange(40), rng.randrange(6)) for _ in range(900)] + [(2, 1, 1), (2, 2, 3)]
+    schema = "l_orderkey bigint, l_linenumber int, l_partkey bigint"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    expected = []
+    for order in (1, 2):
+        parts = [part for _, _, part in sorted(row for row in rows if row[0] == order)]
+        expected += [(str(a), str(b)) for a, b in zip(parts, parts[1:])]
+    from collections import Counter
+
+    found = {(a, b): n for a, b, n in pairs(tables.part_next(spark, str(tmp_path), 100))}
+    assert found == Counter(expected)
+
+
+def test_hot_suppliers_give_the_same_edges(spark, sf001):
+    usual = pairs(tables.nation_trade(spark, sf001))
+    assert pairs(tables.nation_trade(spark, sf001, rows_per_key=0)) == usual
+    assert pairs(tables.nation_trade(spark, sf001, rows_per_key=600)) == usual
