@@ -125,14 +125,15 @@ def prepare_links(edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Lin
         ),
         "sources",
     )
-    hot = hot_keys(sources, src, "fanout", rows_per_slice)
+    links = counted.count()
+    hot = hot_keys(sources, src, "fanout", rows_per_slice) if links > rows_per_slice else None
     rows, degrees, place = counted, sources.select(*src, "out_degree"), src
     if hot is not None:
         slices = F.ceil(F.col("fanout") / F.lit(rows_per_slice)).cast("int")
         hot = hot.withColumn("slices", slices)
         rows = slice_rows(rows, src, hot, dst)
         degrees, place = repeat_per_slice(degrees, src, hot), [*src, "slice"]
-    partitions = _partitions(spark, counted.count())
+    partitions = _partitions(spark, links)
     with fixed_layout(spark, partitions):
         placed = (
             rows.repartition(partitions, *place)

@@ -5,7 +5,7 @@ that received something; ranks of sinks are not redistributed and nothing is nor
 Inside the rounds a rank table is (node*, pagerank) with the short keys of ``Links``.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgetide.operators.links import Links, fixed_layout, prepare_links
@@ -14,36 +14,43 @@ from edgetide.schema import CHECKPOINT_EVERY, DAMPING, ITERATIONS
 from edgetide.storage import checkpoint
 
 
-def _renamed(table: DataFrame, links: Links, old: str, new: str) -> DataFrame:
-    names = zip(links.keys.names(old), links.keys.names(new), strict=True)
-    return table.withColumnsRenamed(dict(names))
+def initial_ranks(links: Links) -> DataFrame:
+    return links.sources.select(*_named(links, "src", "node"), F.lit(1.0).alias("pagerank"))
 
 
-def initial_ranks(links: Links) -> DataFrame:
-    ranks = links.sources.select(*links.src, F.lit(1.0).alias("pagerank"))
-    return _renamed(ranks, links, "src", "node")
+def _named(links: Links, old: str, new: str) -> list[Column]:
+    names = zip(links.keys.names(old), links.keys.names(new), strict=True)
+    return [F.col(name).alias(alias) for name, alias in names]
 
 
-def contributions(links: Links, ranks: DataFrame) -> DataFrame:
-    """What each target receives in one round: (node*, received).
+def _received(links: Links, ranks: DataFrame, result: Column) -> DataFrame:
+    """One round: ``result`` over all that reaches a target, as (node*, result).
 
     The cached edges stay where they are. The rank table leaves the previous round's
     aggregation partitioned by node, which is the edges' partitioning; only ranks of a graph
     with hot sources move once more, to reach each slice. Sums are combined before the shuffle.
     """
-    senders = _renamed(ranks, links, "node", "src")
+    node = links.keys.names("node")
     if links.hot is not None:
-        senders = repeat_per_slice(senders, links.src, links.hot)
-    received = F.sum(F.col("pagerank") * F.col("weight")).alias("received")
-    sent = links.edges.join(senders, links.place)
-    return _renamed(sent.groupBy(*links.keys.names("dst")).agg(received), links, "dst", "node")
+        hot = links.hot.select(*_named(links, "src", "node"), "slices")
+        ranks = repeat_per_slice(ranks, node, hot, "node_slice")
+        node = [*node, "node_slice"]
+    meet = [F.col(a) == F.col(b) for a, b in zip(links.place, node, strict=True)]
+    return links.edges.join(ranks, meet).groupBy(*_named(links, "dst", "node")).agg(result)
+
+
+def _sum() -> Column:
+    return F.sum(F.col("pagerank") * F.col("weight"))
+
+
+def contributions(links: Links, ranks: DataFrame) -> DataFrame:
+    """What each target receives in one round: (node*, received)."""
+    return _received(links, ranks, _sum().alias("received"))
 
 
 def next_ranks(links: Links, ranks: DataFrame, damping: float = DAMPING) -> DataFrame:
-    score = F.lit(1.0 - damping) + F.lit(float(damping)) * F.col("received")
-    return contributions(links, ranks).select(
-        *links.keys.names("node"), score.alias("pagerank")
-    )
+    score = F.lit(1.0 - damping) + F.lit(float(damping)) * _sum()
+    return _received(links, ranks, score.alias("pagerank"))
 
 
 def with_ids(links: Links, table: DataFrame) -> DataFrame:

@@ -45,11 +45,13 @@ def slice_rows(
     )
 
 
-def repeat_per_slice(table: DataFrame, key: list[str], hot: DataFrame) -> DataFrame:
+def repeat_per_slice(
+    table: DataFrame, key: list[str], hot: DataFrame, name: str = "slice"
+) -> DataFrame:
     """The other side of ``slice_rows``: one copy of a hot key's row for each of its slices."""
     return (
         table.join(F.broadcast(hot.select(*key, "slices")), key, "left")
-        .withColumn("slice", F.explode(F.expr("sequence(0, coalesce(slices, 1) - 1)")))
+        .withColumn(name, F.explode(F.expr("sequence(0, coalesce(slices, 1) - 1)")))
         .drop("slices")
     )
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 
 def with_copies(edges: DataFrame) -> DataFrame:
-    """Edges with a ``copies`` column; a plain edge row stands for one link."""
-    if "copies" in edges.columns:
-        return edges.select("src", "dst", "copies")
-    return edges.select("src", "dst", F.lit(1).cast("bigint").alias("copies"))
+    """Edges with text ids and a ``copies`` column; a plain edge row stands for one link."""
+    copies = F.col("copies") if "copies" in edges.columns else F.lit(1)
+    src, dst = (F.col(end).cast("string").alias(end) for end in ("src", "dst"))
+    return edges.select(src, dst, copies.cast("bigint").alias("copies"))
 
 
 def count_edges(edges: DataFrame) -> DataFrame:
@@ -22,7 +22,8 @@ def count_edges(edges: DataFrame) -> DataFrame:
 
 def nodes(edges: DataFrame) -> DataFrame:
     """Every id seen at either end, once: (nodeId)."""
-    return edges.select(F.explode(F.array("src", "dst")).alias("nodeId")).distinct()
+    ends = F.array(F.col("src").cast("string"), F.col("dst").cast("string"))
+    return edges.select(F.explode(ends).alias("nodeId")).distinct()
 
 
 def node_degrees(edges: DataFrame) -> DataFrame:

@@ -85,8 +85,8 @@ def _scores(graph: str, iterations: int = 10, damping: float = 0.85) -> str:
 _BEST = "row_number() OVER (ORDER BY score DESC, nodeId)"
 
 
-def _stored(graph: str, n: int = 1000) -> str:
-    return f"""{_ranked(graph)}
+def _stored(graph: str, n: int = 1000, iterations: int = 10, damping: float = 0.85) -> str:
+    return f"""{_ranked(graph, iterations, damping)}
         SELECT nodeId, round(score, 8) AS pagerank
         FROM ranks ORDER BY score DESC, ranks.nodeId LIMIT {n}"""
 
@@ -234,5 +234,6 @@ def statements() -> dict[str, str]:
         "trace_3hop": _trace("part_next", 3),
         "trace_back_2hop": _trace("page_links", 2, back=True),
         "roundtrip_results": _ROUNDTRIP,
+        "rerun_results": _stored("part_supp", iterations=3, damping=0.9),
         "refresh_from_stream": _stored("tab_lines"),
     }

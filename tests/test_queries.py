@@ -1,7 +1,12 @@
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from checking import both
+from edgetide.operators import stats
+from edgetide.operators.trace import trace
+from edgetide.sources.tables import GRAPHS
+from edgetide.storage import store
 
 # Expected top five, ten rounds, damping 0.85.
 TOP5 = {
@@ -24,6 +29,48 @@ def test_known_top_five(spark, graph, sf):
     ]
 
 
+# edges, distinct edges, nodes, sources, targets, self-loops, sinks, nodes without in-edge
+SIZES = {
+    "part_next": (4527, 4292, 200, 200, 200, 17, 0, 0),
+    "part_supp": (6000, 1905, 200, 200, 10, 35, 0, 190),
+    "nation_trade": (6000, 250, 25, 25, 10, 235, 0, 15),
+    "page_links": (281, 279, 305, 50, 255, 0, 255, 50),
+}
+
+
+@pytest.mark.parametrize("graph", SIZES)
+def test_known_sizes(spark, sf001, graph):
+    edges = GRAPHS[graph](spark, sf001)
+    row = stats.graph_stats(edges).first()
+    distinct = stats.count_edges(edges)
+    assert SIZES[graph] == (
+        row.total_edges,
+        distinct.count(),
+        row.total_nodes,
+        row.source_nodes,
+        stats.in_degree(edges).count(),
+        distinct.where("src = dst").agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0],
+        stats.sink_nodes(edges).count(),
+        stats.no_inlink_nodes(edges).count(),
+    )
+
+
+# nodes by smallest hop
+HOPS = {
+    ("part_next", "558", 3): [1, 41, 759, 1199],
+    ("part_supp", "1999", 2): [1, 24, 76],
+    ("nation_trade", "NATION_9", 2): [1, 24],
+}
+
+
+@pytest.mark.parametrize("graph,start,hops", HOPS)
+def test_known_hops(spark, graph, start, hops):
+    edges, _ = store(GRAPHS[graph](spark, "/root/testdata/sf0.01"), "edges")
+    starts = spark.createDataFrame([(start,)], "nodeId string")
+    counts = dict(trace(edges, starts, hops).groupBy("hop").count().collect())
+    assert [counts[hop] for hop in sorted(counts)] == HOPS[graph, start, hops]
+
+
 def test_every_query_has_sql():
     assert list(driver.queries()) == list(driver.oracle_sql())
 

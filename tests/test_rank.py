@@ -72,6 +72,11 @@ def test_counted_edges_equal_plain_ones(spark, tiny):
     close(scores(rank_edges(counted)), scores(rank_edges(tiny)))
 
 
+def test_number_ids_become_text(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (2, 2)], "src bigint, dst bigint")
+    assert set(scores(rank_edges(edges, 2))) == {"1", "2"}
+
+
 def test_extreme_damping(tiny):
     assert set(scores(rank_edges(tiny, damping=0)).values()) == {1.0}
     close(scores(rank_edges(tiny, 4, 1)), brute.ranks(TINY, 4, 1.0))
