@@ -46,7 +46,7 @@ class Links:
     ``edges``   distinct edges (src*, slice, dst*, weight), hash-partitioned and sorted by
                 (src*, slice) and cached; ``weight`` is the edge's part of its source's rank.
                 Without hot sources there is no ``slice`` column.
-    ``sources`` one row per source (src*, out_degree, fanout), a stored table.
+    ``sources`` one row per source (src*, out_degree, fanout), of a large graph a stored table.
     ``nodes``   all node ids (nodeId), a stored table.
     ``keys``    what src* and dst* are: short keys in place of ids.
     ``hot``     sources split over several slices (src*, fanout, slices), or None.
@@ -99,14 +99,14 @@ def _partitions(spark: SparkSession, rows: int) -> int:
     return max(1, min(usual, -(-rows // FEW_ROWS)), -(-rows // MANY_ROWS))
 
 
-def prepare_links(edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Links:
+def prepare_links(edges: DataFrame, rows_per_slice: int | None = None) -> Links:
     """Count, weigh and place the edges once, so that no round moves them again.
 
     ``edges`` is read twice, for its nodes and for its links; store it first if it is costly to
     derive. Nodes and distinct links are written as tables: a lost cache block is rebuilt from
     there and not from the input. The links are then shuffled once, by source. A source with
-    more than ``rows_per_slice`` distinct links is cut into slices so that no partition carries
-    it whole.
+    more than ``rows_per_slice`` distinct links (by default an average partition's load, and
+    at least ``ROWS_PER_SLICE``) is cut into slices so that no partition carries it whole.
     """
     spark = edges.sparkSession
     ids, ids_path = store(nodes(edges), "nodes")
@@ -119,21 +119,24 @@ def prepare_links(edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Lin
         .agg(F.sum("copies").alias("copies")),
         "links",
     )
-    sources, sources_path = store(
-        counted.groupBy(*src).agg(
-            F.sum("copies").alias("out_degree"), F.count(F.lit(1)).alias("fanout")
-        ),
-        "sources",
+    scratch = [ids_path, counted_path]
+    sources = counted.groupBy(*src).agg(
+        F.sum("copies").alias("out_degree"), F.count(F.lit(1)).alias("fanout")
     )
     links = counted.count()
-    hot = hot_keys(sources, src, "fanout", rows_per_slice) if links > rows_per_slice else None
+    partitions = _partitions(spark, links)
+    threshold = rows_per_slice or max(ROWS_PER_SLICE, links // partitions)
+    hot = None
+    if links > threshold:
+        sources, sources_path = store(sources, "sources")
+        scratch.append(sources_path)
+        hot = hot_keys(sources, src, "fanout", threshold)
     rows, degrees, place = counted, sources.select(*src, "out_degree"), src
     if hot is not None:
-        slices = F.ceil(F.col("fanout") / F.lit(rows_per_slice)).cast("int")
+        slices = F.ceil(F.col("fanout") / F.lit(threshold)).cast("int")
         hot = hot.withColumn("slices", slices)
         rows = slice_rows(rows, src, hot, dst)
         degrees, place = repeat_per_slice(degrees, src, hot), [*src, "slice"]
-    partitions = _partitions(spark, links)
     with fixed_layout(spark, partitions):
         placed = (
             rows.repartition(partitions, *place)
@@ -142,5 +145,4 @@ def prepare_links(edges: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Lin
             .sortWithinPartitions(*place)
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
-    paths = (ids_path, counted_path, sources_path)
-    return Links(placed, sources, ids, keys, hot, partitions, paths)
+    return Links(placed, sources, ids, keys, hot, partitions, tuple(scratch))
