@@ -4,7 +4,6 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,6 +142,6 @@ def prepare_links(edges: DataFrame, rows_per_slice: int | None = None) -> Links:
             .join(degrees, place)
             .select(*place, *dst, (F.col("copies") / F.col("out_degree")).alias("weight"))
             .sortWithinPartitions(*place)
-            .persist(StorageLevel.MEMORY_AND_DISK)
+            .persist()
         )
     return Links(placed, sources, ids, keys, hot, partitions, tuple(scratch))

@@ -158,7 +158,7 @@ _ROUNDTRIP = f"""{_ranked("part_supp")}
         UNION ALL
         SELECT 'stored', nodeId, round(score, 8) FROM placed WHERE place <= 1000
         UNION ALL
-        SELECT 'ranking', nodeId, round(score, 8) FROM placed
+        SELECT 'ranking', nodeId, CAST(printf('%.10f', score) AS DOUBLE) FROM placed
         UNION ALL
         SELECT 'graph', src, CAST(count(*) AS DOUBLE) FROM edges GROUP BY src
         UNION ALL

@@ -113,7 +113,7 @@ def _roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         rows(saved.top, "top", F.col("pagerank"))
         .unionByName(rows(saved.stored, "stored", F.col("pagerank")))
-        .unionByName(rows(saved.ranking, "ranking", rounded(F.col("pagerank"))))
+        .unionByName(rows(saved.ranking, "ranking", F.col("pagerank")))
         .unionByName(rows(saved.graph, "graph", F.size("neighbors")))
         .unionByName(rows(described, "metadata", F.col("total_edges")))
     )
