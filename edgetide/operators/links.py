@@ -22,7 +22,8 @@ def fixed_layout(spark: SparkSession, partitions: int) -> Iterator[None]:
     """Plans run inside shuffle into ``partitions`` and are not changed while they run.
 
     The rounds rely on the edges' partitioning: a rank table that is coalesced, or whose
-    partitioning is hidden behind an adaptive plan, would have to be shuffled again.
+    partitioning is hidden behind an adaptive plan, would have to be shuffled again. The
+    settings are the session's while this lasts; jobs at the same time need their own sessions.
     """
     ours = {
         "spark.sql.shuffle.partitions": str(partitions),

@@ -165,6 +165,22 @@ _ROUNDTRIP = f"""{_ranked("part_supp")}
         SELECT 'metadata', (SELECT nodeId FROM placed WHERE place = 1),
                CAST(count(*) AS DOUBLE) FROM edges"""
 
+_SAVED_LOOKUPS = f"""{_ranked("part_supp")}
+        , placed AS (SELECT nodeId, score, {_BEST} AS place FROM ranks)
+        SELECT 'score' AS lookup, nodeId, round(score, 8) AS value
+        FROM placed WHERE place <= 1000 AND nodeId = '5'
+        UNION ALL
+        SELECT 'top', nodeId, round(score, 8) FROM placed WHERE place <= 10
+        UNION ALL
+        SELECT 'neighbors', src, CAST(count(*) AS DOUBLE)
+        FROM edges WHERE src = '100' GROUP BY src
+        UNION ALL
+        SELECT 'influenced_by', dst, CAST(count(*) AS DOUBLE)
+        FROM edges WHERE dst = '5' GROUP BY dst
+        UNION ALL
+        SELECT 'stats', (SELECT nodeId FROM placed WHERE place = 1), CAST(count(*) AS DOUBLE)
+        FROM (SELECT src FROM edges UNION SELECT dst FROM edges) AS ids"""
+
 _BOTH_ENDS = "{key} IN (SELECT src FROM edges) AND {key} IN (SELECT dst FROM edges)"
 
 
@@ -221,6 +237,10 @@ def statements() -> dict[str, str]:
         "node_scores_batch": _stored("part_supp"),
         "neighbors": _graph("part_next") + _lists("src", "dst", "neighbors", "src = '100'"),
         "influenced_by": _graph("part_supp") + _lists("dst", "src", "sources", "dst = '5'"),
+        "neighbors_indexed": _graph("part_next")
+        + _lists("src", "dst", "neighbors", "src = '100'"),
+        "influenced_by_indexed": _graph("part_supp")
+        + _lists("dst", "src", "sources", "dst = '5'"),
         "neighbors_batch": _graph("part_supp")
         + _lists("src", "dst", "neighbors", _BOTH_ENDS.format(key="src")),
         "influenced_by_batch": _graph("part_supp")
@@ -234,6 +254,7 @@ def statements() -> dict[str, str]:
         "trace_3hop": _trace("part_next", 3),
         "trace_back_2hop": _trace("page_links", 2, back=True),
         "roundtrip_results": _ROUNDTRIP,
+        "saved_lookups": _SAVED_LOOKUPS,
         "rerun_results": _stored("part_supp", iterations=3, damping=0.9),
         "refresh_from_stream": _stored("tab_lines"),
     }

@@ -14,6 +14,7 @@ from edgetide.operators.trace import trace
 from edgetide.plans.job import run_job
 from edgetide.schema import DAMPING, ITERATIONS
 from edgetide.sources.edges import read_edges
+from edgetide.sources.index import read_index, write_index
 from edgetide.sources.results import job_metadata, read_results
 from edgetide.sources.tables import GRAPHS, csv_lines, edge_lines
 from edgetide.storage import scratch_path, store
@@ -119,6 +120,40 @@ def _roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _saved_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Look-ups answered from saved results alone: (lookup, nodeId, value)."""
+    out_dir = scratch_path(spark, "results")
+    run_job(GRAPHS["part_supp"](spark, sf_dir), out_dir, "part_supp", completed_at=COMPLETED_AT)
+    saved = read_results(spark, out_dir)
+
+    def rows(df: DataFrame, name: str, value: str) -> DataFrame:
+        return df.select(
+            F.lit(name).alias("lookup"), "nodeId", F.col(value).cast("double").alias("value")
+        )
+
+    described = lookup.job_stats(saved.metadata).withColumnRenamed("top_node", "nodeId")
+    return (
+        rows(lookup.node_score(saved.stored, "5"), "score", "pagerank")
+        .unionByName(rows(topk.top_n(saved.stored, 10), "top", "pagerank"))
+        .unionByName(rows(lookup.neighbors(saved.edges, "100"), "neighbors", "count"))
+        .unionByName(rows(lookup.influenced_by(saved.edges, "5"), "influenced_by", "count"))
+        .unionByName(rows(described, "stats", "total_nodes"))
+    )
+
+
+def _indexed(direction: str, find, node_id: str, name: str) -> Callable[[DataFrame], DataFrame]:
+    """A look-up in the copy of the edges that is sorted for it."""
+
+    def query(edges: DataFrame) -> DataFrame:
+        spark = edges.sparkSession
+        folder = scratch_path(spark, "index")
+        write_index(edges, folder)
+        found = find(read_index(spark, folder, direction), node_id)
+        return found.select("nodeId", "direction", "count", "part", _joined(name))
+
+    return query
+
+
 def _rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second job with other parameters replaces the results readers see."""
     out_dir = scratch_path(spark, "results")
@@ -206,6 +241,12 @@ def registered() -> dict[str, Query]:
                 "nodeId", "direction", "count", "part", _joined("sources")
             ),
         ),
+        "neighbors_indexed": _on_stored(
+            "part_next", _indexed("outgoing", lookup.neighbors, "100", "neighbors")
+        ),
+        "influenced_by_indexed": _on_stored(
+            "part_supp", _indexed("incoming", lookup.influenced_by, "5", "sources")
+        ),
         "neighbors_batch": _on_stored("part_supp", _neighbors_batch("outgoing")),
         "influenced_by_batch": _on_stored("part_supp", _neighbors_batch("incoming")),
         "job_metadata": _on_stored("part_next", lambda e: _metadata(e, "part_next")),
@@ -216,6 +257,7 @@ def registered() -> dict[str, Query]:
         "trace_3hop": _on_stored("part_next", _trace(3)),
         "trace_back_2hop": _on_stored("page_links", _trace(2, back=True)),
         "roundtrip_results": _roundtrip,
+        "saved_lookups": _saved_lookups,
         "rerun_results": _rerun,
         "refresh_from_stream": _refresh,
     }

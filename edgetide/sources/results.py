@@ -32,6 +32,13 @@ class Results:
     graph: DataFrame
     metadata: DataFrame
 
+    @property
+    def edges(self) -> DataFrame:
+        """The saved graph as plain edges, for the look-ups by node."""
+        return self.graph.select(
+            F.col("nodeId").alias("src"), F.explode("neighbors").alias("dst")
+        )
+
 
 def job_metadata(
     sizes: DataFrame,

@@ -1,12 +1,15 @@
 """The plans behind the rounds: what is shuffled, where intermediate tables go."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from edgetide.operators import links as layout
+from edgetide.operators import lookup
 from edgetide.operators.links import fixed_layout, prepare_links
 from edgetide.operators.rank import initial_ranks, next_ranks
 from edgetide.sources import tables
+from edgetide.sources.index import read_index, write_index
 from edgetide.storage import checkpoint, drop_scratch, scratch_path, shared_folder, store
 
 
@@ -133,6 +136,25 @@ def test_scratch_tables(spark, tmp_path):
     assert keep.exists()
 
 
+def test_index_files_cover_ranges_and_lookups_are_pushed_down(spark, make_edges, tmp_path):
+    edges = brute.random_edges(200, 3000, seed=13)
+    with fixed_layout(spark, 8):  # small files are not merged here
+        write_index(make_edges(edges), str(tmp_path / "index"))
+    incoming = read_index(spark, str(tmp_path / "index"), "incoming")
+    row = lookup.influenced_by(incoming, "n0").first()
+    assert sorted(row.sources) == sorted(a for a, b in edges if b == "n0")
+    assert "EqualTo(dst,n0)" in plan_of(incoming.where("dst = 'n0'"))
+    ranges = sorted(
+        tuple(row)
+        for row in incoming.groupBy(F.input_file_name().alias("file"))
+        .agg(F.min(F.struct("dst", "src")).alias("low"), F.max(F.struct("dst", "src")).alias("high"))
+        .select("low", "high")
+        .collect()
+    )
+    assert len(ranges) > 1
+    assert all(high < low for (_, high), (low, _) in zip(ranges, ranges[1:]))
+
+
 def pairs(edges):
     from edgetide.operators.stats import count_edges
 
