@@ -164,5 +164,5 @@ def test_ranking_file_order_is_rank_order(spark, make_edges, tmp_path):
     version = run_job(edges, str(tmp_path), "random", iterations=3)
     parts = sorted((tmp_path / f"version={version}" / "ranking").glob("part-*"))
     lines = [line for part in parts for line in part.read_text().splitlines()]
-    order = [row.nodeId for row in full_ranking(read_results(spark, str(tmp_path)).ranking).collect()]
-    assert [line.split("\t")[0] for line in lines] == order
+    best_first = full_ranking(read_results(spark, str(tmp_path)).ranking)
+    assert [line.split("\t")[0] for line in lines] == [r.nodeId for r in best_first.collect()]

@@ -144,13 +144,9 @@ def test_index_files_cover_ranges_and_lookups_are_pushed_down(spark, make_edges,
     row = lookup.influenced_by(incoming, "n0").first()
     assert sorted(row.sources) == sorted(a for a, b in edges if b == "n0")
     assert "EqualTo(dst,n0)" in plan_of(incoming.where("dst = 'n0'"))
-    ranges = sorted(
-        tuple(row)
-        for row in incoming.groupBy(F.input_file_name().alias("file"))
-        .agg(F.min(F.struct("dst", "src")).alias("low"), F.max(F.struct("dst", "src")).alias("high"))
-        .select("low", "high")
-        .collect()
-    )
+    edge = F.struct("dst", "src")
+    per_file = incoming.groupBy(F.input_file_name()).agg(F.min(edge), F.max(edge))
+    ranges = sorted((low, high) for _, low, high in per_file.collect())
     assert len(ranges) > 1
     assert all(high < low for (_, high), (low, _) in zip(ranges, ranges[1:]))
 

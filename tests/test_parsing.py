@@ -50,7 +50,10 @@ def test_splitting_agrees_with_python(spark):
     samples = [line for line, _, _ in RULES if line.strip()]
     line = F.col("value")
     rows = lines_of(spark, samples).select(
-        "value", trimmed(line).alias("t"), tab_fields(line).alias("f"), blank_fields(line).alias("b")
+        "value",
+        trimmed(line).alias("t"),
+        tab_fields(line).alias("f"),
+        blank_fields(line).alias("b"),
     )
     for row in rows.collect():
         assert row.t == row.value.strip()
