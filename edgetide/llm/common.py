@@ -17,6 +17,42 @@ def bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def scan(values: Column, zero: Column, join) -> Column:
+    """For each element, ``join`` over all elements before it, from ``zero``.
+
+    Two levels of runs of about the root of the length, so that long arrays stay cheap.
+    """
+
+    def over(values: Column, run: Column) -> Column:
+        def upto(of: Column, start: Column, length: Column, first: Column) -> Column:
+            return F.aggregate(F.slice(of, start, length), first, join)
+
+        def heads(totals: Column) -> Column:
+            return F.transform(totals, lambda _, j: upto(totals, F.lit(1), j, zero))
+
+        last = F.floor((F.size(values) - 1) / run).cast("int")
+        totals = F.transform(
+            F.sequence(F.lit(0), last), lambda j: upto(values, j * run + 1, run, zero)
+        )
+        return bind(
+            bind(totals, heads),
+            lambda heads: F.transform(
+                values,
+                lambda _, i: bind(
+                    F.floor(i / run).cast("int"),
+                    lambda j: upto(values, j * run + 1, i - j * run, F.get(heads, j)),
+                ),
+            ),
+        )
+
+    def start(values: Column) -> Column:
+        run = F.ceil(F.sqrt(F.size(values))).cast("int")
+        found = bind(run, lambda run: over(values, run))
+        return F.when(F.size(values) == 0, F.slice(values, 1, 0)).otherwise(found)
+
+    return bind(values, start)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, in order; none for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

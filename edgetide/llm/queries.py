@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from edgetide.llm.mixing import mix_documents
 from edgetide.llm.packing import pack_documents
+from edgetide.llm.pii import KINDS, find_personal_data, spans_text
+from edgetide.llm.quality import judge_documents
 from edgetide.llm.sharding import shard_documents
 from edgetide.llm.simple8b import round_trip
 
@@ -32,6 +34,22 @@ def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_documents(spark, sf_dir))
 
 
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_documents(spark, sf_dir))
+    counts = [
+        F.size(F.filter("base", lambda x, kind=kind: x["kind"] == kind))
+        .cast("bigint")
+        .alias(f"n_{name}")
+        for kind, name in enumerate(KINDS[:4])
+    ]
+    digest = F.sha2(spans_text(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, spans_text(F.col("spans")).alias("spans"))
+
+
+def op8_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(_documents(spark, sf_dir)).drop("text")
+
+
 def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(_documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -43,6 +61,8 @@ def registered() -> dict[str, Query]:
         "op2_lpt_shards": op2_lpt_shards,
         "op3_bounded_packing": op3_bounded_packing,
         "op4_simple8b": op4_simple8b,
+        "op7_boosted_pii": op7_boosted_pii,
+        "op8_line_cleaning": op8_line_cleaning,
         "op10_pivotal_mix": op10_pivotal_mix,
     }
 
