@@ -11,23 +11,30 @@ import zlib
 from collections.abc import Iterator
 from functools import partial
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgetide.llm.tokens import END_ID, Encoder
+from edgetide.llm.tokens import encoded
 from edgetide.storage import store
 
 LENGTH = 1024
 OPEN = 64
 FAN_IN = 64
+ROWS_AT_ONCE = 4096
 
 _PIECES = (
     "part long, window long, open boolean, doc_id bigint, start long, length long, "
     "ids_crc32 long, doc_tokens long, offset long"
 )
+_ARROW = pa.schema(
+    [
+        (name, {"long": pa.int64(), "bigint": pa.int64(), "boolean": pa.bool_()}[kind])
+        for name, kind in (field.split(" ") for field in _PIECES.split(", "))
+    ]
+)
 _NAMES = [field.split(" ")[0] for field in _PIECES.split(", ")]
 
 
@@ -63,12 +70,10 @@ class Windows:
 
 
 def _pack_partition(
-    frames: Iterator[pd.DataFrame], tokenizer: str | None, length: int, most: int
-) -> Iterator[pd.DataFrame]:
-    encoder = Encoder(tokenizer)
+    batches: Iterator[pa.RecordBatch], tokenizer: str | None, length: int, most: int
+) -> Iterator[pa.RecordBatch]:
     context = TaskContext.get()
     part = context.partitionId() if context else 0
-    end = np.array([END_ID], "<u4").tobytes()
     windows, number, rows = Windows(length, most), 0, []
 
     def emit(items: list, is_open: bool) -> None:
@@ -79,28 +84,26 @@ def _pack_partition(
             offset += size
         number += 1
 
-    for frame in frames:
-        for doc_id, ids in zip(frame["doc_id"], encoder(frame["text"]), strict=True):
-            ids += end
-            total = len(ids) // 4
-            doc_id = None if pd.isna(doc_id) else int(doc_id)
-            for start in range(0, total, length):
-                cut = ids[4 * start : 4 * (start + length)]
-                size = len(cut) // 4
-                piece = (doc_id, start, size, zlib.crc32(cut), total)
-                full = windows.put(piece, size) if size < length else [(piece, size)]
-                if full:
-                    emit(full, False)
-        yield _frame(rows)
-        rows.clear()
+    def batch() -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else [()] * len(_NAMES)
+        arrays = [pa.array(x, kind) for x, kind in zip(columns, _ARROW.types, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+
+    for doc_id, ids in encoded(batches, tokenizer):
+        total = len(ids) // 4
+        for start in range(0, total, length):
+            cut = ids[4 * start : 4 * (start + length)]
+            size = len(cut) // 4
+            piece = (doc_id, start, size, zlib.crc32(cut), total)
+            full = windows.put(piece, size) if size < length else [(piece, size)]
+            if full:
+                emit(full, False)
+        if len(rows) >= ROWS_AT_ONCE:
+            yield batch()
+            rows.clear()
     for items in windows.rest():
         emit(items, True)
-    yield _frame(rows)
-
-
-def _frame(rows: list) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=_NAMES)
-    return frame.astype({"doc_id": "Int64"})
+    yield batch()
 
 
 def _merge(frame: pd.DataFrame, length: int, most: int, root: bool) -> pd.DataFrame:
@@ -154,10 +157,10 @@ def pack_documents(
         F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text")
     )
 
-    def pack(frames):
-        return _pack_partition(frames, tokenizer, length, most)
+    def pack(batches):
+        return _pack_partition(batches, tokenizer, length, most)
 
-    level, _ = store(rows.mapInPandas(pack, _PIECES), "pieces")
+    level, _ = store(rows.mapInArrow(pack, _PIECES), "pieces")
     parts = (level.agg(F.max("part")).first()[0] or 0) + 1
     done, depth = [], 0
     while True:

@@ -210,7 +210,8 @@ def _examples(rows: int, seed: int = 7) -> list[tuple]:
         "email": [lambda: f"{name()} @ {number(2)}.{number(2)}", lambda: f"{number(1)}@{number(1)}.{number(2)}"],
         "ip": [lambda: ":".join(number(2) for _ in range(4)), lambda: f"{number(1)}:{number(2)}:{number(2)}:"],
         "card": [lambda: number(16), lambda: f"{number(4)}-{number(2)}-{number(2)}", lambda: number(12),
-                 lambda: f"{number(4)}/{number(2)}/{number(2)}"],
+                 lambda: f"{number(4)}/{number(2)}/{number(2)}",
+                 lambda: f"{number(4)} {number(3)}.{number(3)}.{number(2)}"],
         "phone": [lambda: f"{number(2)}.{number(3)}.{number(3)}", lambda: f"{number(4)}-{number(4)}/{number(4)}",
                   lambda: f"{number(2)}/{number(3)} {number(3)}", lambda: f"{number(3)} {number(3)} {number(3)}"],
         "secret": [lambda: f"password: {name()}", lambda: f"token = {name()}", lambda: "secret = undefined"],

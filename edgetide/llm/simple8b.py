@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from edgetide.llm.tokens import END_ID, Encoder
+from edgetide.llm.tokens import encoded
 from edgetide.storage import scratch_path
 
 # Values in a word, by selector; selector 0 is the escape.
@@ -28,18 +29,26 @@ _BLOCKS = (
     "file int, first long, doc_ids array<bigint>, lengths array<bigint>, "
     "n_ids long, escapes binary, words binary"
 )
+_ARROW = pa.schema(
+    [
+        ("file", pa.int32()),
+        ("first", pa.int64()),
+        ("doc_ids", pa.list_(pa.int64())),
+        ("lengths", pa.list_(pa.int64())),
+        ("n_ids", pa.int64()),
+        ("escapes", pa.binary()),
+        ("words", pa.binary()),
+    ]
+)
 _FOUND = "doc_id bigint, file int, at long, n_tokens long, ids_crc32 long"
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs, at least 1."""
-    bits = np.ones(len(values), np.uint8)
-    for shift in (32, 16, 8, 4, 2, 1):
-        high = values >> np.uint64(shift)
-        more = high > 0
-        bits[more] += shift
-        values = np.where(more, high, values)
-    return bits
+    high = (values >> np.uint64(32)).astype(np.float64)
+    low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    bits = np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1])
+    return np.maximum(bits, 1).astype(np.uint8)
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,32 +121,33 @@ def decode(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _write_blocks(frames: Iterator[pd.DataFrame], path: str | None, block_ids: int):
-    encoder = Encoder(path)
+def _write_blocks(batches: Iterator[pa.RecordBatch], path: str | None, block_ids: int):
     context = TaskContext.get()
     file = context.partitionId() if context else 0
-    end = np.array([END_ID], "<u4").tobytes()
     first, ids, lengths, size, packed = 0, [], [], 0, []
 
-    def block() -> pd.DataFrame:
+    def block() -> pa.RecordBatch:
         words, escapes = encode(np.frombuffer(b"".join(packed), "<u4"))
-        row = (
-            file, first, list(ids), list(lengths), size,
-            escapes.astype("<u4").tobytes(), words.astype("<u8").tobytes(),
-        )
-        names = ["file", "first", "doc_ids", "lengths", "n_ids", "escapes", "words"]
-        return pd.DataFrame([row], columns=names)
-
-    for frame in frames:
-        for doc_id, found in zip(frame["doc_id"], encoder(frame["text"]), strict=True):
-            ids.append(None if pd.isna(doc_id) else int(doc_id))
-            packed.append(found + end)
-            lengths.append(len(packed[-1]) // 4)
-            size += lengths[-1]
-            if size >= block_ids:
-                yield block()
-                first += size
-                ids, lengths, size, packed = [], [], 0, []
+        row = {
+            "file": file,
+            "first": first,
+            "doc_ids": ids,
+            "lengths": lengths,
+            "n_ids": size,
+            "escapes": escapes.astype("<u4").tobytes(),
+            "words": words.astype("<u8").tobytes(),
+        }
+        return pa.RecordBatch.from_pylist([row], schema=_ARROW)
+
+    for doc_id, found in encoded(batches, path):
+        ids.append(doc_id)
+        packed.append(found)
+        lengths.append(len(found) // 4)
+        size += lengths[-1]
+        if size >= block_ids:
+            yield block()
+            first += size
+            ids, lengths, size, packed = [], [], 0, []
     if ids:
         yield block()
 
@@ -181,10 +191,10 @@ def write_tokens(
     )
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
-    def work(frames):
-        return _write_blocks(frames, tokenizer, block_ids)
+    def work(batches):
+        return _write_blocks(batches, tokenizer, block_ids)
 
-    ordered.mapInPandas(work, _BLOCKS).write.parquet(folder)
+    ordered.mapInArrow(work, _BLOCKS).write.parquet(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
