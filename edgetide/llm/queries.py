@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgetide.llm.language import identify
 from edgetide.llm.mixing import mix_documents
 from edgetide.llm.packing import pack_documents
 from edgetide.llm.pii import KINDS, find_personal_data, spans_text
@@ -50,6 +51,10 @@ def op8_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(_documents(spark, sf_dir)).drop("text")
 
 
+def op9_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_documents(spark, sf_dir))
+
+
 def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(_documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -63,6 +68,7 @@ def registered() -> dict[str, Query]:
         "op4_simple8b": op4_simple8b,
         "op7_boosted_pii": op7_boosted_pii,
         "op8_line_cleaning": op8_line_cleaning,
+        "op9_kneser_ney_language": op9_kneser_ney_language,
         "op10_pivotal_mix": op10_pivotal_mix,
     }
 
