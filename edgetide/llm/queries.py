@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgetide.llm.brown import score_documents
 from edgetide.llm.language import identify
 from edgetide.llm.mixing import mix_documents
 from edgetide.llm.packing import pack_documents
@@ -35,6 +36,10 @@ def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_documents(spark, sf_dir))
 
 
+def op6_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_documents(spark, sf_dir))
+
+
 def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(_documents(spark, sf_dir))
     counts = [
@@ -66,6 +71,7 @@ def registered() -> dict[str, Query]:
         "op2_lpt_shards": op2_lpt_shards,
         "op3_bounded_packing": op3_bounded_packing,
         "op4_simple8b": op4_simple8b,
+        "op6_brown_classes": op6_brown_classes,
         "op7_boosted_pii": op7_boosted_pii,
         "op8_line_cleaning": op8_line_cleaning,
         "op9_kneser_ney_language": op9_kneser_ney_language,
