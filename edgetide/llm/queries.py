@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from edgetide.llm.brown import score_documents
 from edgetide.llm.language import identify
+from edgetide.llm.minhash import near_duplicates
 from edgetide.llm.mixing import mix_documents
 from edgetide.llm.packing import pack_documents
 from edgetide.llm.pii import KINDS, find_personal_data, spans_text
@@ -36,6 +37,10 @@ def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_documents(spark, sf_dir))
 
 
+def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_documents(spark, sf_dir))
+
+
 def op6_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_documents(spark, sf_dir))
 
@@ -71,6 +76,7 @@ def registered() -> dict[str, Query]:
         "op2_lpt_shards": op2_lpt_shards,
         "op3_bounded_packing": op3_bounded_packing,
         "op4_simple8b": op4_simple8b,
+        "op5_bottom_k": op5_bottom_k,
         "op6_brown_classes": op6_brown_classes,
         "op7_boosted_pii": op7_boosted_pii,
         "op8_line_cleaning": op8_line_cleaning,
