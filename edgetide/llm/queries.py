@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgetide.llm.brown import score_documents
+from edgetide.llm.embeddings import near_duplicate_vectors
 from edgetide.llm.language import identify
 from edgetide.llm.minhash import near_duplicates
 from edgetide.llm.mixing import mix_documents
@@ -22,6 +23,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op2_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_documents(spark, sf_dir)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -73,6 +78,7 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {
+        "op1_pivot_permutation": op1_pivot_permutation,
         "op2_lpt_shards": op2_lpt_shards,
         "op3_bounded_packing": op3_bounded_packing,
         "op4_simple8b": op4_simple8b,
