@@ -370,6 +370,22 @@ def redact(text: Column, spans: Column) -> Column:
     return bind(spans, lambda spans: F.when(F.size(spans) == 0, text).otherwise(cut(spans)))
 
 
+def redact_documents(
+    docs: DataFrame, model: Model | None = None, text_column: str = "text"
+) -> DataFrame:
+    """All documents with all their columns, personal data replaced in the text; null stays null."""
+    model = model or fit_model(docs.sparkSession)
+    text = F.col(f"`{text_column}`")
+
+    def clean(plain: Column) -> Column:
+        found = bind(F.sort_array(base_spans(plain)), lambda base: all_spans(plain, model, base))
+        return bind(found, lambda spans: redact(plain, spans))
+
+    return docs.withColumn(
+        text_column, F.when(text.isNotNull(), bind(F.coalesce(text, F.lit("")), clean))
+    )
+
+
 def find_personal_data(
     docs: DataFrame,
     model: Model | None = None,

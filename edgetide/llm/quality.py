@@ -104,65 +104,86 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return bind(F.transform(words, lambda word: F.xxhash64(word)), count)
 
 
-def judge_documents(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """Counts, verdict and cleaned text of every document, one row each, no shuffle.
+def judgement(text: Column) -> Column:
+    """Counts, verdict and what is left of a text, as one struct.
 
-    (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_words, base_failed,
-    kept, text). ``text`` is what is left once failed lines are removed. A null text has no words,
-    is rejected as too short and stays null; equal rows are judged each on its own; other columns
-    are ignored.
+    (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_words, base_failed, kept,
+    left). A null text has no words, is rejected as too short and stays null.
     """
-    text = F.col("text")
     plain = F.coalesce(text, F.lit(""))
     bare = plain
     for symbol in SYMBOLS:
         bare = F.replace(bare, F.lit(symbol), F.lit(""))
-    of_words = bind(
-        words_of(text),
-        lambda words: F.struct(
+
+    def of_words(words: Column) -> Column:
+        return F.struct(
             F.size(words).cast("bigint").alias("n_words"),
             F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
             repeated_words(words).cast("bigint").alias("n_repeat_words"),
-        ),
-    )
-    of_lines = bind(
-        _lines(text),
-        lambda lines: F.struct(
-            bind(
-                F.transform(F.filter(lines, lambda x: x["words"] > 0), lambda x: x["line"]),
-                lambda full: F.size(full) - F.size(F.array_distinct(full)),
-            )
-            .cast("bigint")
-            .alias("n_dup_lines"),
+        )
+
+    def of_lines(lines: Column) -> Column:
+        full = F.transform(F.filter(lines, lambda x: x["words"] > 0), lambda x: x["line"])
+        good = F.transform(F.filter(lines, lambda x: ~x["failed"]), lambda x: x["line"])
+        repeats = bind(full, lambda full: F.size(full) - F.size(F.array_distinct(full)))
+        return F.struct(
+            repeats.cast("bigint").alias("n_dup_lines"),
             F.aggregate(
                 lines,
                 F.lit(0).cast("bigint"),
                 lambda lost, x: lost + F.when(x["failed"], x["words"]).otherwise(0),
             ).alias("lost_words"),
-            F.array_join(
-                F.transform(F.filter(lines, lambda x: ~x["failed"]), lambda x: x["line"]), "\n"
-            ).alias("left"),
-        ),
+            F.array_join(good, "\n").alias("left"),
+        )
+
+    def verdict(words: Column, lines: Column) -> Column:
+        short = words["n_words"] < LEAST_WORDS
+        failed = short | (words["n_repeat_words"] * 100 > words["n_words"] * REPEAT_PERCENT)
+        loses = lines["lost_words"] * 100 > words["n_words"] * LOST_PERCENT
+        return F.struct(
+            words["n_words"].alias("n_words"),
+            words["word_chars"].alias("word_chars"),
+            (F.length(plain) - F.length(bare)).cast("bigint").alias("n_symbols"),
+            lines["n_dup_lines"].alias("n_dup_lines"),
+            words["n_repeat_words"].alias("n_repeat_words"),
+            lines["lost_words"].alias("lost_words"),
+            failed.alias("base_failed"),
+            (~(failed | loses)).alias("kept"),
+            F.when(text.isNotNull(), lines["left"]).alias("left"),
+        )
+
+    return bind(
+        bind(words_of(text), of_words),
+        lambda words: bind(bind(_lines(text), of_lines), lambda lines: verdict(words, lines)),
+    )
+
+
+def judge_documents(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``judgement`` of every document as columns beside doc_id, one row each, no shuffle.
+
+    Equal rows are judged each on its own; an empty table gives no rows; other columns are
+    ignored.
+    """
+    judged = docs.select(
+        F.col(id_column).alias("doc_id"), judgement(F.col(text_column)).alias("judged")
     )
-    counted = docs.select(
-        F.col(id_column).alias("doc_id"),
-        F.col(text_column).alias("text"),
-    ).select(
-        "doc_id",
-        "text",
-        (F.length(plain) - F.length(bare)).cast("bigint").alias("n_symbols"),
-        of_words.alias("w"),
-        of_lines.alias("l"),
+    return judged.select("doc_id", "judged.*")
+
+
+def clean_documents(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """The kept documents with all their columns, failed lines removed from the text."""
+    names = docs.columns
+    judged = docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in names)).alias("row"),
+        judgement(F.col(f"`{text_column}`")).alias("judged"),
+    ).where("judged.kept")
+    return judged.select(
+        *(
+            F.col("judged.left").alias(name)
+            if name == text_column
+            else F.col(f"row.`{name}`").alias(name)
+            for name in names
+        )
     )
-    short = F.col("w.n_words") < LEAST_WORDS
-    repeats = F.col("w.n_repeat_words") * 100 > F.col("w.n_words") * REPEAT_PERCENT
-    loses = F.col("l.lost_words") * 100 > F.col("w.n_words") * LOST_PERCENT
-    return counted.select(
-        "doc_id", "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words",
-        "l.lost_words",
-        (short | repeats).alias("base_failed"),
-        (~(short | repeats | loses)).alias("kept"),
-        F.when(text.isNotNull(), F.col("l.left")).alias("text"),
-    )

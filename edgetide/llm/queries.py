@@ -63,7 +63,7 @@ def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_documents(_documents(spark, sf_dir)).drop("text")
+    return judge_documents(_documents(spark, sf_dir)).drop("left")
 
 
 def op9_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
