@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from edgetide.llm.common import bind, scan
 
 EXAMPLES = 4000
-TREES = 12
-DEPTH = 3
+TREES = 20
+DEPTH = 4
 PRECISION = 0.98
 CONTEXT = 24
 
