@@ -280,6 +280,19 @@ class ClassModel:
         return math.log10(self.train_tokens + self.types + 1)
 
 
+def _class_model(
+    classes: np.ndarray, between: np.ndarray, sizes: np.ndarray, count: int
+) -> ClassModel:
+    """From the counts between classes and each class's (types, tokens)."""
+    types, words = sizes
+    share = (words + 1) / (words + 1).sum()
+    steps = (between + share) / (between.sum(1, keepdims=True) + 1)
+    return ClassModel(
+        classes, np.log10(steps), np.log10(words + types + 1),
+        int(words.sum()), int(types.sum()), int(words[count]),
+    )
+
+
 def _score(
     batches: Iterator[pa.RecordBatch], lexicon_of, model_of
 ) -> Iterator[pa.RecordBatch]:
@@ -393,12 +406,7 @@ def score_documents(
         .collect()
     ):
         sizes[:, row["class"]] = row["types"], row["tokens"]
-    seen = sizes[1] + 1
-    steps = (between + seen / seen.sum()) / (between.sum(1, keepdims=True) + 1)
-    model = ClassModel(
-        classes, np.log10(steps), np.log10(sizes[1] + sizes[0] + 1),
-        int(sizes[1].sum()), int(sizes[0].sum()), int(sizes[1][count]),
-    )
+    model = _class_model(classes, between, sizes, count)
     model_of = spark.sparkContext.broadcast(model)
     scoring = partial(_score, lexicon_of=lexicon_of, model_of=model_of)
     local, _ = store(rows.mapInArrow(scoring, _LOCAL), "scored")

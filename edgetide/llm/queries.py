@@ -90,6 +90,3 @@ def registered() -> dict[str, Query]:
         "op10_pivotal_mix": op10_pivotal_mix,
     }
 
-
-def statements() -> dict[str, str]:
-    return {}

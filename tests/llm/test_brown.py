@@ -78,17 +78,12 @@ def test_the_dictionary_size_hardly_matters(make_docs, corpus):
 
 def test_probabilities_add_up_to_one(make_docs, corpus, monkeypatch):
     """Of all words of the training texts and one unseen word in each class, behind any class."""
-    caught = {}
-    made = brown.ClassModel
-
-    def catch(*values):
-        caught["model"] = made(*values)
-        return caught["model"]
-
-    monkeypatch.setattr(brown, "ClassModel", catch)
+    caught = []
+    made = brown._class_model
+    monkeypatch.setattr(brown, "_class_model", lambda *x: caught.append(made(*x)) or caught[0])
     docs = make_docs(list(corpus.values()), ids=list(corpus))
     small(docs).collect()
-    step, share = caught["model"].step, caught["model"].share
+    step, share = caught[0].step, caught[0].share
     assert np.allclose((10**step).sum(1), 1)
     counts = Counter(w for i, t in corpus.items() if not held_out(i) for w in [*tokens(t), b""])
     # sum over a class's words and its unseen one of (count + 1) is what it is divided by
