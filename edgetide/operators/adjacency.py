@@ -1,55 +1,84 @@
 """Neighbour lists, duplicates kept.
 
-A list is one row as long as it has at most ``ENTRIES_PER_LIST`` entries. Longer ones come as
-several rows (``part`` 0, 1, ...) that together hold all entries, so that no task and no row
-ever carries a hub whole.
+A list is one row as long as it has at most ``ENTRIES_PER_LIST`` entries. A longer one is cut into
+contiguous ranges of that many entries, one row each (``part`` 0, 1, ...); the parts in order are
+the sorted list, so that no task and no row ever carries a hub whole.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgetide.operators.skew import fits_broadcast, hot_keys, join_unique
-from edgetide.operators.stats import count_edges, with_copies
+from edgetide.operators.stats import Edges, store_counted
 from edgetide.storage import checkpoint
 
 ENTRIES_PER_LIST = 100_000
 
 
-def _cut(counted: DataFrame, long: DataFrame, key: str, other: str, limit: int) -> DataFrame:
-    """Give each entry of a long list its part; an edge of many copies is cut into blocks."""
-    if fits_broadcast(long, key):
-        sized = counted.join(F.broadcast(long), key, "left")
-    else:
-        sized = join_unique(counted, long, key, hot_keys(long, [key], "size", limit), "left")
-    cut = F.lit(limit)
-    blocks = F.expr(f"sequence(0L, (copies - 1) div {int(limit)})")
-    parts = F.ceil(F.coalesce("size", F.lit(1)) / cut)
-    return sized.withColumn("block", F.explode(blocks)).select(
+def _cut(rows: DataFrame, key: str, other: str, limit: int) -> DataFrame:
+    """The part of each entry of long lists, and how many of its copies lie in it.
+
+    Rows are sorted by ranges, which cut a hub over many partitions; an entry's place is the sum
+    before it in its range plus the sums of the key's earlier ranges.
+    """
+    ranged = checkpoint(
+        rows.repartitionByRange(key, other).withColumn("chunk", F.spark_partition_id())
+    )
+    inside = Window.partitionBy(key, "chunk").orderBy(other)
+    of_key = Window.partitionBy(key)
+    earlier = of_key.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = ranged.groupBy(key, "chunk").agg(F.sum("copies").alias("held"))
+    chunks = chunks.select(
+        key,
+        "chunk",
+        F.sum("held").over(of_key).alias("size"),
+        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"),
+    )
+    end = F.col("before") + F.sum("copies").over(inside)
+    placed = ranged.join(chunks, [key, "chunk"]).select(
+        key, other, "size", end.alias("end"), (end - F.col("copies")).alias("start")
+    )
+    cut = int(limit)
+    parts = F.explode(F.expr(f"sequence(start div {cut}, (end - 1) div {cut})"))
+    return placed.withColumn("part", parts).select(
         key,
         other,
         "size",
-        F.pmod(F.xxhash64(other) + F.col("block"), parts).alias("part"),
-        F.least(cut, F.col("copies") - F.col("block") * cut).cast("int").alias("copies"),
+        "part",
+        (
+            F.least(F.col("end"), (F.col("part") + 1) * cut)
+            - F.greatest(F.col("start"), F.col("part") * cut)
+        )
+        .cast("int")
+        .alias("copies"),
     )
 
 
 def neighbor_lists(
-    edges: DataFrame, key: str, other: str, limit: int = ENTRIES_PER_LIST
+    edges: Edges, key: str, other: str, limit: int = ENTRIES_PER_LIST
 ) -> DataFrame:
-    """(key, part, count, entries): sorted neighbours per key; ``count`` covers all parts."""
-    counted = count_edges(edges)
-    sizes = with_copies(edges).groupBy(key).agg(F.sum("copies").alias("size"))
+    """(key, part, count, entries): sorted neighbours per key; ``count`` covers all parts.
+
+    ``edges`` is read once; sizes and lists come from its stored, counted rows.
+    """
+    counted = store_counted(edges)[0].rows
+    sizes = counted.groupBy(key).agg(F.sum("copies").alias("size"))
     long = checkpoint(sizes.where(F.col("size") > limit))
+    none = F.lit(None).cast("bigint").alias("size")
+    first = F.lit(0).cast("bigint").alias("part")
+    columns = [key, other, none, first, F.col("copies").cast("int").alias("copies")]
     if long.isEmpty():
-        entries = counted.select(
-            key,
-            other,
-            F.lit(None).cast("bigint").alias("size"),
-            F.lit(0).cast("bigint").alias("part"),
-            F.col("copies").cast("int").alias("copies"),
-        )
+        entries = counted.select(*columns)
     else:
-        entries = _cut(counted, long, key, other, limit)
+        if fits_broadcast(long, key):
+            found = F.broadcast(long.select(key))
+            rows = counted.join(found, key, "left_semi")
+        else:
+            hot = hot_keys(long, [key], "size", limit)
+            rows = join_unique(counted, long.select(key), key, hot, "left_semi")
+            found = long.select(key)
+        short = counted.join(found, key, "left_anti").select(*columns)
+        entries = short.unionByName(_cut(rows, key, other, limit))
     runs = F.sort_array(F.collect_list(F.struct(other, "copies")))
     return (
         entries.groupBy(key, "part")
@@ -65,14 +94,14 @@ def neighbor_lists(
     )
 
 
-def adjacency(edges: DataFrame, limit: int = ENTRIES_PER_LIST) -> DataFrame:
+def adjacency(edges: Edges, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """(nodeId, part, neighbors) for every source."""
     return neighbor_lists(edges, "src", "dst", limit).select(
         F.col("src").alias("nodeId"), "part", F.col("entries").alias("neighbors")
     )
 
 
-def reverse_adjacency(edges: DataFrame, limit: int = ENTRIES_PER_LIST) -> DataFrame:
+def reverse_adjacency(edges: Edges, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """(nodeId, part, sources) for every target."""
     return neighbor_lists(edges, "dst", "src", limit).select(
         F.col("dst").alias("nodeId"), "part", F.col("entries").alias("sources")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from edgetide.operators.keys import Keys, shortest_keys
 from edgetide.operators.skew import ROWS_PER_SLICE, hot_keys, repeat_per_slice, slice_rows
-from edgetide.operators.stats import nodes, with_copies
+from edgetide.operators.stats import CountedEdges, Edges, nodes, store_counted, with_copies
 from edgetide.storage import drop_scratch, store
 
 # Bounds on the distinct edges per partition; in between, the session's setting decides.
@@ -99,27 +99,27 @@ def _partitions(spark: SparkSession, rows: int) -> int:
     return max(1, min(usual, -(-rows // FEW_ROWS)), -(-rows // MANY_ROWS))
 
 
-def prepare_links(edges: DataFrame, rows_per_slice: int | None = None) -> Links:
+def prepare_links(edges: Edges, rows_per_slice: int | None = None) -> Links:
     """Count, weigh and place the edges once, so that no round moves them again.
 
-    ``edges`` is read twice, for its nodes and for its links; store it first if it is costly to
-    derive. Nodes and distinct links are written as tables: a lost cache block is rebuilt from
+    ``edges`` is read once; edges that are not counted yet are counted and stored first. Nodes and distinct links are written as tables: a lost cache block is rebuilt from
     there and not from the input. The links are then shuffled once, by source. A source with
     more than ``rows_per_slice`` distinct links (by default an average partition's load, and
     at least ``ROWS_PER_SLICE``) is cut into slices so that no partition carries it whole.
     """
     spark = edges.sparkSession
+    scratch = []
+    if not isinstance(edges, CountedEdges):
+        edges, edges_path = store_counted(edges)
+        scratch.append(edges_path)
     ids, ids_path = store(nodes(edges), "nodes")
+    scratch.append(ids_path)
     keys = shortest_keys(ids)
     src, dst = keys.names("src"), keys.names("dst")
-    counted, counted_path = store(
-        with_copies(edges)
-        .select(*keys.of("src", "src"), *keys.of("dst", "dst"), "copies")
-        .groupBy(*src, *dst)
-        .agg(F.sum("copies").alias("copies")),
-        "links",
+    # distinct by id, and no two ids share a key: nothing to combine
+    counted = with_copies(edges).select(
+        *keys.of("src", "src"), *keys.of("dst", "dst"), "copies"
     )
-    scratch = [ids_path, counted_path]
     sources = counted.groupBy(*src).agg(
         F.sum("copies").alias("out_degree"), F.count(F.lit(1)).alias("fanout")
     )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from edgetide.operators.adjacency import ENTRIES_PER_LIST, neighbor_lists
 from edgetide.operators.skew import ROWS_PER_SLICE, rows_matching
+from edgetide.operators.stats import CountedEdges, Edges
 from edgetide.operators.topk import stored_list
 from edgetide.functions.text import rounded
 from edgetide.schema import STORED
@@ -16,7 +17,7 @@ _DIRECTIONS = {"outgoing": ("src", "dst", "neighbors"), "incoming": ("dst", "src
 
 def _searched(ranks: DataFrame, stored: int | None) -> DataFrame:
     if stored is not None:
-        return stored_list(ranks, stored)
+        return stored_list(ranks, stored).drop("rank")
     return ranks.select("nodeId", rounded(F.col("pagerank")).alias("pagerank"))
 
 
@@ -25,8 +26,8 @@ def node_score(ranks: DataFrame, node_id: str, stored: int | None = STORED) -> D
     return _searched(ranks, stored).where(F.col("nodeId") == F.lit(str(node_id)))
 
 
-def node_scores(ranks: DataFrame, ids: DataFrame, stored: int | None = STORED) -> DataFrame:
-    """The same for a table of ids (column nodeId)."""
+def node_scores(ranks: DataFrame, ids: DataFrame, stored: int | None = None) -> DataFrame:
+    """The same for a table of ids (column nodeId), by default over the whole ranking."""
     wanted = ids.select(F.col("nodeId").cast("string")).distinct()
     found = _searched(ranks, stored)
     if stored is not None and stored <= STORED:
@@ -34,7 +35,7 @@ def node_scores(ranks: DataFrame, ids: DataFrame, stored: int | None = STORED) -
     return wanted.join(found, "nodeId")
 
 
-def _report(edges: DataFrame, direction: str, limit: int) -> DataFrame:
+def _report(edges: Edges, direction: str, limit: int) -> DataFrame:
     key, other, name = _DIRECTIONS[direction]
     return neighbor_lists(edges, key, other, limit).select(
         F.col(key).alias("nodeId"),
@@ -45,18 +46,18 @@ def _report(edges: DataFrame, direction: str, limit: int) -> DataFrame:
     )
 
 
-def neighbors(edges: DataFrame, node_id: str, limit: int = ENTRIES_PER_LIST) -> DataFrame:
+def neighbors(edges: Edges, node_id: str, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """Whom a node links to: (nodeId, direction, count, part, neighbors)."""
     return _report(edges.where(F.col("src") == F.lit(str(node_id))), "outgoing", limit)
 
 
-def influenced_by(edges: DataFrame, node_id: str, limit: int = ENTRIES_PER_LIST) -> DataFrame:
+def influenced_by(edges: Edges, node_id: str, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """Who links to a node: (nodeId, direction, count, part, sources)."""
     return _report(edges.where(F.col("dst") == F.lit(str(node_id))), "incoming", limit)
 
 
 def neighbors_of(
-    edges: DataFrame,
+    edges: Edges,
     ids: DataFrame,
     direction: str = "outgoing",
     limit: int = ENTRIES_PER_LIST,
@@ -65,7 +66,11 @@ def neighbors_of(
     """Neighbour lists for a table of ids (column nodeId), in either direction."""
     key = _DIRECTIONS[direction][0]
     wanted = checkpoint(ids.select(F.col("nodeId").cast("string").alias(key)).distinct())
-    return _report(rows_matching(edges, wanted, key, rows_per_slice), direction, limit)
+    if isinstance(edges, CountedEdges):
+        found = CountedEdges(rows_matching(edges.rows, wanted, key, rows_per_slice))
+    else:
+        found = rows_matching(edges, wanted, key, rows_per_slice)
+    return _report(found, direction, limit)
 
 
 def job_stats(metadata: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgetide.operators.links import Links, fixed_layout, prepare_links
+from edgetide.operators.stats import Edges
 from edgetide.operators.skew import repeat_per_slice
 from edgetide.schema import CHECKPOINT_EVERY, DAMPING, ITERATIONS
 from edgetide.storage import checkpoint
@@ -79,6 +80,8 @@ def rank(
     failure never goes back further than the last cut.
     """
     check_parameters(iterations, damping)
+    if checkpoint_every < 1:
+        raise ValueError("checkpoint_every must be at least 1")
     with fixed_layout(links.edges.sparkSession, links.partitions):
         ranks = initial_ranks(links)
         for done in range(1, iterations + 1):
@@ -89,7 +92,7 @@ def rank(
 
 
 def rank_edges(
-    edges: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING
+    edges: Edges, iterations: int = ITERATIONS, damping: float = DAMPING
 ) -> DataFrame:
     """Ranks of an edge list; intermediate tables are dropped before returning."""
     check_parameters(iterations, damping)

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from edgetide.functions.text import rounded, ten_decimals
 from edgetide.schema import STORED, TOP
 
+# The longest list Spark can limit to.
+MOST_ROWS = 2**31 - 1
+
 _BEST_FIRST = (F.desc, "pagerank"), (F.asc, "nodeId")
 
 
@@ -19,20 +22,23 @@ def full_ranking(ranks: DataFrame) -> DataFrame:
 
 
 def ranking_lines(ranks: DataFrame) -> DataFrame:
-    """The ranking as text lines: node, tab, score with ten decimals."""
-    line = F.concat_ws("\t", "nodeId", ten_decimals(F.col("pagerank")))
+    """The ranking as text lines: node, tab, score with ten decimals.
+
+    Line ends inside an id are written as ``\\n`` and ``\\r``, so that a node stays one line.
+    """
+    node = F.replace(F.replace("nodeId", F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    line = F.concat_ws("\t", node, ten_decimals(F.col("pagerank")))
     return full_ranking(ranks).select(line.alias("value"))
 
 
 def stored_list(ranks: DataFrame, stored: int = STORED) -> DataFrame:
-    """The best ``stored`` nodes, scores rounded to eight places."""
-    best = ranks.orderBy(*_order()).limit(stored)
-    return best.select("nodeId", rounded(F.col("pagerank")).alias("pagerank"))
+    """The best ``stored`` nodes with their place, scores rounded to eight places."""
+    return top_list(ranks, stored)
 
 
 def top_list(ranks: DataFrame, n: int = TOP) -> DataFrame:
     """The best ``n`` nodes with their place 1..n; the window sees those n rows only."""
-    best = ranks.orderBy(*_order()).limit(n)
+    best = ranks.orderBy(*_order()).limit(min(n, MOST_ROWS))
     place = F.row_number().over(Window.orderBy(*_order())).cast("bigint")
     return best.select(
         place.alias("rank"), "nodeId", rounded(F.col("pagerank")).alias("pagerank")
@@ -50,15 +56,18 @@ def _requested(n) -> int:
 
 
 def top_n(stored: DataFrame, n) -> DataFrame:
-    """The first ``n`` rows of a stored list (``stored_list``), or all of it if shorter."""
-    return stored.orderBy(*_order()).limit(_requested(n))
+    """The first ``n`` rows of a stored list by place, or all of it if shorter: (nodeId, pagerank).
+
+    Places come from the unrounded scores; rounded ones may tie and would change the order.
+    """
+    return stored.where(F.col("rank") <= _requested(n)).orderBy("rank").drop("rank")
 
 
 def top_n_header(stored: DataFrame, n) -> DataFrame:
     """One row: requested, returned, and a note when fewer are stored than requested."""
     requested = _requested(n)
     available = F.count(F.lit(1))
-    note = F.format_string("Only %d nodes available; returned all", available)
+    note = F.format_string("all %d stored nodes are listed", available)
     return stored.agg(
         F.lit(requested).cast("bigint").alias("requested"),
         F.least(F.lit(requested).cast("bigint"), available).alias("returned"),

@@ -20,6 +20,8 @@ def trace(
     the shuffle and removes the nodes already met. The frontier is checkpointed, its size
     decides whether it is broadcast, and an empty one ends the walk.
     """
+    if hops < 0:
+        raise ValueError("hops must be at least 0")
     here, there = ("dst", "src") if back else ("src", "dst")
     frontier = checkpoint(starts.select(F.col("nodeId").cast("string")).distinct())
     met = frontier.withColumn("hop", F.lit(0).cast("bigint"))

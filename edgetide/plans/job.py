@@ -3,14 +3,13 @@
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
-
+from edgetide.operators.adjacency import ENTRIES_PER_LIST
 from edgetide.operators.links import prepare_links
 from edgetide.operators.rank import check_parameters, rank
-from edgetide.operators.stats import count_edges
+from edgetide.operators.stats import Edges, store_counted
 from edgetide.schema import DAMPING, ITERATIONS
 from edgetide.sources.results import job_metadata, write_metadata, write_rankings
-from edgetide.storage import drop_scratch, store
+from edgetide.storage import drop_scratch
 
 
 def new_version() -> str:
@@ -19,13 +18,14 @@ def new_version() -> str:
 
 
 def run_job(
-    edges: DataFrame,
+    edges: Edges,
     out_dir: str,
     dataset_name: str,
     iterations: int = ITERATIONS,
     damping: float = DAMPING,
     completed_at: str | None = None,
     version: str | None = None,
+    entries_per_list: int = ENTRIES_PER_LIST,
 ) -> str:
     """Rank ``edges`` and save everything under ``out_dir``; returns the new version's name.
 
@@ -36,12 +36,12 @@ def run_job(
     check_parameters(iterations, damping)
     version = version or new_version()
     folder = f"{out_dir}/version={version}"
-    counted, path = store(count_edges(edges), "edges")
+    counted, path = store_counted(edges)
     try:
         links = prepare_links(counted)
         try:
             ranks = rank(links, iterations, damping)
-            write_rankings(ranks, counted, folder)
+            write_rankings(ranks, counted, folder, entries_per_list)
             completed_at = completed_at or datetime.now(timezone.utc).isoformat()
             metadata = job_metadata(
                 links.sizes(), ranks, dataset_name, iterations, damping, completed_at

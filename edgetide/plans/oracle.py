@@ -1,6 +1,6 @@
 """The registered queries as plain SQL over the test tables."""
 
-from edgetide.plans.queries import COMPLETED_AT
+from edgetide.plans.queries import CLOSE_DAMPING, COMPLETED_AT, LIST_LIMIT
 
 # Raw edges, one row per link, as (src, dst).
 GRAPHS = {
@@ -87,10 +87,14 @@ _BEST = "row_number() OVER (ORDER BY score DESC, nodeId)"
 
 def _stored(graph: str, n: int = 1000, iterations: int = 10, damping: float = 0.85) -> str:
     return f"""{_ranked(graph, iterations, damping)}
-        SELECT nodeId, round(score, 8) AS pagerank
+        SELECT {_BEST} AS rank, nodeId, round(score, 8) AS pagerank
         FROM ranks ORDER BY score DESC, ranks.nodeId LIMIT {n}"""
 
 
+def _top_n(graph: str, n: int, damping: float = 0.85) -> str:
+    return f"""SELECT nodeId, pagerank FROM ({_stored(graph, n, damping=damping)})"""
+
+
 def _top5(graph: str) -> str:
     return f"""{_ranked(graph)}
         SELECT {_BEST} AS rank, nodeId, round(score, 8) AS pagerank
@@ -102,7 +106,7 @@ def _header(graph: str, n: int) -> str:
         , available AS (SELECT least(1000, count(*)) AS n FROM ranks)
         SELECT CAST({n} AS BIGINT) AS requested, least({n}, n) AS returned,
                CASE WHEN n < {n}
-                    THEN 'Only ' || n || ' nodes available; returned all' END AS note
+                    THEN 'all ' || n || ' stored nodes are listed' END AS note
         FROM available"""
 
 
@@ -191,6 +195,7 @@ def statements() -> dict[str, str]:
         "scan_gzip_edges": GRAPHS["tab_lines"],
         "scan_csv_edges": GRAPHS["csv_lines"],
         "graph_stats": _sizes("part_next"),
+        "graph_stats_ws": _sizes("blank_lines"),
         "graph_stats_page_links": _sizes("page_links"),
         "nodes": f"""{_graph("page_links")}
             SELECT src AS nodeId FROM edges UNION SELECT dst FROM edges""",
@@ -206,6 +211,12 @@ def statements() -> dict[str, str]:
             SELECT nodeId, part, neighbors FROM ({_lists("src", "dst", "neighbors")})""",
         "reverse_adjacency": f"""{_graph("page_links")}
             SELECT nodeId, part, sources FROM ({_lists("dst", "src", "sources")})""",
+        "adjacency_parts": f"""{_graph("part_supp")}
+            SELECT dst AS nodeId, (place - 1) // {LIST_LIMIT} AS part,
+                   string_agg(src, ',' ORDER BY place) AS sources
+            FROM (SELECT src, dst, row_number() OVER (PARTITION BY dst ORDER BY src) AS place
+                  FROM edges)
+            GROUP BY 1, 2""",
         "contributions": f"""{_graph("nation_trade")}
             SELECT dst AS nodeId, round(sum(CAST(1 AS DOUBLE) / out_degree), 8) AS received
             FROM edges
@@ -219,6 +230,7 @@ def statements() -> dict[str, str]:
         "pagerank_10_nation_trade": _scores("nation_trade"),
         "pagerank_vanish": _scores("page_links"),
         "pagerank_page_links_1": _scores("page_links", 1),
+        "pagerank_hot_sources": _scores("part_next", 3),
         "pagerank_d90": _scores("part_next", damping=0.9),
         "pagerank_it15": _scores("part_next", 15),
         "full_ranking": _scores("part_next"),
@@ -227,14 +239,17 @@ def statements() -> dict[str, str]:
         "top5": _top5("part_next"),
         "top5_nation_trade": _top5("nation_trade"),
         "top1000": _stored("part_next"),
-        "top_n": _stored("part_next", 50),
+        "top_n": _top_n("part_next", 50),
+        "top_n_close": _top_n("part_next", 20, CLOSE_DAMPING),
+        "top_n_close_saved": _top_n("part_next", 20, CLOSE_DAMPING),
         "top_n_capped": _header("part_supp", 5000),
         "top_n_header": _header("part_next", 10),
         "node_score": f"""WITH best AS ({_stored("part_supp")})
             SELECT nodeId, pagerank FROM best WHERE nodeId = '5'""",
         "node_score_full": f"{_scores('part_next')} WHERE nodeId = '100'",
         "node_score_missing": f"{_scores('part_next')} WHERE nodeId = 'none'",
-        "node_scores_batch": _stored("part_supp"),
+        "node_scores_batch": _scores("part_supp"),
+        "node_scores_all": _scores("part_next"),
         "neighbors": _graph("part_next") + _lists("src", "dst", "neighbors", "src = '100'"),
         "influenced_by": _graph("part_supp") + _lists("dst", "src", "sources", "dst = '5'"),
         "neighbors_indexed": _graph("part_next")
@@ -252,6 +267,7 @@ def statements() -> dict[str, str]:
             FROM described""",
         "trace_2hop": _trace("part_supp", 2),
         "trace_3hop": _trace("part_next", 3),
+        "trace_6hop": _trace("part_next", 6),
         "trace_back_2hop": _trace("page_links", 2, back=True),
         "roundtrip_results": _ROUNDTRIP,
         "saved_lookups": _SAVED_LOOKUPS,

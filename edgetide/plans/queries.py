@@ -5,11 +5,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgetide.functions.text import rounded
+from edgetide.functions.text import rounded, ten_decimals
 from edgetide.operators import adjacency as lists
 from edgetide.operators import lookup, stats, topk
 from edgetide.operators.links import prepare_links
-from edgetide.operators.rank import contributions, initial_ranks, rank_edges, with_ids
+from edgetide.operators.rank import contributions, initial_ranks, rank, rank_edges, with_ids
 from edgetide.operators.trace import trace
 from edgetide.plans.job import run_job
 from edgetide.schema import DAMPING, ITERATIONS
@@ -22,6 +22,12 @@ from edgetide.streaming.refresh import refresh_from_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# So small that all scores are equal once rounded.
+CLOSE_DAMPING = 1e-9
+# Makes the small tables' largest sources hot.
+SMALL_SLICE = 8
+LIST_LIMIT = 50
+
 # Stands for the finishing time, a parameter, so that results repeat.
 COMPLETED_AT = "2024-01-01T00:00:00+00:00"
 
@@ -114,7 +120,7 @@ def _roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         rows(saved.top, "top", F.col("pagerank"))
         .unionByName(rows(saved.stored, "stored", F.col("pagerank")))
-        .unionByName(rows(saved.ranking, "ranking", F.col("pagerank")))
+        .unionByName(rows(saved.ranking, "ranking", ten_decimals(F.col("pagerank"))))
         .unionByName(rows(saved.graph, "graph", F.size("neighbors")))
         .unionByName(rows(described, "metadata", F.col("total_edges")))
     )
@@ -135,8 +141,8 @@ def _saved_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         rows(lookup.node_score(saved.stored, "5"), "score", "pagerank")
         .unionByName(rows(topk.top_n(saved.stored, 10), "top", "pagerank"))
-        .unionByName(rows(lookup.neighbors(saved.edges, "100"), "neighbors", "count"))
-        .unionByName(rows(lookup.influenced_by(saved.edges, "5"), "influenced_by", "count"))
+        .unionByName(rows(lookup.neighbors(saved.outgoing, "100"), "neighbors", "count"))
+        .unionByName(rows(lookup.influenced_by(saved.incoming, "5"), "influenced_by", "count"))
         .unionByName(rows(described, "stats", "total_nodes"))
     )
 
@@ -170,11 +176,30 @@ def _refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     edge_lines(spark, sf_dir).repartition(4).write.text(incoming)
     refresh_from_stream(
-        spark, incoming, edge_store, out_dir, "lines", every=None, files_per_trigger=2
-    ).awaitTermination()
+        spark, incoming, edge_store, out_dir, "lines", on_malformed="drop", every=None,
+        files_per_trigger=2,
+    ).awaitTermination()
     return read_results(spark, out_dir).stored
 
 
+def _top_n_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top n from saved results whose scores are equal once rounded."""
+    out_dir = scratch_path(spark, "results")
+    run_job(GRAPHS["part_next"](spark, sf_dir), out_dir, "part_next", damping=CLOSE_DAMPING)
+    return topk.top_n(read_results(spark, out_dir).stored, 20)
+
+
+def _blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over the blank-separated reader."""
+    return stats.graph_stats(_scan(edge_lines, "blank")(spark, sf_dir))
+
+
+def _sliced(edges: DataFrame) -> DataFrame:
+    """Ranks by way of hot sources: a few links are already too many for one place."""
+    links = prepare_links(edges, rows_per_slice=SMALL_SLICE)
+    return _scores(rank(links, iterations=3))
+
+
 def registered() -> dict[str, Query]:
     return {
         "scan_tab_edges": _scan(edge_lines, "tab"),
@@ -182,6 +207,7 @@ def registered() -> dict[str, Query]:
         "scan_gzip_edges": _scan(edge_lines, "tab", compression="gzip"),
         "scan_csv_edges": _scan(csv_lines, "csv"),
         "graph_stats": _on_graph("part_next", stats.graph_stats),
+        "graph_stats_ws": _blank_lines,
         "graph_stats_page_links": _on_graph("page_links", stats.graph_stats),
         "nodes": _on_graph("page_links", stats.nodes),
         "out_degree": _on_graph("part_next", stats.out_degree),
@@ -198,6 +224,12 @@ def registered() -> dict[str, Query]:
                 "nodeId", "part", _joined("sources")
             ),
         ),
+        "adjacency_parts": _on_stored(
+            "part_supp",
+            lambda edges: lists.reverse_adjacency(edges, LIST_LIMIT).select(
+                "nodeId", "part", _joined("sources")
+            ),
+        ),
         "contributions": _on_stored("nation_trade", _contributions),
         "rank_iter0": _on_ranks("part_supp", _scores, iterations=0),
         "rank_iter1": _on_ranks("nation_trade", _scores, iterations=1),
@@ -207,6 +239,7 @@ def registered() -> dict[str, Query]:
         "pagerank_10_nation_trade": _on_ranks("nation_trade", _scores),
         "pagerank_vanish": _on_ranks("page_links", _scores),
         "pagerank_page_links_1": _on_ranks("page_links", _scores, iterations=1),
+        "pagerank_hot_sources": _on_stored("part_next", _sliced),
         "pagerank_d90": _on_ranks("part_next", _scores, damping=0.9),
         "pagerank_it15": _on_ranks("part_next", _scores, iterations=15),
         "full_ranking": _on_ranks("part_next", lambda r: _scores(topk.full_ranking(r))),
@@ -215,6 +248,10 @@ def registered() -> dict[str, Query]:
         "top5_nation_trade": _on_ranks("nation_trade", topk.top_list),
         "top1000": _on_ranks("part_next", topk.stored_list),
         "top_n": _on_ranks("part_next", lambda r: topk.top_n(topk.stored_list(r), 50)),
+        "top_n_close": _on_ranks(
+            "part_next", lambda r: topk.top_n(topk.stored_list(r), 20), damping=CLOSE_DAMPING
+        ),
+        "top_n_close_saved": _top_n_saved,
         "top_n_capped": _on_ranks(
             "part_supp", lambda r: topk.top_n_header(topk.stored_list(r), 5000)
         ),
@@ -229,6 +266,9 @@ def registered() -> dict[str, Query]:
         "node_scores_batch": _on_stored(
             "part_supp", lambda e: lookup.node_scores(rank_edges(e), stats.nodes(e))
         ),
+        "node_scores_all": _on_stored(
+            "part_next", lambda e: lookup.node_scores(rank_edges(e), stats.nodes(e))
+        ),
         "neighbors": _on_graph(
             "part_next",
             lambda edges: lookup.neighbors(edges, "100").select(
@@ -255,6 +295,7 @@ def registered() -> dict[str, Query]:
         ),
         "trace_2hop": _on_stored("part_supp", _trace(2)),
         "trace_3hop": _on_stored("part_next", _trace(3)),
+        "trace_6hop": _on_stored("part_next", _trace(6)),
         "trace_back_2hop": _on_stored("page_links", _trace(2, back=True)),
         "roundtrip_results": _roundtrip,
         "saved_lookups": _saved_lookups,

@@ -33,6 +33,7 @@ ADJACENCY = T.StructType(
     ]
 )
 
+# The field names of the saved description.
 METADATA = T.StructType(
     [
         T.StructField("dataset_name", T.StringType()),

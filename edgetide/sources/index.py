@@ -4,21 +4,28 @@ A look-up then reads the few files and row groups whose value range covers the i
 cut over (end, other end), so a hub's edges lie in as many files as they need.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from edgetide.operators.stats import count_edges
+from edgetide.operators.stats import CountedEdges, Edges, store_counted
+from edgetide.storage import drop_scratch
 
 _ENDS = {"outgoing": ("src", "dst"), "incoming": ("dst", "src")}
 
 
-def write_index(edges: DataFrame, folder: str) -> None:
-    """Write the counted edges twice, ``outgoing`` by source and ``incoming`` by target."""
+def write_index(edges: Edges, folder: str) -> None:
+    """Write the counted edges twice, ``outgoing`` by source and ``incoming`` by target.
+
+    Edges that are not counted yet are counted once, for both.
+    """
+    counted, path = (edges, None) if isinstance(edges, CountedEdges) else store_counted(edges)
     for direction, ends in _ENDS.items():
-        ranged = count_edges(edges).repartitionByRange(*ends).sortWithinPartitions(*ends)
+        ranged = counted.rows.repartitionByRange(*ends).sortWithinPartitions(*ends)
         ranged.write.parquet(f"{folder}/{direction}")
+    if path:
+        drop_scratch(edges.sparkSession, path)
 
 
-def read_index(spark: SparkSession, folder: str, direction: str) -> DataFrame:
+def read_index(spark: SparkSession, folder: str, direction: str) -> CountedEdges:
     """Counted edges for ``neighbors`` (outgoing) or ``influenced_by`` (incoming)."""
     schema = "src string, dst string, copies bigint"
-    return spark.read.schema(schema).parquet(f"{folder}/{direction}")
+    return CountedEdges(spark.read.schema(schema).parquet(f"{folder}/{direction}"))

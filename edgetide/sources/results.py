@@ -2,8 +2,11 @@
 
     <out>/version=<v>/top       best five with place, JSON lines
     <out>/version=<v>/stored    best thousand, JSON lines
+    <out>/version=<v>/places    best thousand with their place, Parquet, for reading
     <out>/version=<v>/ranking   all nodes best first, text: node, tab, score
+    <out>/version=<v>/scores    all nodes best first, Parquet with full scores, for reading
     <out>/version=<v>/graph     neighbour lists, JSON lines
+    <out>/version=<v>/index     counted edges sorted by either end, Parquet, for look-ups
     <out>/version=<v>/metadata  one JSON line; a version without it does not exist for readers
 """
 
@@ -14,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgetide.operators.adjacency import adjacency
-from edgetide.operators.topk import ranking_lines, stored_list, top_list
-from edgetide.schema import ADJACENCY, METADATA, RANKS, TOP_LIST
+from edgetide.operators.adjacency import ENTRIES_PER_LIST, adjacency
+from edgetide.operators.stats import CountedEdges, Edges
+from edgetide.operators.topk import full_ranking, ranking_lines, stored_list, top_list
+from edgetide.schema import ADJACENCY, METADATA, RANKS, TOP, TOP_LIST
+from edgetide.sources.index import read_index, write_index
 
 
 class ResultsNotReady(Exception):
@@ -31,13 +36,13 @@ class Results:
     ranking: DataFrame
     graph: DataFrame
     metadata: DataFrame
+    outgoing: CountedEdges
+    incoming: CountedEdges
 
     @property
-    def edges(self) -> DataFrame:
-        """The saved graph as plain edges, for the look-ups by node."""
-        return self.graph.select(
-            F.col("nodeId").alias("src"), F.explode("neighbors").alias("dst")
-        )
+    def edges(self) -> CountedEdges:
+        """The saved edges sorted by source, for ``neighbors``."""
+        return self.outgoing
 
 
 def job_metadata(
@@ -74,12 +79,19 @@ def job_metadata(
     )
 
 
-def write_rankings(ranks: DataFrame, edges: DataFrame, folder: str) -> None:
-    """Everything but the metadata."""
-    top_list(ranks).write.json(f"{folder}/top")
-    stored_list(ranks).write.json(f"{folder}/stored")
+def write_rankings(
+    ranks: DataFrame, edges: Edges, folder: str, limit: int = ENTRIES_PER_LIST
+) -> None:
+    """Everything but the metadata; ``limit`` is the most entries a neighbour list's row holds."""
+    spark = ranks.sparkSession
+    stored_list(ranks).coalesce(1).write.parquet(f"{folder}/places")
+    places = spark.read.schema(TOP_LIST).parquet(f"{folder}/places")
+    places.where(F.col("rank") <= TOP).orderBy("rank").write.json(f"{folder}/top")
+    places.orderBy("rank").drop("rank").write.json(f"{folder}/stored")
+    full_ranking(ranks).write.parquet(f"{folder}/scores")
     ranking_lines(ranks).write.text(f"{folder}/ranking")
-    adjacency(edges).write.json(f"{folder}/graph")
+    adjacency(edges, limit).write.json(f"{folder}/graph")
+    write_index(edges, f"{folder}/index")
 
 
 def write_metadata(metadata: DataFrame, folder: str) -> None:
@@ -106,10 +118,12 @@ def _newest(spark: SparkSession, out_dir: str) -> str:
 
 
 def read_ranking(spark: SparkSession, path: str) -> DataFrame:
-    line = F.col("value")
-    return spark.read.text(path).select(
-        F.regexp_extract(line, r"^(.*)\t[^\t]*$", 1).alias(RANKS.fieldNames()[0]),
-        F.substring_index(line, "\t", -1).cast("double").alias(RANKS.fieldNames()[1]),
+    """The exported text form, ten decimals; the node is all before the last tab."""
+    line, score = F.col("value"), F.substring_index("value", "\t", -1)
+    # spark.read.text also ends lines at a lone carriage return unless told otherwise
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.substr(line, F.lit(1), F.length(line) - F.length(score) - 1).alias(RANKS.fieldNames()[0]),
+        score.cast("double").alias(RANKS.fieldNames()[1]),
     )
 
 
@@ -120,8 +134,10 @@ def read_results(spark: SparkSession, out_dir: str, version: str | None = None)
     return Results(
         version,
         spark.read.schema(TOP_LIST).json(f"{folder}/top"),
-        spark.read.schema(RANKS).json(f"{folder}/stored"),
-        read_ranking(spark, f"{folder}/ranking"),
+        spark.read.schema(TOP_LIST).parquet(f"{folder}/places"),
+        spark.read.schema(RANKS).parquet(f"{folder}/scores"),
         spark.read.schema(ADJACENCY).json(f"{folder}/graph"),
         spark.read.schema(METADATA).json(f"{folder}/metadata"),
+        read_index(spark, f"{folder}/index", "outgoing"),
+        read_index(spark, f"{folder}/index", "incoming"),
     )

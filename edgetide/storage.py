@@ -4,27 +4,49 @@ Iterations cut their lineage with ``checkpoint()`` or with a Parquet table in th
 named by ``spark.checkpoint.dir``, so that a lost executor costs a re-read, not a rerun.
 """
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Scratch tables not dropped yet; whoever ends a piece of work calls ``drop_all``.
+_left: list[str] = []
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """For a session in this one process and without a setting; gone when the process ends."""
+    folder = tempfile.mkdtemp(prefix="edgetide-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; on a local master one is made if none is set."""
+    """The session's ``spark.checkpoint.dir``, which all executors reach.
+
+    Only where it is unset and master and executors are one process (``local``, ``local[n]``) is a
+    folder made; any cluster, a local one too, has to name its own.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-        folder = tempfile.mkdtemp(prefix="edgetide-")
+        folder = _own_folder()
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/edgetide-{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; ``drop_scratch`` or ``drop_all`` deletes what is there."""
+    path = f"{shared_folder(spark)}/edgetide-{label}-{uuid.uuid4().hex}"
+    _left.append(path)
+    return path
 
 
 def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -45,3 +67,11 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     if target.getName().startswith("edgetide-"):
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        if path in _left:
+            _left.remove(path)
+
+
+def drop_all(spark: SparkSession) -> None:
+    """Delete every scratch table made so far; results that read one must have been used."""
+    for path in list(_left):
+        drop_scratch(spark, path)

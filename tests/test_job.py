@@ -2,13 +2,15 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 import brute
 from conftest import TINY
+from edgetide.operators import lookup
 from edgetide.operators.topk import full_ranking
 from edgetide.plans import job
 from edgetide.plans.job import run_job
-from edgetide.sources.results import ResultsNotReady, read_results
+from edgetide.sources.results import ResultsNotReady, read_ranking, read_results
 from edgetide.streaming.refresh import refresh_from_stream
 
 
@@ -102,9 +104,59 @@ def test_bad_parameters_write_nothing(tiny, tmp_path):
     assert not (tmp_path / "out").exists()
 
 
-def test_ids_with_tabs_survive(spark, make_edges, tmp_path):
-    run_job(make_edges([("a\tb", "a\tb")]), str(tmp_path), "odd ids")
-    assert saved_scores(read_results(spark, str(tmp_path))) == {"a\tb": 1.0}
+ODD = ["a\tb", "c\nd", "e\r", "x\u0085y", "\u2028", "", " ", "\\n"]
+
+
+def test_every_id_survives(spark, make_edges, tmp_path):
+    version = run_job(make_edges([(node, node) for node in ODD]), str(tmp_path), "odd ids")
+    saved = read_results(spark, str(tmp_path))
+    assert saved_scores(saved) == {node: 1.0 for node in ODD}
+    assert sorted(row.nodeId for row in saved.stored.collect()) == sorted(ODD)
+    for node in ODD:
+        assert lookup.neighbors(saved.outgoing, node).first().neighbors == [node]
+    lines = read_ranking(spark, f"{tmp_path}/version={version}/ranking").collect()
+    escaped = [node.replace("\n", "\\n").replace("\r", "\\r") for node in ODD]
+    assert sorted(row.nodeId for row in lines) == sorted(escaped)
+
+
+@pytest.mark.parametrize("edge", [("a", None), (None, "b")])
+def test_null_ids_are_refused(spark, edge, tmp_path):
+    edges = spark.createDataFrame([("a", "b"), edge], "src string, dst string")
+    with pytest.raises(PySparkException, match="edge without"):
+        run_job(edges, str(tmp_path), "holes")
+
+
+def test_saved_lookups_read_the_sorted_copies(spark, tiny, tmp_path):
+    run_job(tiny, str(tmp_path), "tiny")
+    saved = read_results(spark, str(tmp_path))
+    assert lookup.neighbors(saved.outgoing, "A").first().neighbors == ["B", "B", "C"]
+    assert lookup.influenced_by(saved.incoming, "C").first().sources == ["A", "B", "D"]
+    for edges, column in ((saved.outgoing, "src"), (saved.incoming, "dst")):
+        plan = edges.where(F.col(column) == "A").rows._jdf.queryExecution().executedPlan()
+        assert f"EqualTo({column},A)" in plan.toString()
+
+
+def test_the_job_reads_its_input_once_and_counts_once(spark, tmp_path):
+    """Rows of the input that the whole job looks at, counted as they pass."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    pairs = brute.random_edges(40, 300, seed=3)
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    run_job(edges.mapInArrow(count, "src string, dst string"), str(tmp_path), "counted")
+    assert seen.value == 300
+
+
+def test_a_long_list_is_cut_as_told(spark, make_edges, tmp_path):
+    edges = make_edges([("hub", f"n{i:03}") for i in range(95)])
+    run_job(edges, str(tmp_path), "hub", entries_per_list=10)
+    rows = read_results(spark, str(tmp_path)).graph.orderBy("part").collect()
+    assert [len(row.neighbors) for row in rows] == [10] * 9 + [5]
+    assert [x for row in rows for x in row.neighbors] == [f"n{i:03}" for i in range(95)]
 
 
 def refresh(spark, folder, **options):

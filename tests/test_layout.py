@@ -143,9 +143,9 @@ def test_index_files_cover_ranges_and_lookups_are_pushed_down(spark, make_edges,
     incoming = read_index(spark, str(tmp_path / "index"), "incoming")
     row = lookup.influenced_by(incoming, "n0").first()
     assert sorted(row.sources) == sorted(a for a, b in edges if b == "n0")
-    assert "EqualTo(dst,n0)" in plan_of(incoming.where("dst = 'n0'"))
+    assert "EqualTo(dst,n0)" in plan_of(incoming.rows.where("dst = 'n0'"))
     edge = F.struct("dst", "src")
-    per_file = incoming.groupBy(F.input_file_name()).agg(F.min(edge), F.max(edge))
+    per_file = incoming.rows.groupBy(F.input_file_name()).agg(F.min(edge), F.max(edge))
     ranges = sorted((low, high) for _, low, high in per_file.collect())
     assert len(ranges) > 1
     assert all(high < low for (_, high), (low, _) in zip(ranges, ranges[1:]))

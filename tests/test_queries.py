@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from checking import both
 from edgetide.operators import stats
+from edgetide.plans import oracle
+from edgetide.plans.queries import registered
 from edgetide.operators.trace import trace
 from edgetide.sources.tables import GRAPHS
 from edgetide.storage import store
@@ -72,10 +74,10 @@ def test_known_hops(spark, graph, start, hops):
 
 
 def test_every_query_has_sql():
-    assert list(driver.queries()) == list(driver.oracle_sql())
+    assert list(registered()) == list(oracle.statements())
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", registered())
 def test_query_equals_sql(spark, sf001, name):
     ours, sql = both(spark, name, sf001)
     assert ours == sql
