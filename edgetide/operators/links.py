@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgetide.operators.keys import Keys, shortest_keys
-from edgetide.operators.skew import ROWS_PER_SLICE, hot_keys, repeat_per_slice, slice_rows
+from edgetide.operators.skew import ROWS_PER_SLICE, hot_keys
 from edgetide.operators.stats import CountedEdges, Edges, nodes, store_counted, with_copies
 from edgetide.storage import drop_scratch, store
 
@@ -43,16 +43,17 @@ def fixed_layout(spark: SparkSession, partitions: int) -> Iterator[None]:
 class Links:
     """A graph laid out for the rounds.
 
-    ``edges``   distinct edges (src*, slice, dst*, weight), hash-partitioned and sorted by
-                (src*, slice) and cached; ``weight`` is the edge's part of its source's rank.
-                Without hot sources there is no ``slice`` column.
+    ``edges``   distinct edges (src*, dst*, weight) of all sources but hot ones, hash-partitioned and
+                sorted by src* and cached; ``weight`` is the edge's part of its source's rank.
+    ``spread``  the same of hot sources, partitioned by both ends and cached, or None.
     ``sources`` one row per source (src*, out_degree, fanout), of a large graph a stored table.
     ``nodes``   all node ids (nodeId), a stored table.
     ``keys``    what src* and dst* are: short keys in place of ids.
-    ``hot``     sources split over several slices (src*, fanout, slices), or None.
+    ``hot``     the sources in ``spread`` (src*, fanout), or None.
     """
 
     edges: DataFrame
+    spread: DataFrame | None
     sources: DataFrame
     nodes: DataFrame
     keys: Keys
@@ -64,10 +65,6 @@ class Links:
     def src(self) -> list[str]:
         return self.keys.names("src")
 
-    @property
-    def place(self) -> list[str]:
-        return self.src if self.hot is None else [*self.src, "slice"]
-
     def sizes(self) -> DataFrame:
         """One row: total_edges (with copies), total_nodes, source_nodes; tables only."""
         edges = self.sources.select(
@@ -90,6 +87,8 @@ class Links:
         """Drop the cached edges and the stored tables."""
         spark = self.edges.sparkSession
         self.edges.unpersist()
+        if self.spread is not None:
+            self.spread.unpersist()
         for path in self.scratch:
             drop_scratch(spark, path)
 
@@ -102,10 +101,12 @@ def _partitions(spark: SparkSession, rows: int) -> int:
 def prepare_links(edges: Edges, rows_per_slice: int | None = None) -> Links:
     """Count, weigh and place the edges once, so that no round moves them again.
 
-    ``edges`` is read once; edges that are not counted yet are counted and stored first. Nodes and distinct links are written as tables: a lost cache block is rebuilt from
-    there and not from the input. The links are then shuffled once, by source. A source with
+    ``edges`` is read once; edges that are not counted yet are counted and stored first, and nodes
+    are stored too: a lost cache block is rebuilt from there and not from the input. The links are
+    then shuffled once, by source. A source with
     more than ``rows_per_slice`` distinct links (by default an average partition's load, and
-    at least ``ROWS_PER_SLICE``) is cut into slices so that no partition carries it whole.
+    at least ``ROWS_PER_SLICE``) is hot: its links are spread over all partitions and meet its rank
+    by a broadcast of at most ``MAX_HOT`` rows.
     """
     spark = edges.sparkSession
     scratch = []
@@ -131,18 +132,25 @@ def prepare_links(edges: Edges, rows_per_slice: int | None = None) -> Links:
         sources, sources_path = store(sources, "sources")
         scratch.append(sources_path)
         hot = hot_keys(sources, src, "fanout", threshold)
-    rows, degrees, place = counted, sources.select(*src, "out_degree"), src
+    degrees = sources.select(*src, "out_degree")
+    weight = (F.col("copies") / F.col("out_degree")).alias("weight")
+    usual, spread = counted, None
     if hot is not None:
-        slices = F.ceil(F.col("fanout") / F.lit(threshold)).cast("int")
-        hot = hot.withColumn("slices", slices)
-        rows = slice_rows(rows, src, hot, dst)
-        degrees, place = repeat_per_slice(degrees, src, hot), [*src, "slice"]
+        keys_of_hot = F.broadcast(hot.select(*src))
+        few = F.broadcast(degrees.join(keys_of_hot, src, "left_semi"))
+        spread = (
+            counted.join(few, src)
+            .select(*src, *dst, weight)
+            .repartition(partitions, *src, *dst)
+            .persist()
+        )
+        usual = counted.join(keys_of_hot, src, "left_anti")
     with fixed_layout(spark, partitions):
         placed = (
-            rows.repartition(partitions, *place)
-            .join(degrees, place)
-            .select(*place, *dst, (F.col("copies") / F.col("out_degree")).alias("weight"))
-            .sortWithinPartitions(*place)
+            usual.repartition(partitions, *src)
+            .join(degrees, src)
+            .select(*src, *dst, weight)
+            .sortWithinPartitions(*src)
             .persist()
         )
-    return Links(placed, sources, ids, keys, hot, partitions, tuple(scratch))
+    return Links(placed, spread, sources, ids, keys, hot, partitions, tuple(scratch))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from edgetide.operators.links import Links, fixed_layout, prepare_links
 from edgetide.operators.stats import Edges
-from edgetide.operators.skew import repeat_per_slice
 from edgetide.schema import CHECKPOINT_EVERY, DAMPING, ITERATIONS
 from edgetide.storage import checkpoint
 
@@ -28,16 +27,18 @@ def _received(links: Links, ranks: DataFrame, result: Column) -> DataFrame:
     """One round: ``result`` over all that reaches a target, as (node*, result).
 
     The cached edges stay where they are. The rank table leaves the previous round's
-    aggregation partitioned by node, which is the edges' partitioning; only ranks of a graph
-    with hot sources move once more, to reach each slice. Sums are combined before the shuffle.
+    aggregation partitioned by node, which is the edges' partitioning; the few ranks of hot
+    sources are broadcast to their links. Sums are combined before the one shuffle.
     """
     node = links.keys.names("node")
+    meet = [F.col(a) == F.col(b) for a, b in zip(links.src, node, strict=True)]
+    passed = [*_named(links, "dst", "node"), "pagerank", "weight"]
+    sent = links.edges.join(ranks, meet).select(*passed)
     if links.hot is not None:
-        hot = links.hot.select(*_named(links, "src", "node"), "slices")
-        ranks = repeat_per_slice(ranks, node, hot, "node_slice")
-        node = [*node, "node_slice"]
-    meet = [F.col(a) == F.col(b) for a, b in zip(links.place, node, strict=True)]
-    return links.edges.join(ranks, meet).groupBy(*_named(links, "dst", "node")).agg(result)
+        hot = F.broadcast(links.hot.select(*_named(links, "src", "node")))
+        few = F.broadcast(ranks.join(hot, node, "left_semi"))
+        sent = sent.unionByName(links.spread.join(few, meet).select(*passed))
+    return sent.groupBy(*node).agg(result)
 
 
 def _sum() -> Column:
@@ -77,11 +78,14 @@ def rank(
     """Ranks (nodeId, pagerank) after exactly ``iterations`` rounds, checkpointed.
 
     The plan is cut every ``checkpoint_every`` rounds and at the end, so it stays short and a
-    failure never goes back further than the last cut.
+    failure never goes back further than the last cut. With hot sources a round reads the ranks
+    twice, so the plan is cut after each.
     """
     check_parameters(iterations, damping)
     if checkpoint_every < 1:
         raise ValueError("checkpoint_every must be at least 1")
+    if links.hot is not None:
+        checkpoint_every = 1
     with fixed_layout(links.edges.sparkSession, links.partitions):
         ranks = initial_ranks(links)
         for done in range(1, iterations + 1):

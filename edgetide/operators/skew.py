@@ -33,29 +33,6 @@ def hot_keys(
     return None if hot.isEmpty() else hot
 
 
-def slice_rows(
-    rows: DataFrame, key: list[str], hot: DataFrame, spread: list[str]
-) -> DataFrame:
-    """Add ``slice``: rows of a hot key are spread by the hash of ``spread``, others get 0."""
-    slot = F.pmod(F.xxhash64(*spread), F.col("slices"))
-    return (
-        rows.join(F.broadcast(hot.select(*key, "slices")), key, "left")
-        .withColumn("slice", F.coalesce(slot, F.lit(0)).cast("int"))
-        .drop("slices")
-    )
-
-
-def repeat_per_slice(
-    table: DataFrame, key: list[str], hot: DataFrame, name: str = "slice"
-) -> DataFrame:
-    """The other side of ``slice_rows``: one copy of a hot key's row for each of its slices."""
-    return (
-        table.join(F.broadcast(hot.select(*key, "slices")), key, "left")
-        .withColumn(name, F.explode(F.expr("sequence(0, coalesce(slices, 1) - 1)")))
-        .drop("slices")
-    )
-
-
 def fits_broadcast(table: DataFrame, key: str) -> bool:
     """Whether a materialised table is small enough to broadcast, by rows and key bytes."""
     size = (

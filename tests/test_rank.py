@@ -94,18 +94,28 @@ def test_cutting_the_plan_changes_nothing(tiny, every):
 
 
 @pytest.mark.parametrize("rows_per_slice", [1, 5, 50])
-def test_hot_sources_are_sliced_exactly(make_edges, rows_per_slice):
+def test_hot_sources_are_spread(make_edges, rows_per_slice):
     edges = brute.random_edges(200, 1500, seed=5)
     links = prepare_links(make_edges(edges), rows_per_slice)
-    assert links.hot is not None
-    hub = links.hot.orderBy("fanout", ascending=False).first()
-    assert hub.slices == -(-hub.fanout // rows_per_slice)
-    sizes = links.edges.groupBy(*links.place).count().collect()
-    assert len(sizes) > links.sources.count()
+    hot = {row.src0: row.fanout for row in links.hot.collect()}
+    assert hot and all(fanout > rows_per_slice for fanout in hot.values())
+    spread = {row.src0: row["count"] for row in links.spread.groupBy("src0").count().collect()}
+    assert spread == hot
+    usual = links.edges.groupBy("src0").count().collect()
+    assert not {row.src0 for row in usual} & set(hot)
+    assert all(row["count"] <= rows_per_slice for row in usual)
     close(scores(rank(links, 6)), brute.ranks(edges, 6, 0.85))
     links.release()
 
 
+@pytest.mark.parametrize("every", [0, -1])
+def test_the_plan_must_be_cut_at_some_time(tiny, every):
+    links = prepare_links(tiny)
+    with pytest.raises(ValueError, match="checkpoint_every"):
+        rank(links, 2, checkpoint_every=every)
+    links.release()
+
+
 def test_clashing_keys_are_told_apart(make_edges, monkeypatch):
     edges = brute.random_edges(60, 400, seed=6)
     expected = brute.ranks(edges, 5, 0.85)
