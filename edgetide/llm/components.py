@@ -1,13 +1,20 @@
-"""Connected components by alternating large and small stars, checkpointed every round."""
+"""Connected components by alternating large and small stars, a stored table for each."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgetide.storage import store
+from edgetide.storage import drop_scratch, store
+
+ROWS_PER_TASK = 50_000
+
+
+def in_few_tasks(table: DataFrame, rows: int) -> DataFrame:
+    """A stored table of ``rows`` rows, read by no more tasks than these are worth."""
+    return table.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    """(u, least): the smallest of each node's neighbours, if smaller than the node itself."""
+    """(u, least): the smallest of each node's neighbours."""
     return edges.groupBy("u").agg(F.min("v").alias("least"))
 
 
@@ -19,40 +26,34 @@ def components(edges: DataFrame) -> DataFrame:
     when a round leaves the edges as they were. Repeated edges and loops do no harm; an empty
     table gives no rows.
     """
-    current, _ = store(
+    spark = edges.sparkSession
+
+    def kept(table: DataFrame, old: str | None = None) -> tuple[DataFrame, str, tuple]:
+        """The table stored, its path, and a mark of what it holds; ``old`` is not needed then."""
+        stored, path = store(table.distinct(), "edges")
+        if old:
+            drop_scratch(spark, old)
+        total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        mark = tuple(stored.agg(F.count(F.lit(1)), total).first())
+        return in_few_tasks(stored, mark[0]), path, mark
+
+    current, path, before = kept(
         edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct(),
-        "edges",
-    )
-
-    def mark(table: DataFrame) -> tuple:
-        return tuple(
-            table.agg(
-                F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-            ).first()
-        )
-
-    before = mark(current)
+    )
     while before[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (
+        large, path, _ = kept(
             both.join(_least(both), "u")
             .where(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
-            .distinct()
+            .select(F.col("v").alias("u"), F.least("u", "least").alias("v")),
+            path,
+        )
+        on_least = F.array(
+            F.struct(F.col("u"), F.col("least").alias("v")),
+            F.struct(F.col("v").alias("u"), F.col("least").alias("v")),
         )
-        large, _ = store(large, "stars")
-        small = (
-            large.join(_least(large), "u")
-            .select(F.inline(F.array(
-                F.struct(F.col("u"), F.col("least").alias("v")),
-                F.struct(F.col("v").alias("u"), F.col("least").alias("v")),
-            )))
-            .where("u != v")
-            .distinct()
-        )
-        current, _ = store(small, "stars")
-        after = mark(current)
+        joined = large.join(_least(large), "u").select(F.inline(on_least))
+        current, path, after = kept(joined.where("u != v"), path)
         if after == before:
             break
         before = after

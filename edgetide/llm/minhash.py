@@ -5,8 +5,9 @@ Documents with the same set form a class, and classes are compared. Inverted lis
 under the rarest of its retained values only: two linked classes share so many that one of those
 must be in common, and values that many unrelated documents have are never reached. In each list
 every class is paired with the most central one; where that leaves a list in several components,
-the classes outside the largest are paired with all others, so no link that matters is missed. Pairs
-are filtered by the estimate from the union's sketch and confirmed on the full sets.
+the classes outside the largest are paired with one class of it, then with all others, so no link
+that matters is missed. Pairs are filtered by the estimate from the union's sketch and confirmed on
+the full sets.
 """
 
 import hashlib
@@ -23,13 +24,12 @@ from pyspark.sql import functions as F
 from edgetide.llm.brown import tokens
 from edgetide.llm.common import bind
 from edgetide.llm.components import components
-from edgetide.storage import store
+from edgetide.storage import drop_scratch, store
 
 KEPT = 64
 WORDS = 3
 PERCENT = 85
 SIGMAS = 5.0
-STARS = 2
 ROWS = 256
 REMEMBERED = 200_000
 
@@ -130,16 +130,18 @@ class Search:
         self.share = max(0.05, similarity - SIGMAS * spread)
         self.docs = docs.withColumn("text_hash", F.xxhash64("text"))
         work = partial(_sketch, words=words, kept=kept)
-        self.rows, _ = store(self.docs.mapInArrow(work, _SKETCHES), "sketches")
+        every, path = store(self.docs.mapInArrow(work, _SKETCHES), "sketches")
+        self.rows, _ = store(every.select("doc_id", "n", "class"), "rows")
         one = F.first(F.struct("doc_id", "text_hash", "n", "sketch")).alias("one")
-        classes = self.rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("label"), one)
+        classes = every.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("label"), one)
         self.classes, _ = store(
             classes.select(F.monotonically_increasing_id().alias("id"), "class", "label", "one.*"),
             "classes",
         )
+        drop_scratch(docs.sparkSession, path)
 
     def lists(self) -> DataFrame:
-        """(value, id, n, central): inverted lists of the rarest shared values of each class.
+        """(value, id, n, owners, central): inverted lists of each class's rarest shared values.
 
         Of s retained values a linked partner shares at least ``share`` * s, so it has one of the
         s - share * s + 1 rarest. Values of a single class come first among those and need no list.
@@ -152,48 +154,40 @@ class Search:
             .groupBy("id")
             .agg(F.sort_array(F.collect_list(entry)).alias("shared"), F.sum("owners").alias("central"))
         )
-        size = F.size("sketch")
-        prefix = size - F.floor(size * self.share) + 1
-        alone = size - F.size("shared")
+        sizes = self.classes.select("id", "n", F.size("sketch").alias("kept"))
+        prefix = F.col("kept") - F.floor(F.col("kept") * self.share) + 1
+        room = F.greatest(prefix - (F.col("kept") - F.size("shared")), F.lit(0)).cast("int")
         rows = (
-            of_class.join(self.classes.select("id", "n", "sketch"), "id")
-            .where(alone < prefix)
-            .withColumn("first", F.slice("shared", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int")))
-            .select("id", "n", "central", F.explode("first.value").alias("value"))
+            of_class.join(sizes, "id")
+            .select("id", "n", "central", F.inline(F.slice("shared", F.lit(1), room)))
+            .select("value", "id", "n", "owners", "central")
         )
         return store(rows, "lists")[0]
 
-    def _near_size(self, a: Column, b: Column) -> Column:
-        return (a * 100 >= b * self.percent) & (b * 100 >= a * self.percent)
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The linked ones among ``pairs`` (a, b of classes), stored."""
-        sketch = self.classes.select("id", "sketch")
-
-        def estimate(a: Column, b: Column) -> Column:
-            union = F.slice(F.sort_array(F.array_union(a, b)), 1, self.kept)
-            return bind(
-                union,
-                lambda union: F.size(F.array_intersect(F.array_intersect(a, b), union))
-                >= F.floor(F.size(union) * self.share),
-            )
-
-        likely, _ = store(
-            pairs.join(sketch.toDF("a", "sketch_a"), "a")
-            .join(sketch.toDF("b", "sketch_b"), "b")
-            .where(estimate(F.col("sketch_a"), F.col("sketch_b")))
-            .select("a", "b"),
-            "likely",
-        )
-        ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def _texts(self, lists: DataFrame) -> DataFrame:
+        """One text for each class in a list; ids may repeat, and so may whole rows."""
+        ids = lists.select("id").distinct()
         wanted = ids.join(self.classes.select("id", "doc_id", "text_hash"), "id").toDF(
             "id", "_id", "_hash"
         )
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-        # ids may repeat, and so may whole rows: one text for each class
-        texts, _ = store(
-            self.docs.join(wanted, same).select("id", "text").dropDuplicates(["id"]), "texts"
+        found = self.docs.join(wanted, same).select("id", "text").dropDuplicates(["id"])
+        return store(found, "texts")[0]
+
+    def _near_size(self, a: Column, b: Column) -> Column:
+        return (a * 100 >= b * self.percent) & (b * 100 >= a * self.percent)
+
+    def _likely(self, a: Column, b: Column) -> Column:
+        """The estimate of two sketches: which of the union's smallest values both have."""
+        union = F.slice(F.sort_array(F.array_union(a, b)), 1, self.kept)
+        return bind(
+            union,
+            lambda union: F.size(F.array_intersect(F.array_intersect(a, b), union))
+            >= F.floor(F.size(union) * self.share),
         )
+
+    def _confirmed(self, likely: DataFrame, texts: DataFrame) -> DataFrame:
+        """The linked ones among ``likely`` pairs (a, b), by their full sets."""
         work = partial(_confirm, words=self.words, percent=self.percent)
         linked = (
             likely.join(texts.toDF("a", "text_a"), "a")
@@ -203,66 +197,90 @@ class Search:
         )
         return store(linked, "links")[0]
 
-    def _star_pairs(self, lists: DataFrame) -> DataFrame:
-        """Each class with the most central one of its list."""
-        centre = F.max(F.struct("central", "id", "n")).alias("centre")
-        centres = lists.groupBy("value").agg(centre)
-        return (
+    def _star_pairs(self, lists: DataFrame, centre: Column) -> DataFrame:
+        """Each class of ``lists`` outside its list's centre with that centre, (id, n) of ``centre``."""
+        centres = lists.groupBy("value").agg(F.max(centre).alias("centre"))
+        pairs = (
             lists.join(centres, "value")
             .where(F.col("id") != F.col("centre.id"))
             .where(self._near_size(F.col("n"), F.col("centre.n")))
-            .select(F.col("id").alias("a"), F.col("centre.id").alias("b"))
-            .distinct()
+        )
+        if "root" in lists.columns:
+            pairs = pairs.where(F.col("root") != F.col("main"))
+        pairs = pairs.select(F.col("id").alias("a"), F.col("centre.id").alias("b")).distinct()
+        sketch = self.classes.select("id", "sketch")
+        return (
+            pairs.join(sketch.toDF("a", "sketch_a"), "a")
+            .join(sketch.toDF("b", "sketch_b"), "b")
+            .where(self._likely(F.col("sketch_a"), F.col("sketch_b")))
+            .select("a", "b")
         )
 
-    def _labelled(self, lists: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Lists with each class's component, those in one component left out; the components."""
-        roots, _ = store(components(links), "roots")
-        rows = lists.drop("root").join(roots.toDF("id", "root"), "id", "left")
-        rows, _ = store(rows.withColumn("root", F.coalesce("root", "id")), "labelled")
-        mixed = rows.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        split = mixed.where("low != high").select("value")
-        return store(rows.join(split, "value", "left_semi"), "lists")[0], roots
+    def _unresolved(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
+        """Lists of several components, with each class's ``root`` and the largest one, ``main``."""
+        rows = lists.drop("root", "main").join(roots.toDF("id", "root"), "id", "left")
+        rows = rows.withColumn("root", F.coalesce("root", "id"))
+        parts = rows.groupBy("value", "root").agg(F.count(F.lit(1)).alias("size"))
+        main = parts.groupBy("value").agg(
+            F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "root")).alias("largest")
+        )
+        main = main.where("parts > 1").select("value", F.col("largest.root").alias("main"))
+        return store(rows.join(main, "value"), "lists")[0]
 
     def _cross_pairs(self, lists: DataFrame) -> DataFrame:
-        """In each list, the classes outside its largest component with all of other components."""
-        sizes = lists.groupBy("value", "root").agg(F.count(F.lit(1)).alias("size"))
-        largest = sizes.groupBy("value").agg(F.max(F.struct("size", "root")).alias("main"))
-        rest = lists.join(largest, "value").where(F.col("root") != F.col("main.root"))
-        a = rest.select("value", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("r_a"),
-                        F.col("main.root").alias("main"))
-        b = lists.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("r_b"))
-        once = (F.col("r_b") == F.col("main")) | (F.col("a") < F.col("b"))
+        """In each list, the classes outside the main component with all of other components.
+
+        A pair is looked at in the list of its rarest common value only, and the join lets none
+        through that its sketches speak against.
+        """
+        entry = F.sort_array(F.collect_list(F.struct("owners", "value")))
+        first = lists.groupBy("id").agg(entry.alias("entries"))
+        of_class = first.select("id", F.col("entries.value").alias("first")).join(
+            self.classes.select("id", "sketch"), "id"
+        )
+        full = lists.select("value", "id", "n", "root", "main").join(of_class, "id")
+
+        def side(table: DataFrame, mark: str) -> DataFrame:
+            return table.select(
+                "value", "main", *(F.col(x).alias(x + mark) for x in ("id", "n", "root", "first", "sketch"))
+            )
+
+        a = side(full.where("root != main"), "_a")
+        b = side(full, "_b").drop("main")
+        common = F.array_intersect("first_a", "first_b")
         meet = (
             (a["value"] == b["value"])
-            & (F.col("r_a") != F.col("r_b"))
-            & once
+            & (F.col("root_a") != F.col("root_b"))
+            & ((F.col("root_b") == F.col("main")) | (F.col("id_a") < F.col("id_b")))
             & self._near_size(F.col("n_a"), F.col("n_b"))
+            & (F.get(common, F.lit(0)) == a["value"])
+            & self._likely(F.col("sketch_a"), F.col("sketch_b"))
         )
-        return a.join(b, meet).select("a", "b").distinct()
+        return a.join(b, meet).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
     def components(self) -> DataFrame:
         """(id, root) of the classes with links."""
         lists = self.lists()
-        links = None
-        for step in range(STARS + 1):
-            pairs = self._star_pairs(lists) if step < STARS else self._cross_pairs(lists)
-            found = self.confirmed(pairs)
-            links = found if links is None else links.unionByName(found)
-            if step < STARS:
-                lists, roots = self._labelled(lists, links)
+        texts = self._texts(lists)
+        roots = None
+        of_main = F.when(F.col("root") == F.col("main"), F.xxhash64("id", "value"))
+        steps = (
+            # the most central class of each list with all others of it
+            lambda: self._star_pairs(lists, F.struct("central", "id", "n")),
+            # one of the main component, another for each list, with the classes outside it
+            lambda: self._star_pairs(lists, F.struct(of_main.alias("chance"), "id", "n")),
+            lambda: self._cross_pairs(lists),
+        )
+        for number, step in enumerate(steps, start=1):
+            links = self._confirmed(step(), texts)
+            if roots is not None:  # what is known already, in as few edges as there are nodes
+                links = links.unionByName(roots.toDF("a", "b"))
+            roots = store(components(links), "roots")[0].toDF("id", "root")
+            if number < len(steps):
+                lists = self._unresolved(lists, roots)
                 if lists.isEmpty():
-                    return roots.toDF("id", "root")
-                # next time, the centre comes from outside what the first one reached
-                lists = self._outside(lists) if step + 1 < STARS else lists
-        return components(links).toDF("id", "root")
-
-    def _outside(self, lists: DataFrame) -> DataFrame:
-        """The most central class of all sinks to the bottom with its component."""
-        centre = F.max(F.struct("central", "id", "root")).alias("centre")
-        seen = lists.groupBy("value").agg(centre)
-        lower = F.when(F.col("root") == F.col("centre.root"), F.lit(0)).otherwise(F.col("central"))
-        return lists.join(seen, "value").withColumn("central", lower).drop("centre")
+                    break
+        return roots
 
     def result(self) -> DataFrame:
         found = self.classes.select("id", "class", "label").join(self.components(), "id", "left")
