@@ -93,7 +93,7 @@ class Links:
             drop_scratch(spark, path)
 
 
-def _partitions(spark: SparkSession, rows: int) -> int:
+def partitions_for(spark: SparkSession, rows: int) -> int:
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(usual, -(-rows // FEW_ROWS)), -(-rows // MANY_ROWS))
 
@@ -125,7 +125,7 @@ def prepare_links(edges: Edges, rows_per_slice: int | None = None) -> Links:
         F.sum("copies").alias("out_degree"), F.count(F.lit(1)).alias("fanout")
     )
     links = counted.count()
-    partitions = _partitions(spark, links)
+    partitions = partitions_for(spark, links)
     threshold = rows_per_slice or max(ROWS_PER_SLICE, links // partitions)
     hot = None
     if links > threshold:

@@ -1,14 +1,18 @@
 """Which nodes lie within a few hops of a start."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgetide.operators.skew import ROWS_PER_SLICE, rows_matching
-from edgetide.storage import checkpoint
+from edgetide.operators.links import fixed_layout, partitions_for
+from edgetide.operators.skew import ROWS_PER_SLICE, fits_broadcast, hot_keys
+from edgetide.operators.stats import CountedEdges, Edges, store_counted
+from edgetide.storage import checkpoint, drop_scratch
 
 
 def trace(
-    edges: DataFrame,
+    edges: Edges,
     starts: DataFrame,
     hops: int,
     back: bool = False,
@@ -16,21 +20,56 @@ def trace(
 ) -> DataFrame:
     """(nodeId, hop) with the smallest hop, starts (column nodeId) at 0; ``back`` goes upstream.
 
-    Each hop keeps the edges that leave the frontier, reduces them to distinct targets before
-    the shuffle and removes the nodes already met. The frontier is checkpointed, its size
-    decides whether it is broadcast, and an empty one ends the walk.
+    Distinct edges are placed once, by the end they are left from, and cached; the edges of hubs
+    are spread over all partitions. A hop keeps the edges that leave the frontier, which is
+    broadcast if small and otherwise joined in place (hubs in it are broadcast: few), reduces them
+    to distinct targets, the one shuffle, and takes away the earlier frontiers, which lie
+    partitioned by node already. An empty frontier ends the walk.
     """
     if hops < 0:
         raise ValueError("hops must be at least 0")
     here, there = ("dst", "src") if back else ("src", "dst")
-    frontier = checkpoint(starts.select(F.col("nodeId").cast("string")).distinct())
-    met = frontier.withColumn("hop", F.lit(0).cast("bigint"))
-    for hop in range(1, hops + 1):
-        ids = frontier.withColumnRenamed("nodeId", here)
-        leaving = rows_matching(edges.select(here, there), ids, here, rows_per_slice)
-        targets = leaving.select(F.col(there).alias("nodeId")).distinct()
-        frontier = checkpoint(targets.join(met, "nodeId", "left_anti"))
-        if frontier.isEmpty():
-            break
-        met = met.unionByName(frontier.withColumn("hop", F.lit(hop).cast("bigint")))
-    return met
+    spark, path = edges.sparkSession, None
+    if not isinstance(edges, CountedEdges):
+        edges, path = store_counted(edges)
+    links = edges.rows.select(here, there)
+    count = links.count()
+    partitions = partitions_for(spark, count)
+    hot = None
+    if count > rows_per_slice:
+        sizes = links.groupBy(here).agg(F.count(F.lit(1)).alias("size"))
+        hot = hot_keys(sizes, [here], "size", rows_per_slice)
+    with fixed_layout(spark, partitions):
+        usual, spread = links, None
+        if hot is not None:
+            hubs = F.broadcast(hot.select(here))
+            usual = links.join(hubs, here, "left_anti")
+            spread = links.join(hubs, here, "left_semi").repartition(partitions, here, there)
+            spread.persist()
+        usual = usual.repartition(partitions, here).persist()
+        first = starts.select(F.col("nodeId").cast("string")).distinct()
+        frontiers = [checkpoint(first.repartition(partitions, "nodeId"))]
+        for _ in range(hops):
+            ids = frontiers[-1].withColumnRenamed("nodeId", here)
+            small = fits_broadcast(ids, here)
+            leaving = usual.join(F.broadcast(ids) if small else ids, here, "left_semi")
+            if spread is not None:
+                few = ids if small else ids.join(hubs, here, "left_semi")
+                leaving = leaving.unionByName(spread.join(F.broadcast(few), here, "left_semi"))
+            targets = leaving.select(F.col(there).alias("nodeId")).distinct()
+            for met in frontiers:
+                targets = targets.join(met, "nodeId", "left_anti")
+            frontier = checkpoint(targets)
+            if frontier.isEmpty():
+                break
+            frontiers.append(frontier)
+        usual.unpersist()
+        if spread is not None:
+            spread.unpersist()
+    if path:
+        drop_scratch(spark, path)
+    placed = (
+        frontier.withColumn("hop", F.lit(hop).cast("bigint"))
+        for hop, frontier in enumerate(frontiers)
+    )
+    return reduce(DataFrame.unionByName, placed)

@@ -22,6 +22,7 @@ from edgetide.operators.stats import CountedEdges, Edges
 from edgetide.operators.topk import full_ranking, ranking_lines, stored_list, top_list
 from edgetide.schema import ADJACENCY, METADATA, RANKS, TOP, TOP_LIST
 from edgetide.sources.index import read_index, write_index
+from edgetide.storage import delete, named
 
 
 class ResultsNotReady(Exception):
@@ -117,6 +118,13 @@ def _newest(spark: SparkSession, out_dir: str) -> str:
     return found
 
 
+def drop_versions(spark: SparkSession, out_dir: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` finished versions; unfinished ones are left alone."""
+    finished = named(spark, out_dir, "version", "metadata/_SUCCESS")
+    for version in finished[:-keep] if keep > 0 else []:
+        delete(spark, f"{out_dir}/version={version}")
+
+
 def read_ranking(spark: SparkSession, path: str) -> DataFrame:
     """The exported text form, ten decimals; the node is all before the last tab."""
     line, score = F.col("value"), F.substring_index("value", "\t", -1)

@@ -62,11 +62,34 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, system = _located(spark, path)
+    system.delete(target, True)
+
+
+def named(spark: SparkSession, folder: str, name: str, mark: str) -> list[str]:
+    """The values of the folders ``name=value`` under ``folder`` that hold ``mark``, in order."""
+    target, system = _located(spark, f"{folder}/{name}=*/{mark}")
+    found = system.globStatus(target) or []
+    start = target.depth() - len(mark.split("/")) - 1
+    parts = (status.getPath().toUri().getPath().split("/")[1:] for status in found)
+    return sorted(part[start].split("=", 1)[1] for part in parts)
+
+
+def numbered(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers of the completely written tables ``name=number`` under ``folder``."""
+    return sorted(int(value) for value in named(spark, folder, name, "_SUCCESS"))
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a scratch table written by ``store``."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if target.getName().startswith("edgetide-"):
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path.rsplit("/", 1)[-1].startswith("edgetide-"):
+        delete(spark, path)
         if path in _left:
             _left.remove(path)
 

@@ -7,9 +7,43 @@ from edgetide.operators.stats import count_edges
 from edgetide.plans.job import run_job
 from edgetide.schema import DAMPING, ITERATIONS
 from edgetide.sources.edges import stream_edges
+from edgetide.sources.results import drop_versions
+from edgetide.storage import delete, numbered
 
 _COUNTED = "src string, dst string, copies bigint"
 
+MERGE_EVERY = 20
+KEEP_VERSIONS = 10
+
+
+def _known(session: SparkSession, edge_store: str, number: int) -> DataFrame:
+    """All counted edges up to batch ``number``: the newest merged table before it, then batches."""
+    merged = [n for n in numbered(session, edge_store, "upto") if n < number]
+    base = max(merged, default=-1)
+    paths = [f"{edge_store}/upto={base}"] if merged else []
+    batches = numbered(session, edge_store, "batch")
+    paths += [f"{edge_store}/batch={n}" for n in batches if base < n <= number]
+    return session.read.schema(_COUNTED).parquet(*paths)
+
+
+def _merge(session: SparkSession, edge_store: str, number: int) -> None:
+    """One table in place of the batches so far; what the merge before it replaced goes.
+
+    A merged table is used by later batches only, so a replay of this batch finds what it needs
+    and writes the same table again.
+    """
+    earlier = [n for n in numbered(session, edge_store, "upto") if n < number]
+    known = _known(session, edge_store, number)
+    count_edges(known).write.mode("overwrite").parquet(f"{edge_store}/upto={number}")
+    if earlier:
+        last = max(earlier)
+        for n in numbered(session, edge_store, "batch"):
+            if n <= last:
+                delete(session, f"{edge_store}/batch={n}")
+        for n in earlier:
+            if n < last:
+                delete(session, f"{edge_store}/upto={n}")
+
 
 def refresh_from_stream(
     spark: SparkSession,
@@ -23,21 +57,27 @@ def refresh_from_stream(
     damping: float = DAMPING,
     every: str | None = "1 hour",
     files_per_trigger: int | None = None,
+    merge_every: int = MERGE_EVERY,
+    keep_versions: int = KEEP_VERSIONS,
 ) -> StreamingQuery:
     """Add each batch of new files to ``edge_store`` and rank all edges so far.
 
     Edges are a multiset, so a batch that Spark replays after a failure must not count twice:
     it is stored under its batch number, and a replay overwrites that folder. The stream's own
-    checkpoint lives in the store, which keeps the numbers and the folders together. ``every``
-    None handles what is there now and stops.
+    checkpoint lives in the store, which keeps the numbers and the folders together. Every
+    ``merge_every`` batches are merged into one counted table, and of the saved results the newest
+    ``keep_versions`` finished versions are kept. ``every`` None handles what is there now and
+    stops.
     """
     edges = stream_edges(spark, incoming, fmt, on_malformed, files_per_trigger)
 
     def add_and_rank(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         count_edges(batch).write.mode("overwrite").parquet(f"{edge_store}/batch={number}")
-        known = session.read.schema(_COUNTED).parquet(edge_store)
-        run_job(known, out_dir, dataset_name, iterations, damping)
+        run_job(_known(session, edge_store, number), out_dir, dataset_name, iterations, damping)
+        if (number + 1) % merge_every == 0:
+            _merge(session, edge_store, number)
+        drop_versions(session, out_dir, keep_versions)
 
     writer = edges.writeStream.foreachBatch(add_and_rank).option(
         "checkpointLocation", f"{edge_store}/_progress"

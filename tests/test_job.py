@@ -193,6 +193,18 @@ def test_refresh_adds_files_as_they_come(spark, tmp_path):
     assert refresh(spark, tmp_path).version == second.version
 
 
+def test_batches_are_merged_and_versions_retained(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i, edge in enumerate(TINY):
+        (tmp_path / "in" / f"{i}.txt").write_text("\t".join(edge) + "\n")
+        saved = refresh(spark, tmp_path, merge_every=3, keep_versions=2)
+        assert saved.metadata.first().total_edges == i + 1
+    names = sorted(p.name for p in (tmp_path / "store").glob("*=*"))
+    assert names == ["batch=3", "batch=4", "batch=5", "batch=6", "batch=7", "upto=2", "upto=5"]
+    assert len(list((tmp_path / "out").glob("version=*"))) == 2
+    assert saved_scores(saved) == pytest.approx(brute.ranks(TINY, 10, 0.85), abs=1e-10)
+
+
 def test_a_replayed_batch_counts_once(spark, tmp_path, monkeypatch):
     """The job fails after the batch is stored; the restarted stream gets the batch again."""
     from edgetide.streaming import refresh as module

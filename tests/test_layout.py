@@ -70,11 +70,11 @@ def test_hot_sources_cost_no_shuffle_of_the_ranks(
 
 
 def test_partition_count_follows_the_data(spark):
-    assert layout._partitions(spark, 0) == 1
-    assert layout._partitions(spark, 1) == 1
-    assert layout._partitions(spark, 200_000) == 4
-    assert layout._partitions(spark, 100_000_000) == 8
-    assert layout._partitions(spark, 100_000_000_000) == 5000
+    assert layout.partitions_for(spark, 0) == 1
+    assert layout.partitions_for(spark, 1) == 1
+    assert layout.partitions_for(spark, 200_000) == 4
+    assert layout.partitions_for(spark, 100_000_000) == 8
+    assert layout.partitions_for(spark, 100_000_000_000) == 5000
 
 
 def test_layout_settings_are_put_back(spark):
@@ -187,3 +187,20 @@ def test_hot_suppliers_give_the_same_edges(spark, sf001):
     usual = pairs(tables.nation_trade(spark, sf001))
     assert pairs(tables.nation_trade(spark, sf001, rows_per_key=0)) == usual
     assert pairs(tables.nation_trade(spark, sf001, rows_per_key=600)) == usual
+
+
+def test_a_hop_shuffles_its_targets_only(spark, make_edges, no_broadcast, more_partitions, monkeypatch):
+    from edgetide.operators import skew
+    from edgetide.operators import trace as module
+
+    plans, real = [], checkpoint
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(module, "checkpoint", lambda df: plans.append(plan_of(df)) or real(df))
+    edges = brute.random_edges(200, 400, seed=4, hub_share=30)
+    starts = spark.createDataFrame([("n7",)], "nodeId string")
+    found = module.trace(make_edges(edges), starts, 5, rows_per_slice=10)
+    assert dict(found.collect()) == brute.hops(edges, ["n7"], 5)
+    assert len(plans) > 3
+    for plan in plans[1:]:
+        # targets; not the edges, and not the frontiers before
+        assert plan.count("Exchange hashpartitioning(nodeId") == 1
