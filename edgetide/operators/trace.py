@@ -23,8 +23,9 @@ def trace(
     Distinct edges are placed once, by the end they are left from, and cached; the edges of hubs
     are spread over all partitions. A hop keeps the edges that leave the frontier, which is
     broadcast if small and otherwise joined in place (hubs in it are broadcast: few), reduces them
-    to distinct targets, the one shuffle, and takes away the earlier frontiers, which lie
-    partitioned by node already. An empty frontier ends the walk.
+    to distinct targets by a shuffle, and takes away the earlier frontiers, which lie partitioned
+    by node already; only the last moves once more, as it meets itself. An empty frontier ends the
+    walk.
     """
     if hops < 0:
         raise ValueError("hops must be at least 0")

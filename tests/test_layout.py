@@ -189,7 +189,7 @@ def test_hot_suppliers_give_the_same_edges(spark, sf001):
     assert pairs(tables.nation_trade(spark, sf001, rows_per_key=600)) == usual
 
 
-def test_a_hop_shuffles_its_targets_only(spark, make_edges, no_broadcast, more_partitions, monkeypatch):
+def test_a_hop_leaves_edges_and_earlier_frontiers_in_place(spark, make_edges, no_broadcast, more_partitions, monkeypatch):
     from edgetide.operators import skew
     from edgetide.operators import trace as module
 
@@ -197,10 +197,10 @@ def test_a_hop_shuffles_its_targets_only(spark, make_edges, no_broadcast, more_p
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(module, "checkpoint", lambda df: plans.append(plan_of(df)) or real(df))
     edges = brute.random_edges(200, 400, seed=4, hub_share=30)
-    starts = spark.createDataFrame([("n7",)], "nodeId string")
+    starts = spark.createDataFrame([("n7",), ("n8",)], "nodeId string")
     found = module.trace(make_edges(edges), starts, 5, rows_per_slice=10)
-    assert dict(found.collect()) == brute.hops(edges, ["n7"], 5)
+    assert dict(found.collect()) == brute.hops(edges, ["n7", "n8"], 5)
     assert len(plans) > 3
     for plan in plans[1:]:
-        # targets; not the edges, and not the frontiers before
-        assert plan.count("Exchange hashpartitioning(nodeId") == 1
+        # targets and the last frontier; not the edges, and not the frontiers before
+        assert plan.count("Exchange hashpartitioning(nodeId") <= 2
