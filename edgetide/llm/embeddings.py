@@ -1,8 +1,9 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
 A vector is described by its ``NEAREST`` nearest pivots, in the order of how rare they are; the
-pivots are a bounded sample of the vectors. Two vectors that share ``SHARED`` of them meet in the
-inverted list of one of the ``NEAREST - SHARED + 1`` rarest. A list is cut into blocks; a task
+pivots are a bounded, thinned sample of the vectors. Two vectors that share ``SHARED`` of them meet in the
+inverted list of one of the ``NEAREST - SHARED + 1`` rarest. No two pivots are nearer than
+``APART``, so a clump of near copies has about one, and its members share the pivots around it. A list is cut into blocks; a task
 takes two blocks, counts shared pivots through the blocks' own inverted lists and verifies the
 pairs that share enough by cosine, in double precision. It returns sums and labels, never pairs.
 """
@@ -23,6 +24,7 @@ from edgetide.storage import store
 COSINE = 0.95
 NEAREST = 16
 SHARED = 6
+APART = 0.9
 ROWS_PER_PIVOT = 64
 FEWEST, MOST = 64, 16_384
 BLOCK = 1024
@@ -65,6 +67,21 @@ def _matrix(vectors: list[bytes]) -> np.ndarray:
     return _unit(np.frombuffer(b"".join(vectors), "<f8").reshape(len(vectors), -1))
 
 
+def _thinned(sample: np.ndarray, apart: float = APART) -> np.ndarray:
+    """The unit vectors that are not nearer than ``apart`` to one taken before them."""
+    kept = sample[:0]
+    for start in range(0, len(sample), 512):
+        part = sample[start : start + 512]
+        if len(kept):
+            part = part[(part @ kept.T).max(1) < apart]
+        free = np.ones(len(part), bool)
+        for i, near in enumerate(part @ part.T >= apart):
+            if free[i]:
+                free[i + 1 :] &= ~near[i + 1 :]
+        kept = np.concatenate([kept, part[free]])
+    return kept
+
+
 def _nearest(
     batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray], nearest: int
 ) -> Iterator[pa.RecordBatch]:
@@ -195,8 +212,8 @@ def near_duplicate_vectors(
     ``component_id`` is the smallest id reachable. Vectors that are null, empty, zero or hold null
     or non-finite components link with nothing, and vectors of different lengths not with each
     other. Equal vectors are one class, so their copies never meet in a list. An empty table gives
-    no rows; other columns are ignored. There are as many pivots as fit ``ROWS_PER_PIVOT``, within
-    ``FEWEST`` and ``MOST``, for each length.
+    no rows; other columns are ignored. Pivots are drawn as fit ``ROWS_PER_PIVOT``, within ``FEWEST``
+    and ``MOST``, for each length, and thinned.
     """
     rows = table.select(
         F.col(id_column).cast("bigint").alias("vec_id"),
@@ -220,7 +237,8 @@ def near_duplicate_vectors(
     for length, count in counts.items():
         most = max(FEWEST, min(MOST, count // ROWS_PER_PIVOT))
         sample = classes.where(size == length).orderBy(F.xxhash64("class"), "class").limit(most)
-        pivots[length] = _matrix([bytes(r["vec"]) for r in sample.select("vec").collect()])
+        found = [bytes(r["vec"]) for r in sample.select("vec").collect()]
+        pivots[length] = _thinned(_matrix(found))
     described, _ = store(
         classes.select("id", "copies", "vec").mapInArrow(
             partial(_nearest, pivots=pivots, nearest=nearest),

@@ -194,3 +194,27 @@ def test_vectors_with_repeated_ids_and_none(spark):
     assert {row.component_id for row in rows} == {1}
     assert near_duplicate_vectors(table.limit(0)).collect() == []
     assert embeddings.FEWEST <= embeddings.MOST
+
+
+def test_a_clump_of_a_third_of_the_vectors_keeps_its_links(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=64)
+    clump = base / np.linalg.norm(base) + rng.normal(size=(4000, 64)) * np.sqrt((1 / 0.96 - 1) / 64)
+    matrix = np.concatenate([clump, rng.normal(size=(8000, 64))])[rng.permutation(12_000)]
+    table = spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(matrix)], "vec_id bigint, embedding array<double>"
+    )
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    links = int(((matrix @ matrix.T) >= 0.95).sum()) - len(matrix)
+    found = near_duplicate_vectors(table).collect()
+    assert sum(row.n_links for row in found) >= 0.95 * links
+    assert sum(not row.kept for row in found) >= 3999
+
+
+def test_thinned_pivots_lie_apart_and_cover_the_sample():
+    rng = np.random.default_rng(6)
+    sample = np.concatenate([1 + 0.1 * rng.normal(size=(900, 8)), rng.normal(size=(900, 8))])
+    sample = (sample / np.linalg.norm(sample, axis=1, keepdims=True))[rng.permutation(1800)]
+    pivots = embeddings._thinned(sample, 0.9)
+    near = pivots @ pivots.T - 2 * np.eye(len(pivots))
+    assert near.max() < 0.9 and (sample @ pivots.T).max(1).min() >= 0.9
