@@ -14,12 +14,17 @@ LEAST_WORDS = 50
 REPEAT_PERCENT = 50
 LOST_PERCENT = 50
 WINDOW = 3
+# A line with a separator for this many words is navigation, with a phrase for as many boilerplate.
+SEPARATED_WORDS = 8
+PHRASE_WORDS = 20
 
 # The symbols that are counted.
 SYMBOLS = "#*$%&|<>"
 # A line of prose holds the end of a sentence.
 ENDS = r"""[.!?:;…。！？]["'”’»)\]]*([\x20\x09-\x0D]|$)"""
 SEPARATORS = "[|»•·›]"
+# Quotes in either direction: one of their marks counts as a separator, and is none.
+QUOTED = "«[^«»]*»|»[^«»]*«|‹[^‹›]*›|›[^‹›]*‹"
 MARKS = r"[#*$%&|<>{}~^=]"
 BOILERPLATE = (
     "(?i)(all rights reserved|privacy policy|cookie policy|terms of (use|service)|"
@@ -35,10 +40,15 @@ def _count(text: Column, pattern: str) -> Column:
 def line_fails(line: Column, words: Column) -> Column:
     """Whether a line of ``words`` words fails a rule; a line without words never does."""
     punctuation = ~line.rlike(ENDS)
-    navigation = _count(line, SEPARATORS) >= 2
+    separators = _count(line, SEPARATORS)
+    navigation = (separators >= 2) & bind(
+        separators - _count(line, QUOTED),
+        lambda bare: (bare >= 2) & (bare * SEPARATED_WORDS >= words),
+    )
     symbols = _count(line, MARKS) * 2 >= words
     shouting = (words >= 3) & (_count(line, "!") >= words)
-    return (words > 0) & (punctuation | navigation | symbols | shouting | line.rlike(BOILERPLATE))
+    phrases = line.rlike(BOILERPLATE) & (_count(line, BOILERPLATE) * PHRASE_WORDS >= words)
+    return (words > 0) & (punctuation | navigation | symbols | shouting | phrases)
 
 
 def _lines(text: Column) -> Column:

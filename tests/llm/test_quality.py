@@ -73,3 +73,20 @@ def test_clean_documents_stay_whole(make_docs, texts, crowded):
 def test_only_expressions_in_the_plan(make_docs):
     plan = judge_documents(make_docs(["a"]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Exchange"))
+
+
+def test_rules_of_a_line_go_by_its_words(make_docs):
+    words = " ".join(f"mot{i}" for i in range(400))
+    whole = [
+        f"Il a dit « oui » et puis « non » avant le soir. {words}.",
+        f"Er rief »ja« und dann »nein« und ‹halt› und ›still‹ in den Abend. {words}.",
+        f"The readers must log in before they write. {words}.",
+        f"Two of them | and one more | stand in a long line. {words}.",
+    ]
+    short = "Elle a dit « oui », puis « non », et il est parti."
+    cut = ["Home | About | Contact us now.", "Please log in to read more.", "A » B » C are places."]
+    story = "".join(" ".join(f"w{i}x{k}" for k in range(9)) + " too.\n" for i in range(9))
+    docs = make_docs([*whole, story + short, *(story + line for line in cut)])
+    kept = {row.doc_id: row.text for row in clean_documents(docs).collect()}
+    assert [kept.get(i) for i in range(5)] == [*whole, story + short]
+    assert [kept.get(i) for i in range(5, 8)] == [story.rstrip("\n")] * 3
