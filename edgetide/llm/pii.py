@@ -2,7 +2,7 @@
 
 Four fixed patterns give the base spans, which always stay. Wider generators propose more,
 overlapping candidates; boosted trees score each by its format and surroundings, and a threshold
-calibrated for its kind decides. The trees are fitted by Spark ML on a bounded table of labelled
+calibrated for its kind decides. They are found from every start, not only behind the last match. The trees are fitted by Spark ML on a bounded table of labelled
 examples (``EXAMPLES`` rows made from templates) and applied as plain expressions to the arrays of
 candidates, so a document never leaves its row.
 """
@@ -46,6 +46,19 @@ WIDE = {
     r"[A-Za-z0-9_+/=.-]{6,256}",
 }
 
+# The same from every start at which a number or word begins, so that what stands before it swallows
+# nothing, and cards by their usual groups, so that what follows is left out: (kind, guard, pattern).
+_CARDS = (r"[0-9]{4}(?:[ ./_-]?[0-9]{4}){3}(?![0-9])",
+          r"[0-9]{4}[ ./_-]?[0-9]{6}[ ./_-]?[0-9]{5}(?![0-9])")
+STARTS = (
+    ("email", r"(?<![A-Za-z0-9._%+-])", WIDE["email"]),
+    ("ip", r"(?<![0-9A-Fa-f:])", WIDE["ip"]),
+    ("card", r"(?<![0-9])", WIDE["card"]),
+    *(("card", r"(?<![0-9])", pattern) for pattern in _CARDS),
+    ("phone", r"(?<![0-9])", WIDE["phone"]),
+    ("secret", "", WIDE["secret"]),
+)
+
 # What a text must hold for a kind to be looked for at all.
 _HINTS = {
     "email": r"@|[(\[{]at[)\]}]",
@@ -129,6 +142,41 @@ def _found(text: Column, pattern: str, kind: str, hint: str, keep=None) -> Colum
     return F.when(text.rlike(hint), bind(matches, spans)).otherwise(none)
 
 
+def _from_starts(text: Column, guard: str, pattern: str, kind: str, hint: str) -> Column:
+    """Like ``_found``, with the match at every start that ``guard`` lets pass; they may overlap.
+
+    The text is cut at the starts, so the sums of the pieces' lengths are the offsets; one at the
+    text's begin makes no empty piece.
+    """
+
+    def spans(matches: Column) -> Column:
+        zero = F.lit(0).cast("bigint")
+
+        def starts(pieces: Column) -> Column:
+            lengths = F.transform(pieces, lambda piece: F.length(piece).cast("bigint"))
+            return F.slice(
+                scan(lengths, zero, lambda a, b: a + b),
+                F.size(pieces) - F.size(matches) + 1,
+                F.size(matches),
+            )
+
+        return F.zip_with(
+            matches,
+            bind(F.split(text, f"{guard}(?={pattern})", -1), starts),
+            lambda match, start: F.struct(
+                start.alias("start"),
+                F.lit(KINDS.index(kind)).alias("kind"),
+                (start + F.length(match)).alias("end"),
+                match.alias("match"),
+            ),
+        )
+
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,match:string>>")
+    matches = F.regexp_extract_all(text, F.lit(f"{guard}(?=({pattern}))"), F.lit(1))
+    found = bind(matches, lambda m: F.when(F.size(m) == 0, none).otherwise(spans(m)))
+    return F.when(text.rlike(hint), found).otherwise(none)
+
+
 def base_spans(text: Column) -> Column:
     return F.concat(
         *(
@@ -310,23 +358,39 @@ def fit_model(spark: SparkSession, rows: int = EXAMPLES) -> Model:
 def all_spans(text: Column, model: Model, base: Column) -> Column:
     """Base spans and accepted candidates, sorted by start, then kind.
 
-    A candidate inside a base span, or equal to another, adds nothing.
+    A candidate inside a base span or a longer one of its kind, or equal to another, adds nothing.
     """
 
+    def inside(x: Column, spans: Column, test) -> Column:
+        return F.exists(
+            spans, lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"]) & test(b)
+        )
+
+    def longest(wide: Column) -> Column:
+        def longer(x: Column) -> Column:
+            length = x["end"] - x["start"]
+            return inside(
+                x, wide, lambda b: (b["kind"] == x["kind"]) & (b["end"] - b["start"] > length)
+            )
+
+        return F.filter(wide, lambda x: ~longer(x))
+
     def accepted(base: Column) -> Column:
-        wide = F.concat(
-            *(
-                F.filter(
-                    _found(text, pattern, kind, _HINTS[kind]),
-                    lambda x: ~F.exists(
-                        base, lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])
-                    )
-                    & model.accepts(_surrounded(text, x)),
-                )
-                for kind, pattern in WIDE.items()
+        wide = F.array_distinct(
+            F.concat(
+                *(_found(text, pattern, kind, _HINTS[kind]) for kind, pattern in WIDE.items()),
+                *(
+                    _from_starts(text, guard, pattern, kind, _HINTS[kind])
+                    for kind, guard, pattern in STARTS
+                ),
             )
         )
-        return F.array_distinct(F.concat(base, wide))
+        taken = F.filter(
+            wide,
+            lambda x: ~inside(x, base, lambda b: F.lit(True))
+            & model.accepts(_surrounded(text, x)),
+        )
+        return F.array_distinct(F.concat(base, bind(taken, longest)))
 
     return F.sort_array(accepted(base))
 

@@ -111,3 +111,28 @@ def test_no_rows_and_no_python_on_the_executors(make_docs, model):
     assert find_personal_data(docs.limit(0), model).collect() == []
     plan = find_personal_data(docs, model)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("PythonUDF", "Pandas", "Arrow", "Exchange"))
+
+
+def test_numbers_behind_numbers_are_found(make_docs, model):
+    numbers = {
+        "Room 12 555-123-4567": "555-123-4567",
+        "555-123-4567 in 2023": "555-123-4567",
+        "in 2023 415-555-1234": "415-555-1234",
+        "on 2024-03-15 415-555-1234": "415-555-1234",
+        "zip 90210 415-555-1234": "415-555-1234",
+        "汉字 in 2023 (415) 555-1234 or 12 212-555-1234": "(415) 555-1234",
+        "in 2023 4111.1111.1111.1112": "4111.1111.1111.1112",
+        "my card 4111.1111.1111.1112 2023": "4111.1111.1111.1112",
+    }
+    rows = find_personal_data(make_docs(list(numbers)), model).orderBy("doc_id").collect()
+    for row, (text, number) in zip(rows, numbers.items()):
+        at = text.index(number)
+        covered = {i for x in row.spans for i in range(x.start, x.end)}
+        assert set(range(at, at + len(number))) <= covered, (text, row.spans)
+        assert all(text[x.start : x.end] == x.match for x in row.spans)
+
+
+def test_accepted_secrets_may_start_in_a_match(make_docs, model):
+    secret = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    docs = make_docs([f"password: secret = {secret} in the file"])
+    assert secret not in redact_documents(docs, model).collect()[0].text
