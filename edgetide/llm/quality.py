@@ -17,11 +17,29 @@ WINDOW = 3
 # A line with a separator for this many words is navigation, with a phrase for as many boilerplate.
 SEPARATED_WORDS = 8
 PHRASE_WORDS = 20
+# A text with lines of up to this length may be hard-wrapped; a wrapped line has at least so much.
+WRAPPED_MOST = 120
+WRAPPED_LEAST = 30
 
 # The symbols that are counted.
 SYMBOLS = "#*$%&|<>"
-# A line of prose holds the end of a sentence.
-ENDS = r"""[.!?:;…。！？]["'”’»)\]]*([\x20\x09-\x0D]|$)"""
+# A line of prose holds the end of a sentence: in Latin, Greek, Cyrillic and CJK text; Armenian; Arabic and
+# Urdu; the danda of Hindi, Bengali and others; Tibetan; Burmese; Georgian; Ethiopic; Khmer; wide forms.
+SIGNS = (
+    ".!?:;…。！？"
+    "\u0589\u055c\u055e"
+    "\u061b\u061e\u061f\u06d4"
+    "\u0964\u0965"
+    "\u0f0d\u0f0e"
+    "\u104a\u104b"
+    "\u10fb"
+    "\u1362\u1364\u1365\u1366\u1367\u1368"
+    "\u17d4\u17d5\u17d6"
+    "\uff0e\uff1a\uff1b\uff61"
+)
+ENDS = rf"""[{SIGNS}]["'”’»)\]]*([\x20\x09-\x0D]|$)"""
+# Scripts without a sign for it.
+UNSIGNED = r"[\p{IsThai}\p{IsLao}]"
 SEPARATORS = "[|»•·›]"
 # Quotes in either direction: one of their marks counts as a separator, and is none.
 QUOTED = "«[^«»]*»|»[^«»]*«|‹[^‹›]*›|›[^‹›]*‹"
@@ -37,9 +55,24 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
-def line_fails(line: Column, words: Column) -> Column:
+def continued(line: Column, after: Column, longest: Column) -> Column:
+    """Whether the line ``after`` (null for none) goes on with the sentence of ``line``.
+
+    It does where it begins in lower case, or where its first word had no room in a text whose
+    ``longest`` line is no longer than a wrapped one.
+    """
+    first = F.regexp_extract(after, WORD, 0)
+    lower = first.rlike(r"^[\p{Punct}«»‹›„“‘]*\p{Ll}")
+    room = F.length(line) + 1 + F.least(F.length(first), F.lit(WRAPPED_LEAST)) <= longest
+    wrapped = (longest <= WRAPPED_MOST) & ~room
+    return F.coalesce(
+        (F.length(line) >= WRAPPED_LEAST) & (F.length(first) > 0) & (lower | wrapped), F.lit(False)
+    )
+
+
+def line_fails(line: Column, words: Column, after: Column, longest: Column) -> Column:
     """Whether a line of ``words`` words fails a rule; a line without words never does."""
-    punctuation = ~line.rlike(ENDS)
+    punctuation = ~line.rlike(ENDS) & ~line.rlike(UNSIGNED) & ~continued(line, after, longest)
     separators = _count(line, SEPARATORS)
     navigation = (separators >= 2) & bind(
         separators - _count(line, QUOTED),
@@ -54,15 +87,24 @@ def line_fails(line: Column, words: Column) -> Column:
 def _lines(text: Column) -> Column:
     """(line, words, failed) of each line, in order."""
 
-    def judged(line: Column) -> Column:
-        return bind(
-            _count(line, WORD),
-            lambda words: F.struct(
-                line.alias("line"), words.alias("words"), line_fails(line, words).alias("failed")
-            ),
-        )
+    def of(lines: Column, longest: Column) -> Column:
+        def judged(line: Column, i: Column) -> Column:
+            return bind(
+                _count(line, WORD),
+                lambda words: F.struct(
+                    line.alias("line"),
+                    words.alias("words"),
+                    line_fails(line, words, F.get(lines, i + 1), longest).alias("failed"),
+                ),
+            )
+
+        return F.transform(lines, judged)
+
+    def with_longest(lines: Column) -> Column:
+        longest = F.array_max(F.transform(lines, lambda line: F.length(line)))
+        return bind(longest, lambda longest: of(lines, longest))
 
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), judged)
+    return bind(F.split(F.coalesce(text, F.lit("")), "\n"), with_longest)
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:

@@ -90,3 +90,29 @@ def test_rules_of_a_line_go_by_its_words(make_docs):
     kept = {row.doc_id: row.text for row in clean_documents(docs).collect()}
     assert [kept.get(i) for i in range(5)] == [*whole, story + short]
     assert [kept.get(i) for i in range(5, 8)] == [story.rstrip("\n")] * 3
+
+
+def test_other_scripts_and_wrapped_prose_stay_whole(make_docs):
+    def lines(words, sign, count=8):
+        pick = [words[i:] + words[:i] for i in range(len(words))]
+        return "\n".join(" ".join(f"{w}{i}" for w in pick[i % len(pick)]) + sign for i in range(count))
+
+    hindi = "यह एक साफ पाठ है जो हर पंक्ति में".split()
+    urdu = "یہ ایک صاف متن ہے جو ہر سطر میں".split()
+    armenian, amharic = "սա մաքուր տեքստ է ամեն տող".split(), "ይህ ንጹህ ጽሑፍ ነው በየ መስመሩ".split()
+    whole = [
+        lines(hindi, "।"), lines(urdu, "۔"), lines(urdu, "؟"),
+        lines(armenian, "։", 12), lines(amharic, "።", 12),
+    ]
+    words = [f"Word{i}" if i % 3 == 0 else f"word{i}" for i in range(140)]
+    for style in (words, [f"शब्द{i}" for i in range(140)]):
+        wrapped = [""]
+        for word in style:
+            if len(wrapped[-1]) + 1 + len(word) > 70:
+                wrapped.append("")
+            wrapped[-1] = f"{wrapped[-1]} {word}".strip()
+        whole.append("\n".join(wrapped) + ".")
+    menu = "Latest reports about the city council\n" * 2 + "Home\nNews\nThings to do this summer in town"
+    kept = {row.doc_id: row.text for row in clean_documents(make_docs([*whole, whole[5] + "\n" + menu])).collect()}
+    assert [kept.get(i) for i in range(len(whole))] == whole
+    assert kept[len(whole)] == whole[5]
