@@ -22,7 +22,8 @@ from edgetide.llm.common import id_fold
 from edgetide.storage import store
 
 ORDER = 4
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 20_000  # of each language
+FEW_ROWS = 8
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 REMEMBERED = 200_000
@@ -265,17 +266,19 @@ def _entropies(batches: Iterator[pa.RecordBatch], models: Models) -> Iterator[pa
 def fit_models(rows: DataFrame, order: int = ORDER, train_rows: int = TRAIN_ROWS) -> Models:
     """Models from labelled ``rows`` (doc_id, text, lang).
 
-    At most about ``train_rows`` rows, chosen by the hash of their ids, bound what is collected:
-    three quarters are counted, the others calibrate.
+    About ``train_rows`` rows of each language, chosen by the hash of their ids, and all rows of
+    one with fewer, bound what is collected: three quarters are counted, the others calibrate. Of
+    a language with less than ``FEW_ROWS`` rows all are counted, and it has no limit.
     """
-    total = rows.count()
-    spread = 1 << 20
-    place = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(spread))
+    totals = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
+    spread = 1 << 40
+    place = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(spread)) / spread
     chosen, _ = store(
-        rows.where(place < max(1, min(spread, spread * train_rows // max(1, total)))),
+        rows.join(F.broadcast(totals), "lang").where(place < train_rows / F.col("total")),
         "train",
     )
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4))
+    few = F.col("total") < FEW_ROWS
+    part = F.when(few, F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)))
     counted = (
         chosen.where(part < 3)
         .select("lang", "text")

@@ -123,3 +123,18 @@ def test_forgetting_words_changes_nothing(make_docs, corpus, monkeypatch):
     again = [scorer([text])[0][0] for text in texts[:9]]
     first = [x[0] for x in language._Scorer(models)(texts[:9])]
     assert all((a == pytest.approx(b)) for a, b in zip(again, first)) and len(usual) == 100
+
+
+def test_a_rare_language_keeps_its_rows(make_docs):
+    rng = random.Random(9)
+    langs = {i: "aa" for i in range(3000)}
+    common = [" ".join("".join(rng.choices("abcde", k=4)) for _ in range(12)) for _ in range(3000)]
+    rare = [" ".join("".join(rng.choices("vwxyz", k=4)) for _ in range(12)) for _ in range(45)]
+    langs |= {3000 + i: "bb" if i < 40 else "cc" for i in range(45)}
+    rare[40:] = [x.translate(str.maketrans("vwxyz", "klmno")) for x in rare[40:]]
+    docs = make_docs(common + rare, langs=langs)
+    rows = {row.doc_id: row for row in identify(docs, train_rows=60).collect()}
+    assert all(rows[i].lang_pred == langs[i] for i in range(2900, 3045))
+    models = language.fit_models(docs, train_rows=60)
+    limits = dict(zip(models.langs, models.limits))
+    assert math.isfinite(limits["bb"]) and limits["cc"] == math.inf
