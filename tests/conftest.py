@@ -7,12 +7,9 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from brute import TINY  # noqa: E402
 from edgetide.storage import drop_all  # noqa: E402
 
-# Hand-checked: duplicate A-B, self-loop F, sink E, D without in-edge.
-TINY = ["AB", "AC", "BC", "CA", "DC", "AB", "CE", "FF"]
-
-
 @pytest.fixture(scope="session")
 def spark():
     session = (

@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import brute
-from conftest import TINY
+from brute import TINY
 from edgetide.operators import adjacency, lookup, skew, stats
 from edgetide.operators.trace import trace
 

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import brute
-from conftest import TINY
+from brute import TINY
 from edgetide.operators import lookup
 from edgetide.operators.topk import full_ranking
 from edgetide.plans import job

@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import brute
-from conftest import TINY
+from brute import TINY
 from edgetide.operators import keys
 from edgetide.operators.links import prepare_links
 from edgetide.operators.rank import rank, rank_edges
