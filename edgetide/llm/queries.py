@@ -13,6 +13,7 @@ from edgetide.llm.mixing import mix_documents
 from edgetide.llm.packing import pack_documents
 from edgetide.llm.pii import KINDS, find_personal_data, spans_text
 from edgetide.llm.quality import judge_documents
+from edgetide.llm.runs import periodic_runs
 from edgetide.llm.sharding import shard_documents
 from edgetide.llm.simple8b import round_trip
 
@@ -76,6 +77,11 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_square_catchers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, after the rewriting that the ids ask for; see ``periodic_runs``."""
+    return periodic_runs(_documents(spark, sf_dir))
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_pivot_permutation": op1_pivot_permutation,
@@ -88,5 +94,6 @@ def registered() -> dict[str, Query]:
         "op8_line_cleaning": op8_line_cleaning,
         "op9_kneser_ney_language": op9_kneser_ney_language,
         "op10_pivotal_mix": op10_pivotal_mix,
+        "op13_square_catchers": op13_square_catchers,
     }
 
