@@ -106,10 +106,69 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM counted
 """
 
+_TERMS = r"""regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+# Proximity is tried around the places of a window's rarest word only.
+OP12 = f"""
+WITH words AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+item_words AS (SELECT item_id, {_TERMS} AS w FROM benchmark),
+windows AS (
+    SELECT item_id, w[i:i + 9] AS p
+    FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i
+          FROM item_words WHERE len(w) > 0)
+),
+owned AS (SELECT DISTINCT item_id, array_to_string(p, ' ') AS phrase, p FROM windows),
+phrases AS (SELECT DISTINCT phrase, p, len(p) AS n FROM owned),
+places AS (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+    FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+          FROM words, (SELECT DISTINCT n FROM phrases) WHERE len(w) >= n)
+),
+hits AS (SELECT doc_id, i, n, phrase FROM places SEMI JOIN phrases USING (phrase)),
+covered AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS k FROM hits) GROUP BY doc_id
+),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item
+          FROM hits JOIN owned USING (phrase) WHERE item_id IS NOT NULL)
+    GROUP BY doc_id
+),
+terms AS (
+    SELECT doc_id, w, i, w[i] AS term
+    FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM words)
+),
+counts AS (SELECT term, count(*) AS times FROM terms GROUP BY term),
+rarest AS (
+    SELECT phrase, p, arg_min(term, times) AS term
+    FROM (SELECT phrase, p, n, unnest(p) AS term FROM phrases) JOIN counts USING (term)
+    GROUP BY phrase, p, n HAVING count(*) = n
+),
+stretches AS (
+    SELECT doc_id, phrase, p,
+           w[greatest(1, i - k):greatest(1, i - k) + 19] AS near
+    FROM terms JOIN rarest USING (term), (SELECT unnest(generate_series(0, 19)) AS k)
+),
+nearby AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_near
+    FROM (SELECT DISTINCT doc_id, phrase FROM stretches WHERE list_has_all(near, p))
+    JOIN owned USING (phrase) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0) AS n_near_items
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+     LEFT JOIN nearby USING (doc_id)
+"""
+
 
 def statements() -> dict[str, str]:
     return {
         "op1_pivot_permutation": OP1,
         "op5_bottom_k": OP5,
         "op8_line_cleaning": OP8,
+        "op12_positional_index": OP12,
     }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgetide.llm.brown import score_documents
+from edgetide.llm.contamination import find_contamination
 from edgetide.llm.embeddings import near_duplicate_vectors
 from edgetide.llm.language import identify
 from edgetide.llm.minhash import near_duplicates
@@ -77,6 +78,20 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document shares with the benchmark; ``n_near_items`` counts proximity matches."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_contamination(_documents(spark, sf_dir), benchmark).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+        F.col("n_near").alias("n_near_items"),
+    )
+
+
 def op13_square_catchers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every text, after the rewriting that the ids ask for; see ``periodic_runs``."""
     return periodic_runs(_documents(spark, sf_dir))
@@ -94,6 +109,7 @@ def registered() -> dict[str, Query]:
         "op8_line_cleaning": op8_line_cleaning,
         "op9_kneser_ney_language": op9_kneser_ney_language,
         "op10_pivotal_mix": op10_pivotal_mix,
+        "op12_positional_index": op12_positional_index,
         "op13_square_catchers": op13_square_catchers,
     }
 
