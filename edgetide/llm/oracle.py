@@ -106,6 +106,52 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM counted
 """
 
+# The unsigned CRC-32 of a decimal number, a byte and a bit at a time.
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), [CAST(k AS BIGINT) FOR k IN range(8)]),
+        lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+OP11 = rf"""
+WITH turns AS (
+    SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t,
+           row_number() OVER (PARTITION BY conv_id
+               ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT conv_id, list(t ORDER BY i) AS turns FROM turns GROUP BY conv_id),
+heads AS (SELECT conv_id, turns, {_CRC} % 4 AS h FROM own),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+),
+visits AS (
+    SELECT conv_id, d, turns[1:d] AS node, d = len(turns) AS last
+    FROM (SELECT conv_id, turns, unnest(generate_series(0, len(turns))) AS d FROM rebuilt)
+),
+nodes AS (
+    SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '') AS ends,
+           (count(*) - 1) * CASE WHEN d = 0 THEN 0
+               ELSE len(regexp_extract_all(node[d].text, '[^ 	-]+')) END AS saved
+    FROM visits GROUP BY node, d
+),
+children AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+sums AS (
+    SELECT node[1:k] AS node, sum(saved) AS saved, sum(leaf) AS leaves
+    FROM (SELECT node, saved, CASE WHEN n IS NULL THEN 1 ELSE 0 END AS leaf,
+                 unnest(generate_series(0, d)) AS k
+          FROM nodes LEFT JOIN children USING (node))
+    GROUP BY 1
+)
+SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs,
+       coalesce(c.n, 0) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes v JOIN sums s USING (node) LEFT JOIN children c USING (node)
+     LEFT JOIN nodes p ON v.d > 0 AND p.node = v.node[1:v.d - 1]
+"""
+
 _TERMS = r"""regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -170,5 +216,6 @@ def statements() -> dict[str, str]:
         "op1_pivot_permutation": OP1,
         "op5_bottom_k": OP5,
         "op8_line_cleaning": OP8,
+        "op11_euler_trie": OP11,
         "op12_positional_index": OP12,
     }

@@ -13,6 +13,7 @@ from edgetide.llm.minhash import near_duplicates
 from edgetide.llm.mixing import mix_documents
 from edgetide.llm.packing import pack_documents
 from edgetide.llm.pii import KINDS, find_personal_data, spans_text
+from edgetide.llm.prefix_trie import conversation_trie
 from edgetide.llm.quality import judge_documents
 from edgetide.llm.runs import periodic_runs
 from edgetide.llm.sharding import shard_documents
@@ -78,6 +79,11 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_euler_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations, a row for each node; see ``conversation_trie``."""
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document shares with the benchmark; ``n_near_items`` counts proximity matches."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -109,6 +115,7 @@ def registered() -> dict[str, Query]:
         "op8_line_cleaning": op8_line_cleaning,
         "op9_kneser_ney_language": op9_kneser_ney_language,
         "op10_pivotal_mix": op10_pivotal_mix,
+        "op11_euler_trie": op11_euler_trie,
         "op12_positional_index": op12_positional_index,
         "op13_square_catchers": op13_square_catchers,
     }
