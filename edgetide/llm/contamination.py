@@ -1,7 +1,7 @@
 """Benchmark passages in training documents, found with a distributed positional inverted index.
 
 The index holds a posting (term, text, position) for each word of the documents that occurs in the
-test items; every task writes the postings of its documents as one segment sorted by term, so nothing
+test items, and one of the empty term where a text ends; every task writes the postings of its documents as one segment sorted by term, so nothing
 is shuffled to build it and a reader skips the row groups of other terms. A window of an item is
 looked up from its rarest terms: the postings of the two rarest are moved back by their place in the
 window, and where both lists name the same start of the same text (one aggregation over equal keys)
@@ -26,6 +26,9 @@ from edgetide.storage import drop_scratch, store
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# No word; where it stands in the index, a text ends.
+END = ""
+
 WINDOW = 10
 NEAR = 20
 LISTS = 2
@@ -38,7 +41,10 @@ BROADCAST_BYTES = 48 << 20
 
 def terms_of(text: Column) -> Column:
     """The words of a text in order, A-Z lower-cased; none for null."""
-    lower = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
+    text = F.coalesce(text, F.lit(""))
+    # of text in ASCII, which lower() is faster at, it changes A-Z only
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    lower = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
     return F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))
 
 
@@ -68,7 +74,13 @@ class PositionalIndex:
 
     def frequencies(self) -> DataFrame:
         """(term, postings) of each term."""
-        return self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("postings"))
+        counts = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("postings"))
+        return counts.where(F.col("term") != END)
+
+    def lengths(self) -> DataFrame:
+        """(text*, n_words) of each text."""
+        ends = self.postings.where(F.col("term") == END)
+        return ends.groupBy(*TEXT).agg(F.max("position").cast("bigint").alias("n_words"))
 
     def release(self) -> None:
         drop_scratch(self.postings.sparkSession, self.path)
@@ -76,10 +88,11 @@ class PositionalIndex:
 
 def build_index(docs: DataFrame, terms: DataFrame | None = None) -> PositionalIndex:
     """Index every word of the whole texts, or those in a stored table ``terms`` (term, distinct)."""
-    places = _keyed(docs).select(
-        *TEXT, F.posexplode(terms_of(F.col("text"))).alias("position", "term")
-    )
+    words = F.concat(terms_of(F.col("text")), F.array(F.lit(END)))
+    places = _keyed(docs).select(*TEXT, F.posexplode(words).alias("position", "term"))
     if terms is not None:
+        end = docs.sparkSession.range(1).select(F.lit(END).alias("term"))
+        terms = terms.unionByName(end)
         places = places.join(_if_small(terms, F.octet_length("term")), "term", "left_semi")
     segments = places.select("term", *TEXT, "position").sortWithinPartitions(
         "term", "text0", "position"
@@ -304,13 +317,13 @@ def find_contamination(
         places = near_matches(docs, index, windows, within).join(owners, "phrase_id")
         counts = places.groupBy(*TEXT).agg(F.count_distinct("item_id").alias("n_near"))
         shared, near = shared.join(counts, TEXT, "full"), F.coalesce("n_near", F.lit(0))
-    shared, _ = store(shared, "shared")
+    known, _ = store(index.lengths().join(shared, TEXT, "left"), "shared")
     index.release()
     none = F.array().cast("array<string>")
     return (
         _keyed(docs)
-        .select("doc_id", *TEXT, F.size(terms_of(F.col("text"))).cast("bigint").alias("n_words"))
-        .join(shared, TEXT, "left")
+        .select("doc_id", *TEXT)
+        .join(known, TEXT)
         .select(
             "doc_id",
             "n_words",
