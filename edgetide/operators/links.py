@@ -28,6 +28,8 @@ def fixed_layout(spark: SparkSession, partitions: int) -> Iterator[None]:
     ours = {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "false",
+        # a saved layout is read by its buckets even where a plan alone would not need them
+        "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
     }
     before = {name: spark.conf.get(name) for name in ours}
     for name, value in ours.items():
@@ -50,6 +52,7 @@ class Links:
     ``nodes``   all node ids (nodeId), a stored table.
     ``keys``    what src* and dst* are: short keys in place of ids.
     ``hot``     the sources in ``spread`` (src*, fanout), or None.
+    ``tables``  names under which this session knows a saved layout's files.
     """
 
     edges: DataFrame
@@ -60,6 +63,7 @@ class Links:
     hot: DataFrame | None
     partitions: int
     scratch: tuple[str, ...]
+    tables: tuple[str, ...] = ()
 
     @property
     def src(self) -> list[str]:
@@ -84,13 +88,15 @@ class Links:
         )
 
     def release(self) -> None:
-        """Drop the cached edges and the stored tables."""
+        """Drop the cached edges and the stored tables; a saved layout's files stay."""
         spark = self.edges.sparkSession
         self.edges.unpersist()
         if self.spread is not None:
             self.spread.unpersist()
         for path in self.scratch:
             drop_scratch(spark, path)
+        for name in self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def partitions_for(spark: SparkSession, rows: int) -> int:

@@ -4,11 +4,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgetide.operators.adjacency import ENTRIES_PER_LIST, neighbor_lists
-from edgetide.operators.skew import ROWS_PER_SLICE, rows_matching
+from edgetide.operators.skew import ROWS_PER_SLICE, fits_broadcast, rows_matching
 from edgetide.operators.stats import CountedEdges, Edges
 from edgetide.operators.topk import stored_list
 from edgetide.functions.text import rounded
 from edgetide.schema import STORED
+from edgetide.sources.index import BucketedEdges
 from edgetide.storage import checkpoint
 
 # direction -> (column looked up, column listed, name of the list)
@@ -46,14 +47,21 @@ def _report(edges: Edges, direction: str, limit: int) -> DataFrame:
     )
 
 
+def _at(edges: Edges, key: str, node_id: str) -> Edges:
+    node_id = str(node_id)
+    if isinstance(edges, BucketedEdges):
+        return edges.at(key, node_id)
+    return edges.where(F.col(key) == F.lit(node_id))
+
+
 def neighbors(edges: Edges, node_id: str, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """Whom a node links to: (nodeId, direction, count, part, neighbors)."""
-    return _report(edges.where(F.col("src") == F.lit(str(node_id))), "outgoing", limit)
+    return _report(_at(edges, "src", node_id), "outgoing", limit)
 
 
 def influenced_by(edges: Edges, node_id: str, limit: int = ENTRIES_PER_LIST) -> DataFrame:
     """Who links to a node: (nodeId, direction, count, part, sources)."""
-    return _report(edges.where(F.col("dst") == F.lit(str(node_id))), "incoming", limit)
+    return _report(_at(edges, "dst", node_id), "incoming", limit)
 
 
 def neighbors_of(
@@ -63,10 +71,16 @@ def neighbors_of(
     limit: int = ENTRIES_PER_LIST,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Neighbour lists for a table of ids (column nodeId), in either direction."""
+    """Neighbour lists for a table of ids (column nodeId), in either direction.
+
+    In an index with buckets by that end, ids few enough to broadcast read their buckets only.
+    """
     key = _DIRECTIONS[direction][0]
     wanted = checkpoint(ids.select(F.col("nodeId").cast("string").alias(key)).distinct())
-    if isinstance(edges, CountedEdges):
+    indexed = isinstance(edges, BucketedEdges) and edges.key == key
+    if indexed and fits_broadcast(wanted, key):
+        found = edges.at_all(wanted)
+    elif isinstance(edges, CountedEdges):
         found = CountedEdges(rows_matching(edges.rows, wanted, key, rows_per_slice))
     else:
         found = rows_matching(edges, wanted, key, rows_per_slice)

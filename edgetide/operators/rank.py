@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from edgetide.operators.links import Links, fixed_layout, prepare_links
 from edgetide.operators.stats import Edges
 from edgetide.schema import CHECKPOINT_EVERY, DAMPING, ITERATIONS
+from edgetide.sources.rounds import Rounds
 from edgetide.storage import checkpoint
 
 
@@ -74,23 +75,30 @@ def rank(
     iterations: int = ITERATIONS,
     damping: float = DAMPING,
     checkpoint_every: int = CHECKPOINT_EVERY,
+    rounds: Rounds | None = None,
 ) -> DataFrame:
     """Ranks (nodeId, pagerank) after exactly ``iterations`` rounds, checkpointed.
 
     The plan is cut every ``checkpoint_every`` rounds and at the end, so it stays short and a
     failure never goes back further than the last cut. With hot sources a round reads the ranks
     twice, so the plan is cut after each.
+
+    With ``rounds``, which must be those of this graph and damping, the work starts from the furthest
+    kept round and the cuts are kept there: more rounds later, or the same after a failure, cost only
+    what is left.
     """
     check_parameters(iterations, damping)
     if checkpoint_every < 1:
         raise ValueError("checkpoint_every must be at least 1")
-    if links.hot is not None:
-        checkpoint_every = 1
     with fixed_layout(links.edges.sparkSession, links.partitions):
-        ranks = initial_ranks(links)
-        for done in range(1, iterations + 1):
+        done = rounds.last(iterations) if rounds else None
+        ranks = initial_ranks(links) if done is None else rounds.read(done)
+        for number in range((done or 0) + 1, iterations + 1):
             ranks = next_ranks(links, ranks, damping)
-            if done % checkpoint_every == 0 and done < iterations:
+            cut = number % checkpoint_every == 0
+            if rounds and (cut or number == iterations):
+                ranks = rounds.keep(ranks, number)
+            elif (cut or links.hot is not None) and number < iterations:
                 ranks = checkpoint(ranks)
         return checkpoint(with_ids(links, ranks))
 

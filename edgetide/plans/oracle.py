@@ -1,6 +1,6 @@
 """The registered queries as plain SQL over the test tables."""
 
-from edgetide.plans.queries import CLOSE_DAMPING, COMPLETED_AT, LIST_LIMIT
+from edgetide.plans.queries import CLOSE_DAMPING, COMPLETED_AT, LIST_LIMIT, STARTS
 
 # Raw edges, one row per link, as (src, dst).
 GRAPHS = {
@@ -156,6 +156,54 @@ def _trace(graph: str, hops: int, back: bool = False) -> str:
     return ",\n".join(steps) + f"\nSELECT nodeId, hop FROM met{hops}"
 
 
+def _trace_paths(graph: str, hops: int, back: bool = False) -> str:
+    """Each node by its least neighbour in the hop before."""
+    here, there = ("dst", "src") if back else ("src", "dst")
+    steps = [
+        _graph(graph),
+        f"""met0 AS MATERIALIZED (
+             SELECT min({here}) AS nodeId, CAST(0 AS BIGINT) AS hop, min({here}) AS path
+             FROM edges)""",
+    ]
+    for i in range(1, hops + 1):
+        steps.append(
+            f"""met{i} AS MATERIALIZED (
+             SELECT nodeId, hop, path FROM met{i - 1}
+             UNION ALL
+             SELECT {there} AS nodeId, CAST({i} AS BIGINT) AS hop,
+                    arg_min(m.path, {here}) || ',' || {there} AS path
+             FROM edges JOIN met{i - 1} AS m ON m.nodeId = {here} AND m.hop = {i - 1}
+             WHERE {there} NOT IN (SELECT nodeId FROM met{i - 1}) GROUP BY {there})"""
+        )
+    return ",\n".join(steps) + f"\nSELECT nodeId, hop, path FROM met{hops}"
+
+
+def _trace_each(graph: str, hops: int) -> str:
+    steps = [
+        _graph(graph),
+        f"""met0 AS MATERIALIZED (
+             SELECT src AS start, src AS nodeId, CAST(0 AS BIGINT) AS hop
+             FROM (SELECT DISTINCT src FROM edges ORDER BY src LIMIT {STARTS}))""",
+    ]
+    for i in range(1, hops + 1):
+        steps.append(
+            f"""met{i} AS MATERIALIZED (
+             SELECT start, nodeId, min(hop) AS hop FROM (
+               SELECT start, nodeId, hop FROM met{i - 1}
+               UNION ALL
+               SELECT start, dst, CAST({i} AS BIGINT) FROM edges
+               JOIN met{i - 1} ON nodeId = src AND hop = {i - 1})
+             GROUP BY start, nodeId)"""
+        )
+    return ",\n".join(steps) + f"\nSELECT start, nodeId, hop FROM met{hops}"
+
+
+def _connection(graph: str, hops: int) -> str:
+    return f"""SELECT (SELECT min(src) FROM ({GRAPHS[graph]})) AS source, nodeId AS target,
+                      hop AS distance
+        FROM ({_trace(graph, hops)}) WHERE nodeId = (SELECT max(dst) FROM ({GRAPHS[graph]}))"""
+
+
 _ROUNDTRIP = f"""{_ranked("part_supp")}
         , placed AS (SELECT nodeId, score, {_BEST} AS place FROM ranks)
         SELECT 'top' AS output, nodeId, round(score, 8) AS value FROM placed WHERE place <= 5
@@ -243,10 +291,13 @@ def statements() -> dict[str, str]:
         "top_n_close": _top_n("part_next", 20, CLOSE_DAMPING),
         "top_n_close_saved": _top_n("part_next", 20, CLOSE_DAMPING),
         "top_n_capped": _header("part_supp", 5000),
+        "all_places": f"""{_ranked("part_next")}
+            SELECT {_BEST} AS rank, nodeId, round(score, 8) AS pagerank FROM ranks""",
         "top_n_header": _header("part_next", 10),
         "node_score": f"""WITH best AS ({_stored("part_supp")})
             SELECT nodeId, pagerank FROM best WHERE nodeId = '5'""",
         "node_score_full": f"{_scores('part_next')} WHERE nodeId = '100'",
+        "node_score_by_id": f"{_scores('part_next')} WHERE nodeId = '1999'",
         "node_score_missing": f"{_scores('part_next')} WHERE nodeId = 'none'",
         "node_scores_batch": _scores("part_supp"),
         "node_scores_all": _scores("part_next"),
@@ -260,6 +311,10 @@ def statements() -> dict[str, str]:
         + _lists("src", "dst", "neighbors", _BOTH_ENDS.format(key="src")),
         "influenced_by_batch": _graph("part_supp")
         + _lists("dst", "src", "sources", _BOTH_ENDS.format(key="dst")),
+        "neighbors_batch_indexed": _graph("part_supp")
+        + _lists("src", "dst", "neighbors", _BOTH_ENDS.format(key="src")),
+        "influenced_by_batch_indexed": _graph("part_supp")
+        + _lists("dst", "src", "sources", _BOTH_ENDS.format(key="dst")),
         "job_metadata": _metadata("part_next"),
         "stats": f"""WITH described AS ({_metadata("page_links")})
             SELECT dataset_name AS dataset, total_nodes, total_edges, iterations,
@@ -269,8 +324,16 @@ def statements() -> dict[str, str]:
         "trace_3hop": _trace("part_next", 3),
         "trace_6hop": _trace("part_next", 6),
         "trace_back_2hop": _trace("page_links", 2, back=True),
+        "trace_paths_3hop": _trace_paths("part_next", 3),
+        "trace_paths_back": _trace_paths("page_links", 2, back=True),
+        "trace_each_start": _trace_each("part_next", 2),
+        "connection": _connection("part_next", 6),
+        "connection_one_way": _connection("part_supp", 6),
         "roundtrip_results": _ROUNDTRIP,
         "saved_lookups": _SAVED_LOOKUPS,
         "rerun_results": _stored("part_supp", iterations=3, damping=0.9),
+        "resumed_results": _stored("part_next", iterations=15),
         "refresh_from_stream": _stored("tab_lines"),
+        "refresh_incremental": _stored("tab_lines"),
+        "rank_in_batches": _scores("part_supp"),
     }

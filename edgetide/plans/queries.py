@@ -10,12 +10,13 @@ from edgetide.operators import adjacency as lists
 from edgetide.operators import lookup, stats, topk
 from edgetide.operators.links import prepare_links
 from edgetide.operators.rank import contributions, initial_ranks, rank, rank_edges, with_ids
-from edgetide.operators.trace import trace
-from edgetide.plans.job import run_job
+from edgetide.operators.incremental import RankHistory
+from edgetide.operators.trace import connection, trace, trace_each, trace_paths
+from edgetide.plans.job import rerun_job, run_job
 from edgetide.schema import DAMPING, ITERATIONS
 from edgetide.sources.edges import read_edges
 from edgetide.sources.index import read_index, write_index
-from edgetide.sources.results import job_metadata, read_results
+from edgetide.sources.results import job_metadata, read_results, write_by_id
 from edgetide.sources.tables import GRAPHS, csv_lines, edge_lines
 from edgetide.storage import scratch_path, store
 from edgetide.streaming.refresh import refresh_from_stream
@@ -27,6 +28,10 @@ CLOSE_DAMPING = 1e-9
 # Makes the small tables' largest sources hot.
 SMALL_SLICE = 8
 LIST_LIMIT = 50
+BUCKETS = 16
+STARTS = 64
+# What a part of the edges is: the rest comes as later batches.
+BATCHES = 3
 
 # Stands for the finishing time, a parameter, so that results repeat.
 COMPLETED_AT = "2024-01-01T00:00:00+00:00"
@@ -160,16 +165,66 @@ def _indexed(direction: str, find, node_id: str, name: str) -> Callable[[DataFra
     return query
 
 
-def _rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second job with other parameters replaces the results readers see."""
-    out_dir = scratch_path(spark, "results")
-    edges, _ = store(GRAPHS["part_supp"](spark, sf_dir), "edges")
-    run_job(edges, out_dir, "part_supp")
-    run_job(edges, out_dir, "part_supp", iterations=3, damping=0.9)
-    return read_results(spark, out_dir).stored
+def _rerun(graph: str, first: int, iterations: int, damping: float = DAMPING) -> Query:
+    """A second job on the saved graph, with other parameters, replaces the results readers see."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out_dir = scratch_path(spark, "results")
+        run_job(GRAPHS[graph](spark, sf_dir), out_dir, graph, iterations=first, keep=True)
+        rerun_job(spark, out_dir, iterations, damping)
+        return read_results(spark, out_dir).stored
+
+    return query
+
+
+def _path_rows(paths: DataFrame) -> DataFrame:
+    return paths.select("nodeId", "hop", F.array_join("path", ",").alias("path"))
+
+
+def _connection(edges: DataFrame) -> DataFrame:
+    """From the first node to the last one."""
+    ends = edges.agg(F.min("src").alias("first"), F.max("dst").alias("last")).first()
+    found = connection(edges, ends["first"], ends["last"], 6)
+    return found.select("source", "target", "distance")
+
+
+def _first_sources(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("src").alias("nodeId")).distinct().orderBy("nodeId").limit(STARTS)
+
+
+def _saved_score(ranks: DataFrame, node_id: str) -> DataFrame:
+    """A look-up in the scores ordered by id."""
+    spark, path = ranks.sparkSession, scratch_path(ranks.sparkSession, "by-id")
+    write_by_id(ranks, path)
+    return lookup.node_score(spark.read.parquet(path), node_id, stored=None)
+
 
+def _neighbors_indexed(direction: str) -> Callable[[DataFrame], DataFrame]:
+    """Look-ups for a table of ids in an index with buckets."""
+    name = "neighbors" if direction == "outgoing" else "sources"
+
+    def query(edges: DataFrame) -> DataFrame:
+        spark, folder = edges.sparkSession, scratch_path(edges.sparkSession, "index")
+        write_index(edges, folder, BUCKETS)
+        index = read_index(spark, folder, direction, BUCKETS)
+        found = lookup.neighbors_of(index, _degree_ids(edges), direction)
+        return found.select("nodeId", "direction", "count", "part", _joined(name))
+
+    return query
+
+
+def _in_batches(edges: DataFrame) -> DataFrame:
+    """The edges arrive in batches, and ranks are brought up to date by each."""
+    spark = edges.sparkSession
+    history = RankHistory(spark, scratch_path(spark, "history"))
+    batch = F.pmod(F.xxhash64("src", "dst"), F.lit(BATCHES * BATCHES))
+    for number in range(BATCHES):
+        here = batch >= BATCHES - 1 if number == 0 else batch == number - 1
+        history.add(edges.where(here), number)
+    return _scores(history.ranks(BATCHES - 1))
 
-def _refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def _refresh(spark: SparkSession, sf_dir: str, incremental: bool = False) -> DataFrame:
     """An edge list arrives as files, in several batches; the result is the last saved list."""
     incoming, edge_store, out_dir = (
         scratch_path(spark, label) for label in ("incoming", "store", "results")
@@ -177,7 +232,7 @@ def _refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     edge_lines(spark, sf_dir).repartition(4).write.text(incoming)
     refresh_from_stream(
         spark, incoming, edge_store, out_dir, "lines", on_malformed="drop", every=None,
-        files_per_trigger=2,
+        files_per_trigger=2, incremental=incremental,
     ).awaitTermination()
     return read_results(spark, out_dir).stored
 
@@ -255,6 +310,12 @@ def registered() -> dict[str, Query]:
         "top_n_capped": _on_ranks(
             "part_supp", lambda r: topk.top_n_header(topk.stored_list(r), 5000)
         ),
+        "all_places": _on_ranks(
+            "part_next",
+            lambda r: topk.all_places(r).select(
+                "rank", "nodeId", rounded(F.col("pagerank")).alias("pagerank")
+            ),
+        ),
         "top_n_header": _on_ranks(
             "part_next", lambda r: topk.top_n_header(topk.stored_list(r), "10")
         ),
@@ -262,6 +323,7 @@ def registered() -> dict[str, Query]:
         "node_score_full": _on_ranks(
             "part_next", lambda r: lookup.node_score(r, "100", stored=None)
         ),
+        "node_score_by_id": _on_ranks("part_next", lambda r: _saved_score(r, "1999")),
         "node_score_missing": _on_ranks("part_next", lambda r: lookup.node_score(r, "none")),
         "node_scores_batch": _on_stored(
             "part_supp", lambda e: lookup.node_scores(rank_edges(e), stats.nodes(e))
@@ -289,6 +351,8 @@ def registered() -> dict[str, Query]:
         ),
         "neighbors_batch": _on_stored("part_supp", _neighbors_batch("outgoing")),
         "influenced_by_batch": _on_stored("part_supp", _neighbors_batch("incoming")),
+        "neighbors_batch_indexed": _on_stored("part_supp", _neighbors_indexed("outgoing")),
+        "influenced_by_batch_indexed": _on_stored("part_supp", _neighbors_indexed("incoming")),
         "job_metadata": _on_stored("part_next", lambda e: _metadata(e, "part_next")),
         "stats": _on_stored(
             "page_links", lambda e: lookup.job_stats(_metadata(e, "page_links"))
@@ -297,8 +361,22 @@ def registered() -> dict[str, Query]:
         "trace_3hop": _on_stored("part_next", _trace(3)),
         "trace_6hop": _on_stored("part_next", _trace(6)),
         "trace_back_2hop": _on_stored("page_links", _trace(2, back=True)),
+        "trace_paths_3hop": _on_stored(
+            "part_next", lambda e: _path_rows(trace_paths(e, _first_source(e), 3))
+        ),
+        "trace_paths_back": _on_stored(
+            "page_links", lambda e: _path_rows(trace_paths(e, _first_target(e), 2, back=True))
+        ),
+        "trace_each_start": _on_stored(
+            "part_next", lambda e: trace_each(e, _first_sources(e), 2)
+        ),
+        "connection": _on_stored("part_next", _connection),
+        "connection_one_way": _on_stored("part_supp", _connection),
         "roundtrip_results": _roundtrip,
         "saved_lookups": _saved_lookups,
-        "rerun_results": _rerun,
+        "rerun_results": _rerun("part_supp", ITERATIONS, 3, 0.9),
+        "resumed_results": _rerun("part_next", ITERATIONS, 15),
         "refresh_from_stream": _refresh,
+        "refresh_incremental": lambda spark, sf_dir: _refresh(spark, sf_dir, incremental=True),
+        "rank_in_batches": _on_stored("part_supp", _in_batches),
     }

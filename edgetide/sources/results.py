@@ -4,7 +4,8 @@
     <out>/version=<v>/stored    best thousand, JSON lines
     <out>/version=<v>/places    best thousand with their place, Parquet, for reading
     <out>/version=<v>/ranking   all nodes best first, text: node, tab, score
-    <out>/version=<v>/scores    all nodes best first, Parquet with full scores, for reading
+    <out>/version=<v>/scores    all nodes best first, Parquet with place and full score, for reading
+    <out>/version=<v>/by_id     the same ordered by id, with Bloom filters, for look-ups by id
     <out>/version=<v>/graph     neighbour lists, JSON lines
     <out>/version=<v>/index     counted edges sorted by either end, Parquet, for look-ups
     <out>/version=<v>/metadata  one JSON line; a version without it does not exist for readers
@@ -17,11 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edgetide.functions.text import rounded
 from edgetide.operators.adjacency import ENTRIES_PER_LIST, adjacency
 from edgetide.operators.stats import CountedEdges, Edges
-from edgetide.operators.topk import full_ranking, ranking_lines, stored_list, top_list
-from edgetide.schema import ADJACENCY, METADATA, RANKS, TOP, TOP_LIST
-from edgetide.sources.index import read_index, write_index
+from edgetide.operators.topk import in_ranges, lines, numbered, top_list
+from edgetide.schema import ADJACENCY, METADATA, RANKS, STORED, TOP, TOP_LIST
+from edgetide.sources.index import INDEX_BUCKETS, read_index, write_index
 from edgetide.storage import delete, named
 
 
@@ -39,6 +41,9 @@ class Results:
     metadata: DataFrame
     outgoing: CountedEdges
     incoming: CountedEdges
+    # (rank, nodeId, pagerank) of all nodes, ordered by place and by id
+    places: DataFrame
+    by_id: DataFrame
 
     @property
     def edges(self) -> CountedEdges:
@@ -83,16 +88,31 @@ def job_metadata(
 def write_rankings(
     ranks: DataFrame, edges: Edges, folder: str, limit: int = ENTRIES_PER_LIST
 ) -> None:
-    """Everything but the metadata; ``limit`` is the most entries a neighbour list's row holds."""
+    """Everything but the metadata; ``limit`` is the most entries a neighbour list's row holds.
+
+    The ranks are ordered once: places, scores and text come from the same ranges.
+    """
     spark = ranks.sparkSession
-    stored_list(ranks).coalesce(1).write.parquet(f"{folder}/places")
+    ranged = in_ranges(ranks).persist()
+    ranking = numbered(ranged)
+    ranking.write.parquet(f"{folder}/scores")
+    lines(ranking).write.text(f"{folder}/ranking")
+    ranged.unpersist()
+    scores = spark.read.schema(TOP_LIST).parquet(f"{folder}/scores")
+    best = scores.where(F.col("rank") <= STORED).withColumn("pagerank", rounded(F.col("pagerank")))
+    best.coalesce(1).sortWithinPartitions("rank").write.parquet(f"{folder}/places")
     places = spark.read.schema(TOP_LIST).parquet(f"{folder}/places")
     places.where(F.col("rank") <= TOP).orderBy("rank").write.json(f"{folder}/top")
     places.orderBy("rank").drop("rank").write.json(f"{folder}/stored")
-    full_ranking(ranks).write.parquet(f"{folder}/scores")
-    ranking_lines(ranks).write.text(f"{folder}/ranking")
+    write_by_id(scores, f"{folder}/by_id")
     adjacency(edges, limit).write.json(f"{folder}/graph")
-    write_index(edges, f"{folder}/index")
+    write_index(edges, f"{folder}/index", INDEX_BUCKETS)
+
+
+def write_by_id(scores: DataFrame, path: str) -> None:
+    """Scores in order of id: a look-up reads the row groups whose range and Bloom filter fit."""
+    ranged = scores.repartitionByRange("nodeId").sortWithinPartitions("nodeId")
+    ranged.write.option("parquet.bloom.filter.enabled#nodeId", "true").parquet(path)
 
 
 def write_metadata(metadata: DataFrame, folder: str) -> None:
@@ -146,6 +166,8 @@ def read_results(spark: SparkSession, out_dir: str, version: str | None = None)
         spark.read.schema(RANKS).parquet(f"{folder}/scores"),
         spark.read.schema(ADJACENCY).json(f"{folder}/graph"),
         spark.read.schema(METADATA).json(f"{folder}/metadata"),
-        read_index(spark, f"{folder}/index", "outgoing"),
-        read_index(spark, f"{folder}/index", "incoming"),
+        read_index(spark, f"{folder}/index", "outgoing", INDEX_BUCKETS),
+        read_index(spark, f"{folder}/index", "incoming", INDEX_BUCKETS),
+        spark.read.schema(TOP_LIST).parquet(f"{folder}/scores"),
+        spark.read.schema(TOP_LIST).parquet(f"{folder}/by_id"),
     )

@@ -72,6 +72,12 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` completely."""
+    target, system = _located(spark, f"{path}/_SUCCESS")
+    return system.exists(target)
+
+
 def named(spark: SparkSession, folder: str, name: str, mark: str) -> list[str]:
     """The values of the folders ``name=value`` under ``folder`` that hold ``mark``, in order."""
     target, system = _located(spark, f"{folder}/{name}=*/{mark}")

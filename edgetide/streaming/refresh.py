@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from edgetide.operators.stats import count_edges
-from edgetide.plans.job import run_job
+from edgetide.operators.incremental import added_rank_edges
+from edgetide.operators.stats import count_edges, graph_stats, store_counted
+from edgetide.plans.job import run_job, save_version
 from edgetide.schema import DAMPING, ITERATIONS
 from edgetide.sources.edges import stream_edges
 from edgetide.sources.results import drop_versions
@@ -59,6 +60,7 @@ def refresh_from_stream(
     files_per_trigger: int | None = None,
     merge_every: int = MERGE_EVERY,
     keep_versions: int = KEEP_VERSIONS,
+    incremental: bool = False,
 ) -> StreamingQuery:
     """Add each batch of new files to ``edge_store`` and rank all edges so far.
 
@@ -68,13 +70,28 @@ def refresh_from_stream(
     ``merge_every`` batches are merged into one counted table, and of the saved results the newest
     ``keep_versions`` finished versions are kept. ``every`` None handles what is there now and
     stops.
+
+    With ``incremental`` the ranks after every round are kept in the store, and a batch recomputes
+    only the nodes whose input it changes; the saved results are the same.
     """
     edges = stream_edges(spark, incoming, fmt, on_malformed, files_per_trigger)
 
     def add_and_rank(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         count_edges(batch).write.mode("overwrite").parquet(f"{edge_store}/batch={number}")
-        run_job(_known(session, edge_store, number), out_dir, dataset_name, iterations, damping)
+        known = _known(session, edge_store, number)
+        if incremental:
+            new = session.read.schema(_COUNTED).parquet(f"{edge_store}/batch={number}")
+            history = added_rank_edges(
+                session, f"{edge_store}/history", new, number, iterations, damping
+            )
+            counted = store_counted(known)[0]
+            save_version(
+                history.ranks(number), counted, graph_stats(counted), out_dir, dataset_name,
+                iterations, damping,
+            )
+        else:
+            run_job(known, out_dir, dataset_name, iterations, damping)
         if (number + 1) % merge_every == 0:
             _merge(session, edge_store, number)
         drop_versions(session, out_dir, keep_versions)

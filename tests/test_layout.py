@@ -204,3 +204,65 @@ def test_a_hop_leaves_edges_and_earlier_frontiers_in_place(spark, make_edges, no
     for plan in plans[1:]:
         # targets and the last frontier; not the edges, and not the frontiers before
         assert plan.count("Exchange hashpartitioning(nodeId") <= 2
+
+
+def metric(df, name):
+    """A metric of the plan's file scan, after the plan ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        if node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply(name).value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    return sum(found)
+
+
+def test_batch_lookups_read_the_buckets_of_their_ids(spark, make_edges, tmp_path):
+    pairs = brute.random_edges(500, 3000, seed=14)
+    write_index(make_edges(pairs), str(tmp_path / "index"), buckets=32)
+    for direction, at in (("outgoing", 0), ("incoming", 1)):
+        index = read_index(spark, str(tmp_path / "index"), direction, buckets=32)
+        wanted = spark.createDataFrame([("n0",), ("n7",), ("none",)], "nodeId string")
+        name = "neighbors" if direction == "outgoing" else "sources"
+        rows = lookup.neighbors_of(index, wanted, direction).collect()
+        want = {n: sorted(e[1 - at] for e in pairs if e[at] == n) for n in ("n0", "n7")}
+        assert {row.nodeId: sorted(row[name]) for row in rows} == {n: v for n, v in want.items() if v}
+        key = index.key
+        ids = checkpoint(wanted.select(F.col("nodeId").alias(key)))
+        found = index.at_all(ids).rows
+        assert "dynamicpruning" in plan_of(found)
+        assert metric(found, "numFiles") <= 3 < metric(index.rows, "numFiles")
+        one = index.at(key, "n7").rows
+        assert metric(one, "numFiles") <= 1 and one.count() == len(set(e for e in pairs if e[at] == "n7"))
+        # by the other end every bucket is read
+        other = {"src": "dst", "dst": "src"}[key]
+        assert index.at(other, "n0").rows.count() == len({e for e in pairs if e[1 - at] == "n0"})
+
+
+def test_a_saved_score_reads_few_row_groups(spark, tmp_path):
+    from edgetide.sources.results import write_by_id
+
+    scores = spark.range(200_000).select(
+        (F.col("id") + 1).alias("rank"),
+        F.concat(F.lit("n"), F.xxhash64("id").cast("string")).alias("nodeId"),
+        F.lit(0.5).alias("pagerank"),
+    )
+    with fixed_layout(spark, 8):
+        write_by_id(scores, str(tmp_path / "by_id"))
+    saved = spark.read.parquet(str(tmp_path / "by_id"))
+    known = scores.where("rank = 1501").first().nodeId  # beyond the stored thousand
+    found = lookup.node_score(saved, known, stored=None)
+    assert found.count() == 1
+    assert metric(found, "numOutputRows") <= 200_000 / 8 + 1
+    # within the files' ranges, but in no Bloom filter
+    assert metric(lookup.node_score(saved, "n5x", stored=None), "numOutputRows") == 0

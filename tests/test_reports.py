@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from edgetide.operators import lookup, topk
 from edgetide.schema import METADATA
@@ -67,3 +68,38 @@ def test_node_score_sees_the_stored_nodes_only(spark, ranks):
 def test_stats_defaults(spark):
     empty = spark.createDataFrame([(None,) * len(METADATA)], METADATA)
     assert tuple(lookup.job_stats(empty).first()) == ("unknown", 0, 0, 0, 0.0, "", "")
+
+
+def test_exact_rounding_half_to_even(spark):
+    import random
+
+    from edgetide.functions.text import rounded, ten_decimals
+
+    rng = random.Random(7)
+    values = [0.0, 0.15, 0.5**9, 0.5**10, 3 * 0.5**9, 1 - 2**-53, 2.0**26 - 0.5**9, 2.0**26,
+              445.717785975, 0.999999995, 0.99999999995, 1e15 + 0.5]
+    for _ in range(3000):
+        values.append(sum(0.5 ** rng.randint(1, 40) for _ in range(rng.randint(1, 5))))
+        values.append((rng.randrange(10**10) + 0.5) / 10 ** rng.choice((8, 10)))
+        values.append(rng.random() * 10 ** rng.randint(-3, 7))
+    x = F.col("x")
+    df = spark.createDataFrame([(value,) for value in values], "x double")
+    rows = df.select("x", rounded(x).alias("eight"), ten_decimals(x).alias("ten")).collect()
+    assert [(row.eight, row.ten) for row in rows] == [(round(v, 8), "%.10f" % v) for v in values]
+    # the shortest text rounded half up differs
+    assert sum(row.old != round(row.x, 8) for row in df.select("x", F.round(x, 8).alias("old")).collect())
+    none = spark.createDataFrame([(None,)], "x double")
+    assert none.select(rounded(x).alias("a"), ten_decimals(x).alias("b")).first() == (None, None)
+
+
+def test_long_lists_are_numbered_by_ranges(spark, monkeypatch):
+    ranks = spark.range(1000).select(
+        F.concat(F.lit("n"), "id").alias("nodeId"), (F.col("id") % 37 / 7.0).alias("pagerank")
+    )
+    usual = sorted(map(tuple, topk.top_list(ranks, 600).collect()))
+    monkeypatch.setattr(topk, "IN_ONE_TASK", 10)
+    by_ranges = topk.top_list(ranks, 600)
+    assert sorted(map(tuple, by_ranges.collect())) == usual
+    assert "Window [row_number" not in by_ranges._jdf.queryExecution().executedPlan().toString()
+    places = topk.all_places(ranks).collect()
+    assert sorted(row.rank for row in places) == list(range(1, 1001))
