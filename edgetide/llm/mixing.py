@@ -119,18 +119,22 @@ def _settle(docs: list[_Doc], seed: int) -> None:
 
 
 def _round(frame: pd.DataFrame, seed: int, root: bool) -> pd.DataFrame:
-    """Round the rows of one block; ``extra`` stays null for the few left to the next level."""
-    frame = frame.sort_values(["doc_id", "size"], ignore_index=True)
+    """Round the rows of one block; ``extra`` stays null for the few left to the next level.
+
+    Chances depend on a row's place, so rows come in a total order: what ties is equal.
+    """
+    frame = frame.sort_values(["doc_id", "size", "source", "p"], ignore_index=True)
     extra = [0] * len(frame)
     p = frame["p"].tolist()
     open_docs: dict = {}
     rows = zip(frame["doc_id"], frame["source"], frame["size"], p, strict=True)
     for at, (doc_id, source, size, chance) in enumerate(rows):
-        doc = _Doc(at, (None if pd.isna(doc_id) else int(doc_id), at), int(size), chance)
+        source = None if pd.isna(source) else source
+        name = (None if pd.isna(doc_id) else int(doc_id), source, at)
+        doc = _Doc(at, name, int(size), chance)
         if doc.settled() or doc.size == 0:
             extra[at] = int(doc.p) if doc.size else 0
             continue
-        source = None if pd.isna(source) else source
         kind = source if root else (source, doc.size.bit_length())
         if root:
             open_docs.setdefault(kind, []).append(doc)

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -65,6 +66,20 @@ def test_reruns_agree_whatever_the_partitions(docs):
     assert rows(docs) == rows(docs.repartition(5))
 
 
+def test_equal_ids_and_sizes_in_several_sources_do_not_depend_on_order(make_docs):
+    texts = ["one two three"] * 60 + ["four words are here"] * 60
+    ids, sources = [i % 7 for i in range(120)], ["a", "b", None, "c"] * 30
+    rows = list(zip(ids, texts, sources))
+
+    def taken(rows):
+        docs = make_docs([r[1] for r in rows], [r[0] for r in rows], [r[2] for r in rows])
+        return sorted(map(tuple, mix_documents(docs.coalesce(1)).collect()))
+
+    usual = taken(rows)
+    for seed in range(4):
+        assert taken(random.Random(seed).sample(rows, len(rows))) == usual
+
+
 def test_the_tree_keeps_the_sums(docs, monkeypatch):
     monkeypatch.setattr(mixing, "ROWS_PER_BLOCK", 50)
     found = by_source(docs, mixing.mix_documents(docs).collect())
