@@ -7,7 +7,9 @@ must be in common, and values that many unrelated documents have are never reach
 every class is paired with the most central one; where that leaves a list in several components,
 the classes outside the largest are paired with one class of it, then with all others, so no link
 that matters is missed. Pairs are filtered by the estimate from the union's sketch and confirmed on
-the full sets.
+the full sets. Where a class has to be held against all others, longer sketches are drawn: of sets
+that fit into them whole the overlap is known and not estimated, so a large group whose members are
+less alike than asked for lets hardly a pair through.
 """
 
 import hashlib
@@ -27,6 +29,7 @@ from edgetide.llm.components import components
 from edgetide.storage import drop_scratch, store
 
 KEPT = 64
+WIDE = 256
 WORDS = 3
 PERCENT = 85
 SIGMAS = 5.0
@@ -119,15 +122,24 @@ def _confirm(
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in linked], names=["a", "b"])
 
 
+def _wide(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(id, wide) of rows (id, text): the upper halves of the ``WIDE`` smallest values, in order."""
+    shingles = Shingles(words)
+    for batch in batches:
+        found = [
+            (shingles(text)[:WIDE] >> np.uint64(32)).astype(np.int64) - 2**31
+            for text in batch.column(1).to_pylist()
+        ]
+        sets = pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["id", "wide"])
+
+
 class Search:
     """One search; the thresholds follow from the similarity and the sketch size."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int, kept: int):
         self.words, self.percent, self.kept = words, percent, kept
-        similarity = percent / 100
-        spread = math.sqrt(similarity * (1 - similarity) / kept)
-        # what the sketches of a linked pair share at least, but for chances beyond SIGMAS
-        self.share = max(0.05, similarity - SIGMAS * spread)
+        self.share = self._share(kept)
         self.docs = docs.withColumn("text_hash", F.xxhash64("text"))
         work = partial(_sketch, words=words, kept=kept)
         every, path = store(self.docs.mapInArrow(work, _SKETCHES), "sketches")
@@ -177,15 +189,31 @@ class Search:
     def _near_size(self, a: Column, b: Column) -> Column:
         return (a * 100 >= b * self.percent) & (b * 100 >= a * self.percent)
 
-    def _likely(self, a: Column, b: Column) -> Column:
+    def _share(self, kept: int) -> float:
+        """What the sketches of a linked pair share at least, but for chances beyond SIGMAS."""
+        similarity = self.percent / 100
+        return max(0.05, similarity - SIGMAS * math.sqrt(similarity * (1 - similarity) / kept))
+
+    def _likely(self, a: Column, b: Column, kept: int | None = None) -> Column:
         """The estimate of two sketches: which of the union's smallest values both have."""
-        union = F.slice(F.sort_array(F.array_union(a, b)), 1, self.kept)
+        kept = kept or self.kept
+        union = F.slice(F.sort_array(F.array_union(a, b)), 1, kept)
         return bind(
             union,
             lambda union: F.size(F.array_intersect(F.array_intersect(a, b), union))
-            >= F.floor(F.size(union) * self.share),
+            >= F.floor(F.size(union) * self._share(kept)),
         )
 
+    def _alike(self, n_a: Column, n_b: Column, a: Column, b: Column) -> Column:
+        """The same for long sketches; of sets that they hold whole, the overlap itself.
+
+        Values of 32 bits may agree by chance: within a set two may count as one, so the overlap may
+        fall short by as many, for which two are allowed.
+        """
+        common = F.size(F.array_intersect(a, b)) + 2
+        whole = common * (100 + self.percent) >= self.percent * (n_a + n_b)
+        return F.when((n_a <= WIDE) & (n_b <= WIDE), whole).otherwise(self._likely(a, b, WIDE))
+
     def _confirmed(self, likely: DataFrame, texts: DataFrame) -> DataFrame:
         """The linked ones among ``likely`` pairs (a, b), by their full sets."""
         work = partial(_confirm, words=self.words, percent=self.percent)
@@ -227,22 +255,25 @@ class Search:
         main = main.where("parts > 1").select("value", F.col("largest.root").alias("main"))
         return store(rows.join(main, "value"), "lists")[0]
 
-    def _cross_pairs(self, lists: DataFrame) -> DataFrame:
+    def _cross_pairs(self, lists: DataFrame, texts: DataFrame) -> DataFrame:
         """In each list, the classes outside the main component with all of other components.
 
         A pair is looked at in the list of its rarest common value only, and the join lets none
-        through that its sketches speak against.
+        through that its long sketches speak against.
         """
         entry = F.sort_array(F.collect_list(F.struct("owners", "value")))
         first = lists.groupBy("id").agg(entry.alias("entries"))
-        of_class = first.select("id", F.col("entries.value").alias("first")).join(
-            self.classes.select("id", "sketch"), "id"
+        work = partial(_wide, words=self.words)
+        wide, _ = store(
+            texts.join(first.select("id"), "id").mapInArrow(work, "id bigint, wide array<int>"),
+            "wide",
         )
+        of_class = first.select("id", F.col("entries.value").alias("first")).join(wide, "id")
         full = lists.select("value", "id", "n", "root", "main").join(of_class, "id")
 
         def side(table: DataFrame, mark: str) -> DataFrame:
             return table.select(
-                "value", "main", *(F.col(x).alias(x + mark) for x in ("id", "n", "root", "first", "sketch"))
+                "value", "main", *(F.col(x).alias(x + mark) for x in ("id", "n", "root", "first", "wide"))
             )
 
         a = side(full.where("root != main"), "_a")
@@ -254,7 +285,7 @@ class Search:
             & ((F.col("root_b") == F.col("main")) | (F.col("id_a") < F.col("id_b")))
             & self._near_size(F.col("n_a"), F.col("n_b"))
             & (F.get(common, F.lit(0)) == a["value"])
-            & self._likely(F.col("sketch_a"), F.col("sketch_b"))
+            & self._alike(F.col("n_a"), F.col("n_b"), F.col("wide_a"), F.col("wide_b"))
         )
         return a.join(b, meet).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
@@ -269,7 +300,7 @@ class Search:
             lambda: self._star_pairs(lists, F.struct("central", "id", "n")),
             # one of the main component, another for each list, with the classes outside it
             lambda: self._star_pairs(lists, F.struct(of_main.alias("chance"), "id", "n")),
-            lambda: self._cross_pairs(lists),
+            lambda: self._cross_pairs(lists, texts),
         )
         for number, step in enumerate(steps, start=1):
             links = self._confirmed(step(), texts)

@@ -98,6 +98,42 @@ def test_texts_equal_brute_force(make_docs, crowded, seed, words, percent):
     assert sorted(map(tuple, found)) == brute(texts, words, percent)
 
 
+def spread_group(seed, size, length):
+    """One group whose members share from a few to nearly all words with each other."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = rng.choices(vocabulary, k=length)
+    texts = []
+    for _ in range(size):
+        own = list(base)
+        for _ in range(int(length * rng.choice((0.005, 0.02, 0.04, 0.06, 0.1)))):
+            own[rng.randrange(length)] = rng.choice(vocabulary)
+        texts.append(" ".join(own))
+        if rng.random() < 0.1:  # a pair far from the centre
+            own[rng.randrange(length)] = rng.choice(vocabulary)
+            texts.append(" ".join(own))
+    return texts
+
+
+@pytest.mark.parametrize("size,length", [(800, 150), (150, 700)])
+def test_a_group_of_all_similarities_loses_no_link(make_docs, monkeypatch, size, length):
+    made, usual = [], minhash.Search._cross_pairs
+
+    def counted(self, lists, texts):
+        pairs = usual(self, lists, texts)
+        made.append((pairs.count(), lists.select("id").distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(minhash.Search, "_cross_pairs", counted)
+    texts = dict(enumerate(spread_group(4, size, length)))
+    docs = make_docs(list(texts.values()), ids=list(texts))
+    found = near_duplicates(docs).collect()
+    assert sorted(map(tuple, found)) == brute(texts, 3, 85)
+    pairs, members = made[0]
+    # sets that the long sketches hold whole are told apart better
+    assert members > size / 2 and pairs < members**2 / (20 if length < minhash.WIDE else 10)
+
+
 def test_odd_texts(make_docs, odd_texts):
     texts = dict(enumerate(odd_texts))
     found = near_duplicates(make_docs(odd_texts)).collect()
