@@ -24,14 +24,18 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failed lines and rejected documents go."""
+    """Failed lines and rejected documents go; null and empty texts are rejected.
+
+    Rows are judged one by one, so equal rows fare alike; other columns are kept, no rows give none.
+    """
     return _counted(clean_documents(docs))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays.
 
-    Rows that share an id stay or go together; rows without one stay.
+    Rows that share an id stay or go together; rows without one, and texts without words, stay. Other
+    columns are kept, no rows give none.
     """
     found = near_duplicates(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     gone = found.where("not kept").select("doc_id").distinct()
@@ -39,24 +43,33 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind's name in brackets."""
+    """Personal data is replaced by its kind's name in brackets.
+
+    A null text stays null; rows are searched one by one, other columns are kept.
+    """
     return _counted(redact_documents(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, 0 to 2 times.
 
-    Rows that share an id are taken as often as the one of them that is taken most.
+    Rows that share an id are taken as often as the one of them that is taken most; a null text has
+    no words and is not taken. Columns of any name are kept, no rows give none.
     """
     copies = mix_documents(docs).groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    copies = copies.where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")
-    return taken.select(*(F.col(f"`{name}`") for name in docs.columns), each).drop("_copy")
+    copies = copies.where("copies > 0")
+    # a row travels as one column, so that its names cannot clash
+    rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
+    taken = rows.join(copies, F.col("row.doc_id").eqNullSafe(copies["doc_id"]))
+    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return taken.select("row", each).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of up to 1024 tokens."""
+    """Pieces of sequences of up to 1024 tokens.
+
+    A null or empty text is its end token; rows are packed one by one, other columns are left behind.
+    """
     return pack_documents(docs)
 
 
