@@ -52,9 +52,19 @@ def test_stages_take_odd_rows(spark, make_docs, odd_texts):
         assert stage(spark, docs.limit(0), "").collect() == []
 
 
+def test_mixing_keeps_columns_of_any_name(make_docs, crowded):
+    docs = crowded(make_docs([f"some words {i} " * 5 for i in range(40)])).drop("_key")
+    docs = docs.withColumns({name: F.lit(name) for name in ("_id", "row", "a.b", "extra")})
+    mixed = corpus_pipeline.mix(None, docs, "")
+    assert mixed.columns == docs.columns
+    rows = mixed.collect()
+    assert {row["copies"] for row in rows} == {"clash"} and {row["_id"] for row in rows} == {"_id"}
+    assert 50 <= len(rows) <= 70  # half as much again
+
+
 def test_all_queries_are_there():
     names = list(driver.queries())
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in names) == 1
     assert "pipeline" in names and set(driver.oracle_sql()) <= set(names)
 
