@@ -1,5 +1,10 @@
 """The same results in DuckDB SQL, where SQL can express them."""
 
+from edgetide.llm.quality import (
+    BOILERPLATE, ENDS, MARKS, PHRASE_WORDS, QUOTED, SEPARATED_WORDS, SEPARATORS, WRAPPED_LEAST,
+    WRAPPED_MOST,
+)
+
 # Components of (a, b) pairs: the smallest node reachable.
 _REACH = """
 both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
@@ -61,10 +66,17 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles,
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN roots r ON r.node = d.doc_id
 """
 
-OP8 = r"""
+def _text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+# The rules' patterns are those of the operator where both engines read them alike.
+OP8 = rf"""
 WITH words AS (
     SELECT doc_id, coalesce(text, '') AS t,
-           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           regexp_extract_all(coalesce(text, ''), {_WORD}) AS w
     FROM documents
 ),
 places AS (
@@ -75,19 +87,39 @@ repeated AS (
     SELECT doc_id, count(DISTINCT i + k) AS n
     FROM places, (VALUES (0), (1), (2)) AS t(k) WHERE times > 1 GROUP BY doc_id
 ),
+split AS (
+    SELECT doc_id, unnest(parts) AS line, unnest(generate_series(1, len(parts))) AS i
+    FROM (SELECT doc_id, string_split(t, chr(10)) AS parts FROM words)
+),
 lines AS (
-    SELECT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
-    FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM words)
+    SELECT doc_id, line, len(regexp_extract_all(line, {_WORD})) AS n,
+           regexp_extract(lead(line) OVER (PARTITION BY doc_id ORDER BY i), {_WORD}) AS first,
+           max(length(line)) OVER (PARTITION BY doc_id) AS longest
+    FROM split
+),
+measured AS (
+    SELECT *,
+           coalesce(length(line) >= {WRAPPED_LEAST} AND length(first) > 0 AND (
+               regexp_matches(first, '^[[:punct:]«»‹›„“‘]*\p{{Ll}}')
+               OR (longest <= {WRAPPED_MOST}
+                   AND length(line) + 1 + least(length(first), {WRAPPED_LEAST}) > longest)
+           ), FALSE) AS continued,
+           len(regexp_extract_all(line, {_text(SEPARATORS)})) AS separators,
+           len(regexp_extract_all(line, {_text(QUOTED)})) AS quoted,
+           len(regexp_extract_all(line, {_text(BOILERPLATE)})) AS phrases
+    FROM lines WHERE n > 0
 ),
 judged AS (
     SELECT doc_id, line, n,
-           NOT regexp_matches(line, '[.!?:;…。！？]["''”’»)\]]*([\x20\x09-\x0D]|$)')
-           OR len(regexp_extract_all(line, '[|»•·›]')) >= 2
-           OR 2 * len(regexp_extract_all(line, '[#*$%&|<>{}~^=]')) >= n
+           (NOT regexp_matches(line, {_text(ENDS)}) AND NOT regexp_matches(line, '[\p{{Thai}}\p{{Lao}}]')
+            AND NOT continued)
+           OR (separators >= 2 AND separators - quoted >= 2
+               AND (separators - quoted) * {SEPARATED_WORDS} >= n)
+           OR 2 * len(regexp_extract_all(line, {_text(MARKS)})) >= n
            OR (n >= 3 AND len(regexp_extract_all(line, '!')) >= n)
-           OR regexp_matches(line, '(?i)(all rights reserved|privacy policy|cookie policy|terms of (use|service)|enable javascript|click here|read more|skip to content|sign up|log in|lorem ipsum|licensed under|subscribe to our)')
+           OR (phrases > 0 AND phrases * {PHRASE_WORDS} >= n)
            AS fails
-    FROM lines WHERE n > 0
+    FROM measured
 ),
 by_doc AS (
     SELECT doc_id, count(*) - count(DISTINCT line) AS dup,
@@ -134,7 +166,8 @@ nodes AS (
     SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
            coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '') AS ends,
            (count(*) - 1) * CASE WHEN d = 0 THEN 0
-               ELSE len(regexp_extract_all(node[d].text, '[^ 	-]+')) END AS saved
+               ELSE len(regexp_extract_all(node[d].text, '[^ 	-
+]+')) END AS saved
     FROM visits GROUP BY node, d
 ),
 children AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),

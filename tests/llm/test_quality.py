@@ -116,3 +116,38 @@ def test_other_scripts_and_wrapped_prose_stay_whole(make_docs):
     kept = {row.doc_id: row.text for row in clean_documents(make_docs([*whole, whole[5] + "\n" + menu])).collect()}
     assert [kept.get(i) for i in range(len(whole))] == whole
     assert kept[len(whole)] == whole[5]
+
+
+def test_sql_states_the_present_rules(make_docs, odd_texts):
+    """Other scripts, wrapped and one-line texts, and phrases or quotes inside long lines."""
+    import duckdb
+
+    from edgetide.llm.oracle import OP8
+
+    words = [f"mot{i}" for i in range(400)]
+    prose, more = " ".join(words), " ".join(f"autre{i}" for i in range(400))
+    wrapped = "\n".join(" ".join(words[i : i + 9]) + ("." if i % 27 == 0 else "") for i in range(0, 180, 9))
+    given = [
+        *(text for text in odd_texts if len(text or "") < 9000),
+        prose + " log in " + more + ".",
+        "« " + prose + " » et « " + more + " ».",
+        " ".join(f"हिन्दी{i}" for i in range(60)) + "।",
+        " ".join(f"اردو{i}" for i in range(60)) + "۔",
+        " ".join(f"ไทย{i}" for i in range(60)),
+        " ".join(f"բառ{i}" for i in range(60)) + "։",
+        wrapped, wrapped.upper(), wrapped.replace("\n", "\n\n"),
+        "Home | About | Contact\n" + prose + ".\n>> Read more <<\nGo! Now! Yes!\n# * # *",
+        "\n".join(f"Line {i} of no end that is long enough to be wrapped" for i in range(30)),
+        prose[:200] + "\n(suite) et fin.\n" + "X" * 130,
+    ]
+    docs = make_docs(given)
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+               "lost_words", "base_failed", "kept"]
+    rows = judge_documents(docs).select(columns).orderBy("doc_id").collect()
+    connection = duckdb.connect()
+    table = docs.select("doc_id", "text").toArrow()
+    connection.register("documents", table)
+    sql = connection.execute(f"SELECT {', '.join(columns)} FROM ({OP8}) ORDER BY doc_id").fetchall()
+    assert [tuple(row) for row in rows] == sql
+    at = given.index(prose + " log in " + more + ".")
+    assert [row.kept for row in rows][at : at + 7] == [True] * 7
