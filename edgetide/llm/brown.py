@@ -1,13 +1,17 @@
 """Scoring by a Brown class model: P(word | before) = P(class | class before) * P(word | class).
 
-Exchange clustering gives every word a class. Its units are the ``UNITS`` most frequent words,
-and, for all the others, the ends of words in ``ENDINGS`` groups; the end of a text has a class of
-its own. The counts of neighbouring units are summed by Spark and kept in two copies, by unit and
-by follower; in each round every unit's neighbours are counted by class, and half of the units
-move to the class that raises the likelihood most.
+Exchange clustering gives every word a class, in two steps. The units of the first are the ``UNITS``
+most frequent words, and, for all the others, the ends of words in ``ENDINGS`` groups; the end of a
+text has a class of its own. The counts of neighbouring units are summed by Spark and kept in two
+copies, by unit and by follower; in each round every unit's neighbours are counted by class, and
+half of the units move to the class that raises the likelihood most. In the second step every other
+word seen ``SEEN`` times or more is a unit: a table holds its neighbours by class, and tasks move it
+from the class of its ending to the best one against the counts between classes. So the clustered
+words follow the vocabulary.
 
 Counts of words are exact and cover all training texts. The ``DICTIONARY`` most frequent words
-travel to the tasks, the counts of all others stay in a table that is joined by word.
+travel to the tasks with their classes; those of all others stay in a table that is joined by word.
+Texts are stored as places in the dictionary, so words are looked up once.
 """
 
 import math
@@ -20,15 +24,17 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgetide.llm.common import id_fold
+from edgetide.operators.skew import ROWS_PER_SLICE, hot_keys, join_unique
 from edgetide.storage import store
 
 FOLDS, HELD_OUT = 7, 2
 UNITS = 4096
 ENDINGS = 512
+SEEN = 3
 CLASSES = 64
 ROUNDS = 6
 DICTIONARY = 200_000
@@ -41,17 +47,13 @@ END = ""  # the token that ends a text; no word is empty
 
 _COUNTS = "word string, n long"
 _PAIRS = "unit int, next int, n long"
+_ENCODED = "row long, doc_id bigint, held_out boolean, places binary, rare array<string>"
+_NEIGHBOURS = "word string, at int, n long"
+_RARE = "row long, held_out boolean, at long, word string, ending int, before int, after int"
 _LOCAL = (
     "row long, doc_id bigint, held_out boolean, n_tokens long, known long, base double, "
-    "score double, rare array<string>, times array<int>"
+    "score double"
 )
-_LOCAL_ARROW = pa.schema(
-    [
-        ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
-        ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()),
-        ("score", pa.float64()), ("rare", pa.list_(pa.string())), ("times", pa.list_(pa.int32())),
-    ]
-)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -103,42 +105,109 @@ class _Index(dict):
 
 @dataclass
 class Lexicon:
-    """The frequent words with their counts, most frequent first, and each place's unit."""
+    """The frequent words with their counts, most frequent first, and each place's unit.
+
+    Places go on behind the words with the groups of endings and the end of a text. ``lowest`` is
+    the step of counts (see ``_step``) from which words are in; None where none is.
+    """
 
     words: list[bytes]
     counts: np.ndarray
     units: int
     endings: int
+    lowest: int | None = None
 
     def index(self) -> _Index:
         return _Index(self.words, self.endings)
 
-    def unit_of(self, index: _Index) -> np.ndarray:
-        beyond = [self.units + index.ending(word) for word in self.words[self.units :]]
-        groups = range(self.units, self.units + self.endings)
-        return np.array([*range(min(self.units, len(self.words))), *beyond, *groups], np.int64)
+    @property
+    def size(self) -> int:
+        return len(self.words)
+
+    @property
+    def end_place(self) -> int:
+        return self.size + self.endings
 
     @property
     def end_unit(self) -> int:
         return self.units + self.endings
 
+    def unit_of(self) -> np.ndarray:
+        """The unit of each place."""
+        index = self.index()
+        beyond = [self.units + index.ending(word) for word in self.words[self.units :]]
+        groups = range(self.units, self.end_unit + 1)
+        return np.array([*range(min(self.units, self.size)), *beyond, *groups], np.int64)
+
+    def holds(self, word: Column, n: Column) -> Column:
+        """Whether a word with this count is in the dictionary."""
+        if self.lowest is None:
+            return F.lit(False)
+        return (F.octet_length(word) <= LONGEST) & (_step(n) >= self.lowest) & (word != END)
+
+
+def _step(n: Column) -> Column:
+    """Quarters of a power of two: a few hundred steps whatever the counts."""
+    return F.floor(F.log2(n) * 4).cast("int")
+
 
 _made: list = [None, None]
 
 
-def _ready(lexicon_of) -> tuple[Lexicon, _Index, np.ndarray]:
-    """The broadcast lexicon with its index, made once in a worker process."""
+def _index_of(lexicon_of) -> _Index:
+    """The index of the broadcast lexicon, made once in a worker process."""
     lexicon = lexicon_of.value
     if _made[0] is not lexicon:
-        index = lexicon.index()
-        _made[:] = [lexicon, (lexicon, index, lexicon.unit_of(index))]
+        _made[:] = [lexicon, lexicon.index()]
     return _made[1]
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch], lexicon_of) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], lexicon_of) -> Iterator[pa.RecordBatch]:
+    """Texts as places, each with the end behind it, and their words beyond the dictionary."""
+    index, lexicon = _index_of(lexicon_of), lexicon_of.value
+    context = TaskContext.get()
+    number = (context.partitionId() if context else 0) << 33
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            rows = batch.slice(start, ROWS)
+            places, rare = [], []
+            for text in rows.column("text").to_pylist():
+                words = tokens(text)
+                at = np.fromiter(map(index.__getitem__, words), np.int32, len(words))
+                beyond = np.flatnonzero(at >= lexicon.size).tolist()
+                rare.append([words[i].decode("utf-8", "surrogatepass") for i in beyond])
+                places.append(np.append(at, lexicon.end_place).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(number, number + rows.num_rows)),
+                    rows.column("doc_id"),
+                    rows.column("held_out"),
+                    pa.array(places, pa.binary()),
+                    pa.array(rare, pa.list_(pa.string())),
+                ],
+                names=["row", "doc_id", "held_out", "places", "rare"],
+            )
+            number += rows.num_rows
+
+
+def _places(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(all places of a batch's texts, where each text starts among them)."""
+    texts = batch.column("places").to_pylist()
+    lengths = np.array([len(text) // 4 for text in texts], np.int64)
+    flat = np.frombuffer(b"".join(texts), "<i4").astype(np.int64)
+    return flat, np.cumsum(lengths) - lengths
+
+
+def _before(flat: np.ndarray, end: int) -> np.ndarray:
+    """What stands before each place: every text starts behind an end, its own or the last one's."""
+    return np.concatenate(([end], flat[:-1]))
+
+
+def _count_pairs(
+    batches: Iterator[pa.RecordBatch], unit_of_place, width: int
+) -> Iterator[pa.RecordBatch]:
     """Neighbouring units; a text starts behind an end and stops before one."""
-    lexicon, index, unit_of = _ready(lexicon_of)
-    end, width = lexicon.end_unit, lexicon.end_unit + 1
+    unit_of = unit_of_place.value
     held, size = [], 0
 
     def flush() -> pa.RecordBatch:
@@ -148,10 +217,9 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], lexicon_of) -> Iterator[pa.R
             [pa.array(x) for x in arrays], names=["unit", "next", "n"]
         )
 
-    for words in _texts(batches):
-        units = unit_of[np.fromiter(map(index.__getitem__, words), np.int64, len(words))]
-        units = np.concatenate(([end], units, [end]))
-        held.append(units[:-1] * width + units[1:])
+    for batch in batches:
+        units = unit_of[_places(batch)[0]]
+        held.append(_before(units, width - 1) * width + units)
         size += len(units)
         if size >= FLUSH_TOKENS:
             yield flush()
@@ -195,6 +263,20 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.where(x > 0, x, 1))
 
 
+def _best(between: np.ndarray, f: np.ndarray, p: np.ndarray, count: int) -> int:
+    """The class with the largest gain for a unit that ``between`` leaves out.
+
+    ``f`` and ``p`` count the classes behind and before the unit.
+    """
+    rows, columns = between[:count], between[:, :count].T
+    gain = (_xlogx(rows + f) - _xlogx(rows)).sum(1)
+    gain += (_xlogx(columns + p) - _xlogx(columns)).sum(1)
+    totals, into = between.sum(1)[:count], between.sum(0)[:count]
+    gain -= _xlogx(totals + f.sum()) - _xlogx(totals)
+    gain -= _xlogx(into + p.sum()) - _xlogx(into)
+    return int(np.argmax(gain))
+
+
 def exchange(
     classes: np.ndarray, after: np.ndarray, before: np.ndarray, movable: np.ndarray, count: int
 ) -> np.ndarray:
@@ -213,13 +295,7 @@ def exchange(
             continue
         between[old] -= f
         between[:, old] -= p
-        rows, columns = between[:count], between[:, :count].T
-        gain = (_xlogx(rows + f) - _xlogx(rows)).sum(1)
-        gain += (_xlogx(columns + p) - _xlogx(columns)).sum(1)
-        totals, into = between.sum(1)[:count], between.sum(0)[:count]
-        gain -= _xlogx(totals + f.sum()) - _xlogx(totals)
-        gain -= _xlogx(into + p.sum()) - _xlogx(into)
-        new = int(np.argmax(gain))
+        new = _best(between, f, p, count)
         classes[unit] = new
         between[new] += f
         between[:, new] += p
@@ -248,22 +324,148 @@ def cluster(
     return classes, between
 
 
-def _sizes(batches: Iterator[pa.RecordBatch], lexicon_of, classes: np.ndarray, count: int):
-    """(class, types, tokens) of the words of the count table."""
-    lexicon, index, unit_of = _ready(lexicon_of)
-    types, total = np.zeros(count + 1, np.int64), np.zeros(count + 1, np.int64)
+def _count_neighbours(
+    batches: Iterator[pa.RecordBatch], lexicon_of, classes_of, width: int
+) -> Iterator[pa.RecordBatch]:
+    """The words beyond the first step's units: classes behind them, then, from ``width``, before."""
+    lexicon, classes = lexicon_of.value, classes_of.value
+    names: dict[str, int] = {}
+    held, size = [], 0
+
+    def flush() -> pa.RecordBatch:
+        codes, n = np.unique(np.concatenate(held), return_counts=True)
+        places, beyond = codes // (2 * width), list(names)
+        words = [
+            lexicon.words[place].decode("utf-8", "surrogatepass")
+            if place < lexicon.size
+            else beyond[place - lexicon.size]
+            for place in places.tolist()
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words, pa.string()), pa.array((codes % (2 * width)).astype(np.int32)),
+             pa.array(n)],
+            names=["word", "at", "n"],
+        )
+
+    for batch in batches:
+        flat, _ = _places(batch)
+        own = classes[flat]
+        before, after = _before(own, width - 1), np.append(own[1:], width - 1)
+        beyond = (flat >= lexicon.size) & (flat < lexicon.end_place)
+        rare = batch.column("rare").flatten().to_pylist()
+        keys = flat.copy()
+        keys[beyond] = [lexicon.size + names.setdefault(word, len(names)) for word in rare]
+        chosen = (flat >= min(lexicon.units, lexicon.size)) & (flat < lexicon.end_place)
+        keys = keys[chosen] * (2 * width)
+        held += [keys + after[chosen], keys + width + before[chosen]]
+        size += len(flat)
+        if size >= FLUSH_TOKENS or len(names) >= FLUSH_WORDS:
+            yield flush()
+            names.clear()
+            held, size = [], 0
+    if held:
+        yield flush()
+
+
+def _move(
+    batches: Iterator[pa.RecordBatch], lexicon_of, classes_of, between: np.ndarray, count: int
+) -> Iterator[pa.RecordBatch]:
+    """(word, place or null, class) from (word, at, times): the best class of each word."""
+    index, lexicon, classes = _index_of(lexicon_of), lexicon_of.value, classes_of.value
+    width = count + 1
     for batch in batches:
         words = batch.column("word").cast(pa.binary()).to_pylist()
-        own = classes[unit_of[np.fromiter(map(index.__getitem__, words), np.int64, len(words))]]
-        own[[word == b"" for word in words]] = count
-        types += np.bincount(own, minlength=count + 1)
-        total += np.bincount(own, batch.column("n").to_numpy(), count + 1).astype(np.int64)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.arange(count + 1, dtype=np.int32)), pa.array(types), pa.array(total)],
-        names=["class", "types", "tokens"],
+        places, found = [], []
+        for word, at, times in zip(
+            words, *(batch.column(x).to_pylist() for x in ("at", "times")), strict=True
+        ):
+            counts = np.bincount(at, times, 2 * width)
+            f, p, place = counts[:width], counts[width:], index[word]
+            old = classes[lexicon.size + index.ending(word)]
+            others = between.copy()
+            others[old] -= f
+            others[:, old] -= p
+            found.append(_best(others, f, p, count))
+            places.append(place if place < lexicon.size else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("word"), pa.array(places, pa.int32()), pa.array(found, pa.int32())],
+            names=["word", "place", "class"],
+        )
+
+
+def move_words(
+    training: DataFrame, lexicon_of, classes_of, between: np.ndarray, count: int, seen: int
+) -> DataFrame:
+    """(word, place, class) of every word beyond the first step's units seen ``seen`` times or more."""
+    width = count + 1
+    counting = partial(
+        _count_neighbours, lexicon_of=lexicon_of, classes_of=classes_of, width=width
+    )
+    moving = partial(
+        _move, lexicon_of=lexicon_of, classes_of=classes_of, between=between, count=count
+    )
+    return (
+        training.mapInArrow(counting, _NEIGHBOURS)
+        .groupBy("word", "at")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("word")
+        .agg(
+            F.collect_list("at").alias("at"),  # at most two for each class
+            F.collect_list("n").alias("times"),
+            F.sum(F.when(F.col("at") < width, F.col("n"))).alias("n"),
+        )
+        .where(F.col("n") >= seen)
+        .select("word", "at", "times")
+        .mapInArrow(moving, "word string, place int, class int")
     )
 
 
+def _rare_tokens(
+    batches: Iterator[pa.RecordBatch], lexicon_of, classes_of, width: int
+) -> Iterator[pa.RecordBatch]:
+    """The words beyond the dictionary with their neighbours' classes; -1 for one that is beyond too."""
+    lexicon, classes = lexicon_of.value, classes_of.value
+    for batch in batches:
+        flat, starts = _places(batch)
+        own = classes[flat]
+        rare = (flat >= lexicon.size) & (flat < lexicon.end_place)
+        known = np.where(rare, -1, own)
+        before, after = _before(known, width - 1), np.append(known[1:], width - 1)
+        at = np.flatnonzero(rare)
+        of = np.searchsorted(starts, at, "right") - 1
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("row").take(pa.array(of)),
+                batch.column("held_out").take(pa.array(of)),
+                pa.array(at - starts[of]),
+                batch.column("rare").flatten(),
+                *(pa.array(x[at].astype(np.int32)) for x in (own, before, after)),
+            ],
+            names=["row", "held_out", "at", "word", "ending", "before", "after"],
+        )
+
+
+def _count_steps(
+    batches: Iterator[pa.RecordBatch], lexicon_of, classes_of, width: int
+) -> Iterator[pa.RecordBatch]:
+    """Class after class where both words are in the dictionary."""
+    lexicon, classes = lexicon_of.value, classes_of.value
+    total = np.zeros(width * width, np.int64)
+    for batch in batches:
+        flat, _ = _places(batch)
+        rare = (flat >= lexicon.size) & (flat < lexicon.end_place)
+        own = np.where(rare, -1, classes[flat])
+        before = _before(own, width - 1)
+        both = (own >= 0) & (before >= 0)
+        total += np.bincount(before[both] * width + own[both], minlength=width * width)
+    codes = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array((codes // width).astype(np.int32)), pa.array((codes % width).astype(np.int32)),
+         pa.array(total[codes])],
+        names=["before", "class", "n"],
+    )
+
+
 @dataclass
 class ClassModel:
     """Logarithms to base 10; ``step`` is class after class, ``share`` what a class divides by."""
@@ -293,59 +495,55 @@ def _class_model(
     )
 
 
-def _score(
-    batches: Iterator[pa.RecordBatch], lexicon_of, model_of
-) -> Iterator[pa.RecordBatch]:
-    lexicon, index, unit_of = _ready(lexicon_of)
+def _score(batches: Iterator[pa.RecordBatch], lexicon_of, model_of) -> Iterator[pa.RecordBatch]:
+    """What the words of the dictionary and the ends add to each text's scores."""
+    lexicon, model = lexicon_of.value, model_of.value
+    logs = np.log10(np.concatenate([lexicon.counts, np.zeros(lexicon.endings), [model.ends]]) + 1.0)
+    end_class = model.classes[lexicon.end_place]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        flat, starts = _places(batch)
+        rare = (flat >= lexicon.size) & (flat < lexicon.end_place)
+        own = model.classes[flat]
+        before, rare_before = _before(own, end_class), _before(rare, False)
+        steps = np.where(rare | rare_before, 0.0, model.step[before, own])
+        shares = np.where(rare, 0.0, model.share[own])
+        n = np.diff(np.append(starts, len(flat)))
+        local = np.add.reduceat(logs[flat], starts)
+        found = {
+            "n_tokens": n,
+            "known": n - 1 - np.add.reduceat(rare.astype(np.int64), starts) + (model.ends > 0),
+            "base": local - n * model.divisor,
+            "score": local + np.add.reduceat(steps - shares, starts),
+        }
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(name) for name in ("row", "doc_id", "held_out")]
+            + [pa.array(values) for values in found.values()],
+            names=["row", "doc_id", "held_out", *found],
+        )
+
+
+def _score_rare(batches: Iterator[pa.RecordBatch], model_of) -> Iterator[pa.RecordBatch]:
+    """What each word beyond the dictionary adds: itself, the step to it, and that to a known one."""
     model = model_of.value
-    context = TaskContext.get()
-    part = context.partitionId() if context else 0
-    size, number = len(lexicon.words), 0
-    class_of = model.classes[unit_of]
-    end_class = model.classes[lexicon.end_unit]
-    ends = model.ends
-    logs = np.log10(np.concatenate([lexicon.counts, np.zeros(lexicon.endings)]) + 1.0)
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS):
-            rows = batch.slice(start, ROWS)
-            found = []
-            for text in rows.column("text").to_pylist():
-                words = tokens(text)
-                at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-                own = np.append(class_of[at], end_class)
-                before = np.concatenate(([end_class], own[:-1]))
-                rare = np.flatnonzero(at >= size)
-                counts = Counter(words[i] for i in rare.tolist())
-                local = float(logs[at].sum()) + math.log10(ends + 1)
-                found.append(
-                    (
-                        (part << 33) + number,
-                        len(words) + 1,
-                        len(words) - len(rare) + (ends > 0),
-                        local - (len(words) + 1) * model.divisor,
-                        local + float((model.step[before, own] - model.share[own]).sum()),
-                        [word.decode("utf-8", "surrogatepass") for word in counts],
-                        list(counts.values()),
-                    )
-                )
-                number += 1
-            columns = list(zip(*found, strict=True))
-            names = ["row", "n_tokens", "known", "base", "score", "rare", "times"]
-            made = {
-                name: pa.array(values, _LOCAL_ARROW.field(name).type)
-                for name, values in zip(names, columns, strict=True)
-            }
-            made |= {name: rows.column(name) for name in ("doc_id", "held_out")}
-            yield pa.RecordBatch.from_arrays(
-                [made[name] for name in _LOCAL_ARROW.names], schema=_LOCAL_ARROW
-            )
+        n, own, before, after = (
+            batch.column(x).to_numpy() for x in ("n", "class", "before", "after")
+        )
+        base = np.log10(n + 1.0)
+        score = base - model.share[own] + model.step[before, own]
+        score += np.where(after >= 0, model.step[own, np.maximum(after, 0)], 0.0)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), *(pa.array(x) for x in (base, score, (n > 0).astype(np.int64)))],
+            names=["row", "base", "score", "known"],
+        )
 
 
 def frequent_words(vocabulary: DataFrame, most: int, units: int, endings: int) -> Lexicon:
     """At most ``most`` words of up to ``LONGEST`` bytes: those above a count that fits them all."""
     short = vocabulary.where((F.octet_length("word") <= LONGEST) & (F.col("word") != END))
-    # steps of a quarter of a power of two: a few hundred rows whatever the counts
-    step = F.floor(F.log2("n") * 4).cast("int")
+    step = _step(F.col("n"))
     steps = short.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()
     total, lowest = 0, None
     for row in sorted(steps, key=lambda row: -row["step"]):
@@ -359,7 +557,7 @@ def frequent_words(vocabulary: DataFrame, most: int, units: int, endings: int) -
     words = table.column("word").cast(pa.binary()).to_pylist()
     counts = table.column("n").to_numpy()
     order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
-    return Lexicon([words[i] for i in order], counts[order].astype(float), units, endings)
+    return Lexicon([words[i] for i in order], counts[order].astype(float), units, endings, lowest)
 
 
 def score_documents(
@@ -371,6 +569,7 @@ def score_documents(
     endings: int = ENDINGS,
     count: int = CLASSES,
     rounds: int = ROUNDS,
+    seen: int = SEEN,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity).
 
@@ -390,43 +589,113 @@ def score_documents(
         "words",
     )
     lexicon = frequent_words(vocabulary, most, units, endings)
-    lexicon_of = spark.sparkContext.broadcast(lexicon)
+    ends = vocabulary.where(F.col("word") == END).agg(F.sum("n")).first()[0] or 0
+    context, width = spark.sparkContext, count + 1
+    lexicon_of = context.broadcast(lexicon)
+    encoded, _ = store(rows.mapInArrow(partial(_encode, lexicon_of=lexicon_of), _ENCODED), "places")
+    learnt = encoded.where(~F.col("held_out"))
+
+    # the first step's classes, then those of all other words
+    unit_of = lexicon.unit_of()
+    pairing = partial(
+        _count_pairs, unit_of_place=context.broadcast(unit_of), width=lexicon.end_unit + 1
+    )
     pairs = (
-        training.mapInArrow(partial(_count_pairs, lexicon_of=lexicon_of), _PAIRS)
+        learnt.select("places").mapInArrow(pairing, _PAIRS)
         .groupBy("unit", "next")
         .agg(F.sum("n").alias("n"))
+    )
+    of_unit, between = cluster(pairs, lexicon.end_unit + 1, count, rounds)
+    classes = of_unit[unit_of]
+    moved, _ = store(
+        move_words(
+            learnt.select("places", "rare"), lexicon_of, context.broadcast(classes), between,
+            count, seen,
+        ),
+        "moved",
+    )
+    classes = classes.copy()
+    inside = moved.where(F.col("place").isNotNull()).select("place", "class").toArrow()
+    classes[inside.column("place").to_numpy()] = inside.column("class").to_numpy()
+    classes_of = context.broadcast(classes)
+
+    # count and class of the words beyond the dictionary, and where they stand
+    of_ending = F.array(*(F.lit(int(x)) for x in classes[lexicon.size : lexicon.end_place]))
+    ending = F.pmod(F.crc32(F.substring(F.col("word").cast("binary"), -3, 3)), F.lit(endings))
+    beyond, _ = store(
+        vocabulary.where((F.col("word") != END) & ~lexicon.holds(F.col("word"), F.col("n")))
+        .join(moved.where(F.col("place").isNull()).select("word", "class"), "word", "left")
+        .select(
+            "word", "n", F.coalesce("class", F.get(of_ending, ending.cast("int"))).alias("class")
+        ),
+        "beyond",
     )
-    classes, between = cluster(pairs, lexicon.end_unit + 1, count, rounds)
-    sizes = np.zeros((2, count + 1))
-    work = partial(_sizes, lexicon_of=lexicon_of, classes=classes, count=count)
+    with_classes = {"lexicon_of": lexicon_of, "classes_of": classes_of, "width": width}
+    tokens_beyond = encoded.where(F.size("rare") > 0).mapInArrow(
+        partial(_rare_tokens, **with_classes), _RARE
+    )
+    hot = hot_keys(beyond, ["word"], "n", ROWS_PER_SLICE)
+    in_text = Window.partitionBy("row").orderBy("at")
+    rare, _ = store(
+        join_unique(tokens_beyond, beyond, "word", hot, "left")
+        .withColumn("class", F.coalesce("class", "ending"))
+        .withColumn(
+            "before",
+            F.when(F.col("before") >= 0, F.col("before")).otherwise(F.lag("class").over(in_text)),
+        )
+        .select(
+            "row", "held_out", "class", "before", "after", F.coalesce("n", F.lit(0)).alias("n")
+        ),
+        "rare",
+    )
+
+    # the model: steps between classes, and each class's words
+    learnt_rare = rare.where(~F.col("held_out"))
+    one = F.lit(1).cast("bigint").alias("n")
+    steps = (
+        learnt.select("places")
+        .mapInArrow(partial(_count_steps, **with_classes), "before int, class int, n long")
+        .unionAll(learnt_rare.select("before", "class", one))
+        .unionAll(learnt_rare.where(F.col("after") >= 0).select("class", "after", one))
+    )
+    between = np.zeros((width, width))
+    for row in steps.groupBy("before", "class").agg(F.sum("n").alias("n")).collect():
+        between[row["before"], row["class"]] = row["n"]
+    own = classes[: lexicon.size]
+    sizes = np.zeros((2, width))
+    sizes[0] = np.bincount(own, minlength=width)
+    sizes[1] = np.bincount(own, lexicon.counts, width)
+    sizes[:, count] = ends > 0, ends
     for row in (
-        vocabulary.mapInArrow(work, "class int, types long, tokens long")
-        .groupBy("class")
-        .agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens"))
+        beyond.groupBy("class")
+        .agg(F.count(F.lit(1)).alias("types"), F.sum("n").alias("tokens"))
         .collect()
     ):
-        sizes[:, row["class"]] = row["types"], row["tokens"]
+        sizes[:, row["class"]] += row["types"], row["tokens"]
     model = _class_model(classes, between, sizes, count)
-    model_of = spark.sparkContext.broadcast(model)
+    model_of = context.broadcast(model)
+
     scoring = partial(_score, lexicon_of=lexicon_of, model_of=model_of)
-    local, _ = store(rows.mapInArrow(scoring, _LOCAL), "scored")
-    pieces = F.arrays_zip("rare", "times")
-    rare = local.select("row", F.inline(pieces)).toDF("row", "word", "times")
-    known = (
-        rare.join(vocabulary, "word")
-        .groupBy("row")
-        .agg(
-            F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"),
-            F.sum("times").alias("more_known"),
+    local = encoded.select("row", "doc_id", "held_out", "places").mapInArrow(scoring, _LOCAL)
+    more = (
+        rare.select("row", "class", "before", "after", "n")
+        .mapInArrow(
+            partial(_score_rare, model_of=model_of),
+            "row long, base double, score double, known long",
         )
+        .groupBy("row")
+        .agg(*(F.sum(name).alias(f"more_{name}") for name in ("base", "score", "known")))
     )
-    more = F.coalesce("more", F.lit(0.0))
-    score = F.col("score") + more
-    return local.join(known, "row", "left").select(
+
+    def whole(name: str) -> Column:
+        zero = F.lit(0) if name == "known" else F.lit(0.0)
+        return F.col(name) + F.coalesce(f"more_{name}", zero)
+
+    return local.join(more, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        whole("known").alias("n_known"),
         F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"),
-        score.alias("score"),
-        F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
+        whole("base").alias("base_score"),
+        whole("score").alias("score"),
+        F.pow(F.lit(10.0), -whole("score") / F.col("n_tokens")).alias("perplexity"),
     )

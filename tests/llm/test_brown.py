@@ -76,6 +76,42 @@ def test_the_dictionary_size_hardly_matters(make_docs, corpus):
     assert wide == pytest.approx(whole)
 
 
+@pytest.mark.parametrize("most", [40, 100_000])
+def test_words_beyond_the_first_units_get_their_own_class(make_docs, most):
+    """Endings say nothing here, so only the second step can tell the two kinds apart."""
+    rng = random.Random(8)
+    kinds = [[f"{rng.randrange(10**9)}" * (1 + (k % 9 == 0) * 9) for k in range(300)] for _ in "ab"]
+    texts = []
+    for _ in range(400):
+        words = [
+            rng.choices(kinds[k % 2], [1 / (i + 1) for i in range(300)])[0]
+            for k in range(rng.randint(10, 60))
+        ]
+        texts.append(" ".join(words))
+
+    def held(seen):
+        rows = small(make_docs(texts), units=20, count=3, most=most, seen=seen).collect()
+        return sum(row.score for row in rows if row.held_out)
+
+    moved, by_ending, base = held(3), held(10**9), brute_base(dict(enumerate(texts)))
+    assert moved > by_ending + 0.02 * abs(by_ending)
+    assert moved > sum(base[i][3] for i in base if held_out(i))
+
+
+def test_pairs_and_neighbours_are_counted_exactly(make_docs, corpus, monkeypatch):
+    """The counts between classes add up to all training tokens, whatever the dictionary holds."""
+    caught = []
+    made = brown._class_model
+    monkeypatch.setattr(brown, "_class_model", lambda *x: caught.append(x) or made(*x))
+    for most in (10, 100_000):
+        small(make_docs(list(corpus.values()), ids=list(corpus)), units=10, most=most).collect()
+    total = sum(len(tokens(t)) + 1 for i, t in corpus.items() if not held_out(i))
+    (_, few, few_sizes, _), (_, all_, all_sizes, _) = caught
+    assert few.sum() == all_.sum() == total
+    assert (few_sizes[1] == few.sum(0)).all() and (few_sizes == all_sizes).all()
+    assert (few == all_).all()
+
+
 def test_probabilities_add_up_to_one(make_docs, corpus, monkeypatch):
     """Of all words of the training texts and one unseen word in each class, behind any class."""
     caught = []
