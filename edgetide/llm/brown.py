@@ -198,6 +198,13 @@ def _places(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.cumsum(lengths) - lengths
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``ROWS`` rows, so that what numpy holds for one stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def _before(flat: np.ndarray, end: int) -> np.ndarray:
     """What stands before each place: every text starts behind an end, its own or the last one's."""
     return np.concatenate(([end], flat[:-1]))
@@ -217,7 +224,7 @@ def _count_pairs(
             [pa.array(x) for x in arrays], names=["unit", "next", "n"]
         )
 
-    for batch in batches:
+    for batch in _slices(batches):
         units = unit_of[_places(batch)[0]]
         held.append(_before(units, width - 1) * width + units)
         size += len(units)
@@ -334,20 +341,24 @@ def _count_neighbours(
 
     def flush() -> pa.RecordBatch:
         codes, n = np.unique(np.concatenate(held), return_counts=True)
-        places, beyond = codes // (2 * width), list(names)
-        words = [
-            lexicon.words[place].decode("utf-8", "surrogatepass")
-            if place < lexicon.size
-            else beyond[place - lexicon.size]
-            for place in places.tolist()
-        ]
+        places, of = np.unique(codes // (2 * width), return_inverse=True)
+        beyond = list(names)
+        words = pa.array(
+            [
+                lexicon.words[place].decode("utf-8", "surrogatepass")
+                if place < lexicon.size
+                else beyond[place - lexicon.size]
+                for place in places.tolist()
+            ],
+            pa.string(),
+        ).take(pa.array(of))
         return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.string()), pa.array((codes % (2 * width)).astype(np.int32)),
+            [words, pa.array((codes % (2 * width)).astype(np.int32)),
              pa.array(n)],
             names=["word", "at", "n"],
         )
 
-    for batch in batches:
+    for batch in _slices(batches):
         flat, _ = _places(batch)
         own = classes[flat]
         before, after = _before(own, width - 1), np.append(own[1:], width - 1)
@@ -358,7 +369,7 @@ def _count_neighbours(
         chosen = (flat >= min(lexicon.units, lexicon.size)) & (flat < lexicon.end_place)
         keys = keys[chosen] * (2 * width)
         held += [keys + after[chosen], keys + width + before[chosen]]
-        size += len(flat)
+        size += 2 * len(flat)
         if size >= FLUSH_TOKENS or len(names) >= FLUSH_WORDS:
             yield flush()
             names.clear()
@@ -425,7 +436,7 @@ def _rare_tokens(
 ) -> Iterator[pa.RecordBatch]:
     """The words beyond the dictionary with their neighbours' classes; -1 for one that is beyond too."""
     lexicon, classes = lexicon_of.value, classes_of.value
-    for batch in batches:
+    for batch in _slices(batches):
         flat, starts = _places(batch)
         own = classes[flat]
         rare = (flat >= lexicon.size) & (flat < lexicon.end_place)
@@ -451,7 +462,7 @@ def _count_steps(
     """Class after class where both words are in the dictionary."""
     lexicon, classes = lexicon_of.value, classes_of.value
     total = np.zeros(width * width, np.int64)
-    for batch in batches:
+    for batch in _slices(batches):
         flat, _ = _places(batch)
         rare = (flat >= lexicon.size) & (flat < lexicon.end_place)
         own = np.where(rare, -1, classes[flat])
@@ -500,9 +511,7 @@ def _score(batches: Iterator[pa.RecordBatch], lexicon_of, model_of) -> Iterator[
     lexicon, model = lexicon_of.value, model_of.value
     logs = np.log10(np.concatenate([lexicon.counts, np.zeros(lexicon.endings), [model.ends]]) + 1.0)
     end_class = model.classes[lexicon.end_place]
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in _slices(batches):
         flat, starts = _places(batch)
         rare = (flat >= lexicon.size) & (flat < lexicon.end_place)
         own = model.classes[flat]

@@ -103,7 +103,7 @@ def test_pairs_and_neighbours_are_counted_exactly(make_docs, corpus, monkeypatch
     caught = []
     made = brown._class_model
     monkeypatch.setattr(brown, "_class_model", lambda *x: caught.append(x) or made(*x))
-    for most in (10, 100_000):
+    for most in (40, 100_000):  # both hold all ten units
         small(make_docs(list(corpus.values()), ids=list(corpus)), units=10, most=most).collect()
     total = sum(len(tokens(t)) + 1 for i, t in corpus.items() if not held_out(i))
     (_, few, few_sizes, _), (_, all_, all_sizes, _) = caught
