@@ -48,7 +48,7 @@ END = ""  # the token that ends a text; no word is empty
 _COUNTS = "word string, n long"
 _PAIRS = "unit int, next int, n long"
 _ENCODED = "row long, doc_id bigint, held_out boolean, places binary, rare array<string>"
-_NEIGHBOURS = "word string, at int, n long"
+_NEIGHBOURS = "name long, place int, at int, n int"
 _RARE = "row long, held_out boolean, at long, word string, ending int, before int, after int"
 _LOCAL = (
     "row long, doc_id bigint, held_out boolean, n_tokens long, known long, base double, "
@@ -146,6 +146,11 @@ class Lexicon:
         return (F.octet_length(word) <= LONGEST) & (_step(n) >= self.lowest) & (word != END)
 
 
+def _name(word: Column) -> Column:
+    """A negative hash of a word, so that it is no place; two words of one name move together."""
+    return F.xxhash64(word).bitwiseOR(F.lit(-(1 << 63)))
+
+
 def _step(n: Column) -> Column:
     """Quarters of a power of two: a few hundred steps whatever the counts."""
     return F.floor(F.log2(n) * 4).cast("int")
@@ -334,100 +339,127 @@ def cluster(
 def _count_neighbours(
     batches: Iterator[pa.RecordBatch], lexicon_of, classes_of, width: int
 ) -> Iterator[pa.RecordBatch]:
-    """The words beyond the first step's units: classes behind them, then, from ``width``, before."""
+    """The words beyond the first step's units: classes behind them, then, from ``width``, before.
+
+    A word of the dictionary goes by its place, with name 0; any other by its hash and the place of
+    its ending.
+    """
     lexicon, classes = lexicon_of.value, classes_of.value
-    names: dict[str, int] = {}
-    held, size = [], 0
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
 
     def flush() -> pa.RecordBatch:
-        codes, n = np.unique(np.concatenate(held), return_counts=True)
-        places, of = np.unique(codes // (2 * width), return_inverse=True)
-        beyond = list(names)
-        words = pa.array(
-            [
-                lexicon.words[place].decode("utf-8", "surrogatepass")
-                if place < lexicon.size
-                else beyond[place - lexicon.size]
-                for place in places.tolist()
-            ],
-            pa.string(),
-        ).take(pa.array(of))
+        names, places, after, before = (np.concatenate(x) for x in zip(*held, strict=True))
+        known, of = np.unique(np.where(names == 0, places, names), return_inverse=True)
+        one = np.zeros(len(known), np.int64)
+        one[of] = np.arange(len(of))
+        codes = np.concatenate([of * (2 * width) + after, of * (2 * width) + width + before])
+        codes, n = np.unique(codes, return_counts=True)
+        word, at = one[codes // (2 * width)], codes % (2 * width)
         return pa.RecordBatch.from_arrays(
-            [words, pa.array((codes % (2 * width)).astype(np.int32)),
-             pa.array(n)],
-            names=["word", "at", "n"],
+            [pa.array(names[word]), pa.array(places[word].astype(np.int32)),
+             pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))],
+            names=["name", "place", "at", "n"],
         )
 
     for batch in _slices(batches):
         flat, _ = _places(batch)
         own = classes[flat]
         before, after = _before(own, width - 1), np.append(own[1:], width - 1)
+        names = np.zeros(len(flat), np.int64)
         beyond = (flat >= lexicon.size) & (flat < lexicon.end_place)
-        rare = batch.column("rare").flatten().to_pylist()
-        keys = flat.copy()
-        keys[beyond] = [lexicon.size + names.setdefault(word, len(names)) for word in rare]
+        names[beyond] = batch.column("rare").flatten().to_numpy()
         chosen = (flat >= min(lexicon.units, lexicon.size)) & (flat < lexicon.end_place)
-        keys = keys[chosen] * (2 * width)
-        held += [keys + after[chosen], keys + width + before[chosen]]
-        size += 2 * len(flat)
-        if size >= FLUSH_TOKENS or len(names) >= FLUSH_WORDS:
+        held.append(tuple(x[chosen] for x in (names, flat, after, before)))
+        size += 2 * len(held[-1][0])
+        if size >= FLUSH_TOKENS:
             yield flush()
-            names.clear()
             held, size = [], 0
     if held:
         yield flush()
 
 
+def _best_of_words(
+    between: np.ndarray, old: np.ndarray, of: np.ndarray, at: np.ndarray, times: np.ndarray
+) -> np.ndarray:
+    """The class with the largest gain for each word, as by ``_best`` with the word left out.
+
+    An entry says that word ``of`` has ``times`` neighbours ``at`` a class, behind it or, from
+    ``width``, before it; entries are in the order of words, one at least for each. A class it never
+    meets adds nothing to a sum, so only entries are computed.
+    """
+    width = len(between)
+    count = width - 1
+    words = np.arange(len(old))
+    counts = np.zeros((len(old), 2 * width))
+    counts[of, at] = times
+    f, p = counts[:, :width], counts[:, width:]
+    met = np.concatenate([between[:count].T, between[:, :count]])  # at, class
+    own, entries = old[of], np.arange(len(of))
+    x, stays = met[at], _xlogx(met)[at]
+    x[entries, own] -= times
+    behind, ahead = np.flatnonzero(at == own), np.flatnonzero(at == own + width)
+    x[behind] -= p[of[behind], :count]
+    x[ahead] -= f[of[ahead], :count]
+    stays[entries, own] = _xlogx(x[entries, own])
+    for rows in (behind, ahead):
+        stays[rows] = _xlogx(x[rows])
+    x += times[:, None]
+    gain = np.add.reduceat(_xlogx(x) - stays, np.searchsorted(of, words))
+    totals, into = between.sum(1)[:count] - p[:, :count], between.sum(0)[:count] - f[:, :count]
+    totals[words, old] -= f.sum(1)
+    into[words, old] -= p.sum(1)
+    gain -= _xlogx(totals + f.sum(1)[:, None]) - _xlogx(totals)
+    gain -= _xlogx(into + p.sum(1)[:, None]) - _xlogx(into)
+    return np.argmax(gain, 1)
+
+
 def _move(
-    batches: Iterator[pa.RecordBatch], lexicon_of, classes_of, between: np.ndarray, count: int
+    batches: Iterator[pa.RecordBatch], classes_of, between: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """(word, place or null, class) from (word, at, times): the best class of each word."""
-    index, lexicon, classes = _index_of(lexicon_of), lexicon_of.value, classes_of.value
-    width = count + 1
-    for batch in batches:
-        words = batch.column("word").cast(pa.binary()).to_pylist()
-        places, found = [], []
-        for word, at, times in zip(
-            words, *(batch.column(x).to_pylist() for x in ("at", "times")), strict=True
-        ):
-            counts = np.bincount(at, times, 2 * width)
-            f, p, place = counts[:width], counts[width:], index[word]
-            old = classes[lexicon.size + index.ending(word)]
-            others = between.copy()
-            others[old] -= f
-            others[:, old] -= p
-            found.append(_best(others, f, p, count))
-            places.append(place if place < lexicon.size else None)
+    """(name, place, class) from (name, place, at, times): the best class of each word."""
+    classes = classes_of.value
+    for batch in _slices(batches):
+        ats = batch.column("at")
+        at, times = ats.flatten().to_numpy(), batch.column("times").flatten().to_numpy()
+        lengths = ats.value_lengths().to_numpy()
+        of = np.repeat(np.arange(len(lengths)), lengths)
+        old = classes[batch.column("place").to_numpy()]
+        found = _best_of_words(between, old, of, at.astype(np.int64), times.astype(float))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("word"), pa.array(places, pa.int32()), pa.array(found, pa.int32())],
-            names=["word", "place", "class"],
+            [batch.column("name"), batch.column("place"), pa.array(found.astype(np.int32))],
+            names=["name", "place", "class"],
         )
 
 
 def move_words(
     training: DataFrame, lexicon_of, classes_of, between: np.ndarray, count: int, seen: int
 ) -> DataFrame:
-    """(word, place, class) of every word beyond the first step's units seen ``seen`` times or more."""
+    """(name, place, class) of every word beyond the first step's units seen ``seen`` times or more.
+
+    Rows are dealt out once, by word. No word beyond the units holds more than a small share of
+    them, since the units are the most frequent, and tasks count before.
+    """
     width = count + 1
     counting = partial(
         _count_neighbours, lexicon_of=lexicon_of, classes_of=classes_of, width=width
     )
-    moving = partial(
-        _move, lexicon_of=lexicon_of, classes_of=classes_of, between=between, count=count
-    )
+    moving = partial(_move, classes_of=classes_of, between=between)
     return (
-        training.mapInArrow(counting, _NEIGHBOURS)
-        .groupBy("word", "at")
+        training.select("places", F.transform("rare", _name).alias("rare"))
+        .mapInArrow(counting, _NEIGHBOURS)
+        .repartition("name", "place")
+        .groupBy("name", "place", "at")
         .agg(F.sum("n").alias("n"))
-        .groupBy("word")
+        .groupBy("name", "place")
         .agg(
             F.collect_list("at").alias("at"),  # at most two for each class
             F.collect_list("n").alias("times"),
             F.sum(F.when(F.col("at") < width, F.col("n"))).alias("n"),
         )
         .where(F.col("n") >= seen)
-        .select("word", "at", "times")
-        .mapInArrow(moving, "word string, place int, class int")
+        .select("name", "place", "at", "times")
+        .mapInArrow(moving, "name long, place int, class int")
     )
 
 
@@ -624,21 +656,25 @@ def score_documents(
         "moved",
     )
     classes = classes.copy()
-    inside = moved.where(F.col("place").isNotNull()).select("place", "class").toArrow()
+    inside = moved.where(F.col("place") < lexicon.size).select("place", "class").toArrow()
     classes[inside.column("place").to_numpy()] = inside.column("class").to_numpy()
     classes_of = context.broadcast(classes)
 
     # count and class of the words beyond the dictionary, and where they stand
     of_ending = F.array(*(F.lit(int(x)) for x in classes[lexicon.size : lexicon.end_place]))
     ending = F.pmod(F.crc32(F.substring(F.col("word").cast("binary"), -3, 3)), F.lit(endings))
+    outside = moved.where(F.col("place") >= lexicon.size)
     beyond, _ = store(
         vocabulary.where((F.col("word") != END) & ~lexicon.holds(F.col("word"), F.col("n")))
-        .join(moved.where(F.col("place").isNull()).select("word", "class"), "word", "left")
+        .withColumn("name", _name(F.col("word")))
+        .withColumn("place", (ending + lexicon.size).cast("int"))
+        .join(outside, ["name", "place"], "left")
         .select(
-            "word", "n", F.coalesce("class", F.get(of_ending, ending.cast("int"))).alias("class")
+            "word", "n",
+            F.coalesce("class", F.get(of_ending, F.col("place") - lexicon.size)).alias("class"),
         ),
         "beyond",
-    )
+    )
     with_classes = {"lexicon_of": lexicon_of, "classes_of": classes_of, "width": width}
     tokens_beyond = encoded.where(F.size("rare") > 0).mapInArrow(
         partial(_rare_tokens, **with_classes), _RARE

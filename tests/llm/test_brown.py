@@ -152,6 +152,34 @@ def test_exchange_raises_the_likelihood():
     assert not set(classes[:40][kind == 0]) & set(classes[:40][kind == 1])
 
 
+def test_the_best_class_of_many_words_is_that_of_each():
+    """Against the gain over whole rows of counts, with the word taken out of its class."""
+    rng = np.random.default_rng(3)
+    count, width, words = 5, 6, 200
+    counts = rng.integers(1, 9, (words, 2 * width)) * (rng.random((words, 2 * width)) < 0.3)
+    counts[:, 0] += ~counts.any(1)
+    old = rng.integers(0, count, words)
+    between = rng.integers(0, 400, (width, width)).astype(float)
+    np.add.at(between, old, counts[:, :width])
+    np.add.at(between.T, old, counts[:, width:])
+    expected = []
+    for own, row in zip(old, counts.astype(float), strict=True):
+        others = between.copy()
+        others[own] -= row[:width]
+        others[:, own] -= row[width:]
+        expected.append(brown._best(others, row[:width], row[width:], count))
+    of, at = np.nonzero(counts)
+    found = brown._best_of_words(between, old, of, at, counts[of, at].astype(float))
+    assert found.tolist() == expected
+    assert len(set(expected)) > 1 and (found != old).any()
+
+
+def test_names_of_words_are_no_places(spark):
+    words = spark.createDataFrame([("",), ("a",), ("\u00e9t\u00e9",), ("x" * 100,)], "w string")
+    names = [row[0] for row in words.select(brown._name(words.w)).collect()]
+    assert len(set(names)) == 4 and max(names) < 0
+
+
 def test_odd_texts(make_docs, odd_texts):
     rows = small(make_docs(odd_texts)).collect()
     expected = brute_base(dict(enumerate(odd_texts)))
