@@ -1,11 +1,13 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
-A vector is described by its ``NEAREST`` nearest pivots, in the order of how rare they are; the
-pivots are a bounded, thinned sample of the vectors. Two vectors that share ``SHARED`` of them meet in the
+A vector is described by its ``NEAREST`` nearest pivots in the order of their distance; the pivots
+are a bounded, thinned sample of the vectors. Two vectors share a pivot where it stands in both
+orders, at places that are at most ``MOVED`` apart. Those that share ``SHARED`` pivots meet in the
 inverted list of one of the ``NEAREST - SHARED + 1`` rarest. No two pivots are nearer than
-``APART``, so a clump of near copies has about one, and its members share the pivots around it. A list is cut into blocks; a task
-takes two blocks, counts shared pivots through the blocks' own inverted lists and verifies the
-pairs that share enough by cosine, in double precision. It returns sums and labels, never pairs.
+``APART``, so a clump of near copies has about one, and its members share the pivots around it. A
+list is cut into blocks; a task takes two blocks, counts shared pivots through the blocks' own
+inverted lists and verifies the pairs that share enough by cosine, in double precision. It returns
+sums and labels, never pairs.
 """
 
 import hashlib
@@ -24,6 +26,7 @@ from edgetide.storage import store
 COSINE = 0.95
 NEAREST = 16
 SHARED = 6
+MOVED = 12
 APART = 0.9
 ROWS_PER_PIVOT = 64
 FEWEST, MOST = 64, 16_384
@@ -85,7 +88,7 @@ def _thinned(sample: np.ndarray, apart: float = APART) -> np.ndarray:
 def _nearest(
     batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray], nearest: int
 ) -> Iterator[pa.RecordBatch]:
-    """The nearest pivots of each vector; pivots are those of its dimension."""
+    """The nearest pivots of each vector, nearest first; pivots are those of its dimension."""
     for batch in batches:
         vectors = batch.column("vec").to_pylist()
         found: list = [None] * len(vectors)
@@ -98,6 +101,8 @@ def _nearest(
                 part = own[start : start + 512]
                 near = _matrix([vectors[i] for i in part]) @ of.T
                 best = np.argpartition(-near, count - 1, axis=1)[:, :count]
+                order = np.lexsort((best, -np.take_along_axis(near, best, 1)))
+                best = np.take_along_axis(best, order, 1)
                 for i, row in zip(part, best, strict=True):
                     found[i] = row.astype(np.int32)
         yield pa.RecordBatch.from_arrays(
@@ -110,37 +115,42 @@ def _nearest(
 def _entries(
     batches: Iterator[pa.RecordBatch], ranks: dict[int, np.ndarray], shared: int, nearest: int
 ) -> Iterator[pa.RecordBatch]:
-    """(size, pivot, id, copies, vec, near): a row for each list a vector is in; pivots by rank."""
+    """A row for each list a vector is in; ``near`` by rank, each with its place in the order."""
     for batch in batches:
-        sizes, lists, at, nears = [], [], [], []
+        sizes, lists, at, nears, places = [], [], [], [], []
         vectors, near = batch.column("vec").to_pylist(), batch.column("near").to_pylist()
         for i, own in enumerate(near):
             size = len(vectors[i])
-            ranked = np.sort(ranks[size][own]).astype(np.int32)
+            ranked = ranks[size][own].astype(np.int32)
+            order = np.argsort(ranked)  # the place of each in the vector's order of pivots
+            ranked = ranked[order]
             need = min(shared, len(ranked))
             for pivot in ranked[: len(ranked) - need + 1].tolist():
                 sizes.append(size)
                 lists.append(pivot)
                 at.append(i)
                 nears.append(ranked.tobytes())
+                places.append(order.astype(np.int32).tobytes())
         take = pa.array(at, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array(sizes, pa.int32()), pa.array(lists, pa.int32())]
             + [batch.column(x).take(take) for x in ("id", "copies", "vec")]
-            + [pa.array(nears, pa.binary())],
-            names=["size", "pivot", "id", "copies", "vec", "near"],
+            + [pa.array(nears, pa.binary()), pa.array(places, pa.binary())],
+            names=["size", "pivot", "id", "copies", "vec", "near", "places"],
         )
 
 
-def _inverted(near: list[np.ndarray]) -> dict[int, np.ndarray]:
-    rows = np.repeat(np.arange(len(near)), [len(x) for x in near])
-    pivots = np.concatenate(near)
-    order = np.argsort(pivots, kind="stable")
-    names, starts = np.unique(pivots[order], return_index=True)
-    return dict(zip(names.tolist(), np.split(rows[order], starts[1:]), strict=True))
+def _inverted(side: pd.DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """pivot -> (rows it is near to, its place in the order of each)."""
+    near, places = (np.frombuffer(b"".join(side[x]), np.int32) for x in ("near", "places"))
+    rows = np.repeat(np.arange(len(side)), [len(x) // 4 for x in side["near"]])
+    order = np.argsort(near, kind="stable")
+    names, starts = np.unique(near[order], return_index=True)
+    parts = (np.split(x[order], starts[1:]) for x in (rows, places))
+    return dict(zip(names.tolist(), zip(*parts, strict=True), strict=True))
 
 
-def _compare(frame: pd.DataFrame, shared: int, cosine: float) -> pd.DataFrame:
+def _compare(frame: pd.DataFrame, shared: int, moved: int, cosine: float) -> pd.DataFrame:
     """Links between (or inside) the two blocks of a list: sums of copies, and a common label."""
     pivot, same = int(frame["pivot"].iloc[0]), frame["low"].iloc[0] == frame["high"].iloc[0]
     left = frame if same else frame[frame["block"] == frame["low"]]
@@ -148,17 +158,16 @@ def _compare(frame: pd.DataFrame, shared: int, cosine: float) -> pd.DataFrame:
     empty = pd.DataFrame({"id": [], "links": [], "label": []}, dtype="int64")
     if not len(left) or not len(right):
         return empty
-    near = [[np.frombuffer(x, np.int32) for x in side["near"]] for side in (left, right)]
-    need = min(shared, len(near[0][0]))
-    lists_a = _inverted(near[0])
-    lists_b = lists_a if same else _inverted(near[1])
+    need = min(shared, len(left["near"].iloc[0]) // 4)
+    lists_a = _inverted(left)
+    lists_b = lists_a if same else _inverted(right)
     counts = np.zeros((len(left), len(right)), np.uint8)
     earlier = np.zeros(counts.shape, bool)  # they meet in the list of a rarer pivot
-    for name, rows in lists_a.items():
-        others = lists_b.get(name)
-        if others is not None:
+    for name, (rows, places) in lists_a.items():
+        if name in lists_b:
+            others, there = lists_b[name]
             cell = np.ix_(rows, others)
-            counts[cell] += 1
+            counts[cell] += np.abs(places[:, None] - there) <= moved
             if name < pivot:
                 earlier[cell] = True
     pairs = (counts >= need) & ~earlier
@@ -202,6 +211,7 @@ def near_duplicate_vectors(
     cosine: float = COSINE,
     nearest: int = NEAREST,
     shared: int = SHARED,
+    moved: int = MOVED,
     block: int = BLOCK,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
@@ -253,7 +263,7 @@ def near_duplicate_vectors(
     ranks = {length: np.argsort(np.argsort(x, kind="stable")) for length, x in used.items()}
     lists = described.mapInArrow(
         partial(_entries, ranks=ranks, shared=shared, nearest=nearest),
-        "size int, pivot int, id long, copies long, vec binary, near binary",
+        "size int, pivot int, id long, copies long, vec binary, near binary, places binary",
     )
     lists, _ = store(lists, "pivot-lists")
     blocks = F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")
@@ -265,7 +275,7 @@ def near_duplicate_vectors(
         .withColumn("high", F.greatest("block", "other"))
         .drop("blocks", "other")
     )
-    compare = partial(_compare, shared=shared, cosine=cosine)
+    compare = partial(_compare, shared=shared, moved=moved, cosine=cosine)
     found, _ = store(
         cut.groupBy("size", "pivot", "low", "high").applyInPandas(_one_argument(compare), _FOUND),
         "vector-links",

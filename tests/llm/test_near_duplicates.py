@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from edgetide.llm import embeddings, minhash
@@ -232,6 +234,30 @@ def test_vectors_with_repeated_ids_and_none(spark):
     assert embeddings.FEWEST <= embeddings.MOST
 
 
+def test_pivots_are_ordered_by_distance_and_the_order_counts(spark):
+    rng = np.random.default_rng(7)
+    pivots, vectors = (embeddings._unit(rng.normal(size=(n, 8))) for n in (40, 5))
+    batch = pa.RecordBatch.from_pydict(
+        {"id": range(5), "copies": [1] * 5, "vec": [x.tobytes() for x in vectors]}
+    )
+    (found,) = embeddings._nearest([batch], {64: pivots}, 16)
+    expected = np.argsort(-(vectors @ pivots.T), axis=1)[:, :16]
+    assert found.column("near").to_pylist() == expected.tolist()
+
+    side = pd.DataFrame(
+        {
+            "pivot": 0, "block": 0, "low": 0, "high": 0, "id": [1, 2], "copies": 1,
+            "vec": [vectors[0].tobytes()] * 2,
+            "near": [np.arange(4, dtype=np.int32).tobytes()] * 2,
+            "places": [np.array(x, np.int32).tobytes() for x in ([0, 1, 2, 3], [3, 1, 2, 0])],
+        }
+    )
+    # all four pivots are shared when places may differ by three, two of them when not
+    assert len(embeddings._compare(side, 4, 3, 0.95)) == 2
+    assert len(embeddings._compare(side, 4, 2, 0.95)) == 0
+    assert len(embeddings._compare(side, 2, 2, 0.95)) == 2
+
+
 def test_a_clump_of_a_third_of_the_vectors_keeps_its_links(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=64)
