@@ -263,6 +263,17 @@ def _entropies(batches: Iterator[pa.RecordBatch], models: Models) -> Iterator[pa
         )
 
 
+def _limit(entropies: np.ndarray) -> float:
+    """The cross-entropy beyond which a text is rejected, from unseen texts of the language.
+
+    Six deviations above the median, by quartiles, and no less than all but the highest hundredth
+    (one at least), so that a few mislabelled rows do not lift it.
+    """
+    low, middle, high = np.quantile(entropies, (0.25, 0.5, 0.75))
+    most = np.quantile(entropies, 0.99, method="lower")
+    return float(max(middle + 6 * (high - low) / 1.349, most))
+
+
 def fit_models(rows: DataFrame, order: int = ORDER, train_rows: int = TRAIN_ROWS) -> Models:
     """Models from labelled ``rows`` (doc_id, text, lang).
 
@@ -301,7 +312,7 @@ def fit_models(rows: DataFrame, order: int = ORDER, train_rows: int = TRAIN_ROWS
     for lang in range(len(models.langs)):
         own = [entropy[lang] for at, entropy in known if at == lang]
         if own:
-            models.limits[lang] = max(np.mean(own) + 6 * np.std(own), max(own))
+            models.limits[lang] = _limit(np.array(own))
     if known:
 
         def loss(temperature: float) -> float:

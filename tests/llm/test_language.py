@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from edgetide.llm import language
@@ -138,3 +139,31 @@ def test_a_rare_language_keeps_its_rows(make_docs):
     models = language.fit_models(docs, train_rows=60)
     limits = dict(zip(models.langs, models.limits))
     assert math.isfinite(limits["bb"]) and limits["cc"] == math.inf
+
+
+@pytest.mark.parametrize("rows", [20, 5000])
+def test_mislabelled_rows_do_not_lift_the_limit(rows):
+    rng = np.random.default_rng(4)
+    own = rng.normal(2.0, 0.1, rows)
+    limit = language._limit(own)
+    assert own.max() < limit < 3.5
+    wrong = np.append(own, np.full(max(1, rows // 200), 9.0))
+    assert language._limit(wrong) == pytest.approx(limit, abs=0.2) and limit < 9
+    assert language._limit(np.array([2.0])) == 2.0
+    assert language._limit(np.array([2.0, 2.4])) > 2.4
+
+
+def test_mislabelled_texts_leave_rejection_on(spark, make_docs, corpus):
+    """One calibrating row of each language holds another alphabet; texts of that are rejected."""
+    texts, langs = corpus
+    rng = random.Random(3)
+    strange = [" ".join("".join(rng.choices("klmno", k=5)) for _ in range(60)) for _ in range(23)]
+    part = "pmod(xxhash64(id, 'part'), 4) = 3"  # the rows that calibrate
+    calibrating = [row.id for row in spark.range(400, 600).where(part).collect()]
+    wrong = [i for i in calibrating if not held_out(i)][:3]
+    ids = [*range(len(texts)), *wrong, *range(600, 620)]
+    labels = langs | dict(zip(wrong, ALPHABETS)) | dict.fromkeys(range(600, 620))
+    docs = make_docs(texts + strange, ids=ids, langs=labels)
+    rows = {row.doc_id: row for row in identify(docs).collect()}
+    assert all(rows[i].rejected for i in range(600, 620))
+    assert sum(rows[i].rejected for i in range(len(texts))) <= 4
