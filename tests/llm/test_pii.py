@@ -1,8 +1,10 @@
+import hashlib
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from edgetide.llm.queries import op7_boosted_pii
 from edgetide.llm.pii import KINDS, find_personal_data, fit_model, redact_documents, spans_text
 
 PATTERNS = (
@@ -136,3 +138,16 @@ def test_accepted_secrets_may_start_in_a_match(make_docs, model):
     secret = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
     docs = make_docs([f"password: secret = {secret} in the file"])
     assert secret not in redact_documents(docs, model).collect()[0].text
+
+
+def test_the_query_counts_the_base_spans_of_each_kind(spark, make_docs, texts, tmp_path):
+    texts = [text for text in texts if len(text or "") < 500]
+    make_docs(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op7_boosted_pii(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert len(rows) == len(texts)
+    for row, text in zip(rows, texts):
+        spans = base(text)
+        listed = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        counts = [sum(k == kind for _, k, _ in spans) for kind in range(4)]
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == counts
+        assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
