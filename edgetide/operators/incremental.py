@@ -2,7 +2,9 @@
 
 The ranks after every round are kept. New edges change the out-degree of their sources; in a round,
 only targets of those sources, and of nodes whose rank changed in the round before, can receive
-something else. These are recomputed from all their in-edges, the others keep their ranks.
+something else. These are recomputed from all their in-edges, the others keep their ranks. From the
+round on in which a share of 1/``WIDE`` of all sources sends something else, all nodes are recomputed in
+the layout of a full run, as finding and reading them edge by edge would take more.
 
     <folder>/state=<n>/edges       the edges that came with state n, counted
     <folder>/state=<n>/degrees     (src, out_degree) of all sources so far
@@ -15,13 +17,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgetide.operators.links import prepare_links
+from edgetide.operators.links import fixed_layout, prepare_links
 from edgetide.operators.rank import check_parameters, initial_ranks, next_ranks, with_ids
 from edgetide.operators.skew import ROWS_PER_SLICE, rows_matching
 from edgetide.operators.stats import CountedEdges, Edges, store_counted
 from edgetide.schema import DAMPING, ITERATIONS, RANKS
 from edgetide.storage import checkpoint, delete, drop_scratch, finished, named
 
+WIDE = 10
+
 _EDGES = "src string, dst string, copies bigint"
 _DEGREES = "src string, out_degree bigint"
 _TOUCHED = "round bigint, nodes bigint, recomputed bigint, edges_read bigint"
@@ -89,16 +93,26 @@ class RankHistory:
             drop_scratch(self.spark, path)
 
     def _all_rounds(self, counted: CountedEdges, number: int) -> list[tuple]:
-        links = prepare_links(counted)
         degrees = counted.rows.groupBy("src").agg(F.sum("copies").alias("out_degree"))
         self._write(degrees, number, "degrees")
-        ranks, touched, read = initial_ranks(links), [], counted.rows.count()
-        for k in range(self.iterations + 1):
-            if k:
-                ranks = checkpoint(next_ranks(links, ranks, self.damping))
-            self._write(with_ids(links, ranks), number, f"round={k}")
-            nodes = self.round(number, k).count()
-            touched.append((k, nodes, nodes, read if k else 0))
+        return self._full_rounds(counted, number, 0)
+
+    def _full_rounds(self, counted: CountedEdges, number: int, first: int) -> list[tuple]:
+        """Rounds ``first`` and later over all edges; the round before ``first`` is written already."""
+        links = prepare_links(counted)
+        if first:
+            node = links.keys.of("nodeId", "node")
+            ranks = self.round(number, first - 1).select(*node, "pagerank")
+        else:
+            ranks = initial_ranks(links)
+        touched, read = [], counted.rows.count()
+        with fixed_layout(self.spark, links.partitions):
+            for k in range(first, self.iterations + 1):
+                if k:
+                    ranks = checkpoint(next_ranks(links, ranks, self.damping))
+                self._write(with_ids(links, ranks), number, f"round={k}")
+                nodes = self.round(number, k).count()
+                touched.append((k, nodes, nodes, read if k else 0))
         links.release()
         return touched
 
@@ -121,10 +135,15 @@ class RankHistory:
             first.unionByName(started.withColumn("pagerank", F.lit(1.0))), number, "round=0"
         )
         touched = [(0, self.round(number, 0).count(), started.count(), 0)]
-        changed = started
+        changed, many = started, degrees.count()
         for k in range(1, self.iterations + 1):
             senders = sources.unionByName(changed.select(F.col("nodeId").alias("src")))
             senders = checkpoint(senders.distinct())
+            if senders.count() * WIDE >= many:
+                counted, path = store_counted(every)
+                touched += self._full_rounds(counted, number, k)
+                drop_scratch(self.spark, path)
+                return touched
             sent = rows_matching(every, senders, "src", rows_per_slice)
             targets = checkpoint(sent.select("dst").distinct())
             into = checkpoint(rows_matching(every, targets, "dst", rows_per_slice))

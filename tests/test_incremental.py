@@ -65,3 +65,17 @@ def test_incremental_refresh_equals_the_full_one(spark, tmp_path):
     # the newest two states keep their ranks
     rounds = sorted(p.parent.name for p in (tmp_path / "store" / "history").glob("*/round=4"))
     assert rounds == ["state=1", "state=2"]
+
+
+def test_a_large_batch_is_ranked_in_the_layout_of_a_full_run(spark, make_edges, tmp_path):
+    # a third of the edges, some of them copies of earlier ones, and a narrow batch on what it left
+    pairs = brute.random_edges(80, 300, seed=33)
+    batches = [pairs[:200], pairs[200:] + pairs[:20], [("n1", "n2")]]
+    history = RankHistory(spark, str(tmp_path), iterations=4)
+    for number, batch in enumerate(batches):
+        history.add(make_edges(batch), number)
+        known = [edge for part in batches[: number + 1] for edge in part]
+        assert scores(history, number) == pytest.approx(brute.ranks(known, 4, 0.85), abs=1e-12)
+    touched = {row["round"]: row for row in history.touched(1).collect()}
+    assert touched[1].edges_read == len(set(pairs))
+    assert touched[1].recomputed == touched[1].nodes
