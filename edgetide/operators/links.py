@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgetide.operators.keys import Keys, shortest_keys
-from edgetide.operators.skew import ROWS_PER_SLICE, hot_keys
+from edgetide.operators.skew import ROWS_PER_SLICE, find_hot, hot_keys
 from edgetide.operators.stats import CountedEdges, Edges, nodes, store_counted, with_copies
 from edgetide.storage import drop_scratch, store
 
 # Bounds on the distinct edges per partition; in between, the session's setting decides.
 FEW_ROWS = 50_000
 MANY_ROWS = 20_000_000
+# With fewer links of a target in a partition, combining them there takes more than it saves.
+FEW_TOGETHER = 2
 
 
 @contextmanager
@@ -53,6 +55,7 @@ class Links:
     ``keys``    what src* and dst* are: short keys in place of ids.
     ``hot``     the sources in ``spread`` (src*, fanout), or None.
     ``tables``  names under which this session knows a saved layout's files.
+    ``combine`` whether a round's sums are combined before its shuffle.
     """
 
     edges: DataFrame
@@ -64,6 +67,7 @@ class Links:
     partitions: int
     scratch: tuple[str, ...]
     tables: tuple[str, ...] = ()
+    combine: bool = True
 
     @property
     def src(self) -> list[str]:
@@ -159,4 +163,20 @@ def prepare_links(edges: Edges, rows_per_slice: int | None = None) -> Links:
             .sortWithinPartitions(*src)
             .persist()
         )
-    return Links(placed, spread, sources, ids, keys, hot, partitions, tuple(scratch))
+    return Links(
+        placed, spread, sources, ids, keys, hot, partitions, tuple(scratch),
+        combine=_combines(counted, dst, links, ids.count(), partitions, threshold),
+    )
+
+
+def _combines(
+    counted: DataFrame, dst: list[str], links: int, ids: int, partitions: int, threshold: int
+) -> bool:
+    """Whether sums should be combined before the shuffle.
+
+    They always are in a small graph and where a target is hot, as its contributions would all go
+    to one task.
+    """
+    if links <= threshold or links >= FEW_TOGETHER * ids * partitions:
+        return True
+    return find_hot(counted.select(*dst), dst, "fanin", threshold) is not None

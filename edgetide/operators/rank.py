@@ -29,7 +29,8 @@ def _received(links: Links, ranks: DataFrame, result: Column) -> DataFrame:
 
     The cached edges stay where they are. The rank table leaves the previous round's
     aggregation partitioned by node, which is the edges' partitioning; the few ranks of hot
-    sources are broadcast to their links. Sums are combined before the one shuffle.
+    sources are broadcast to their links. Sums are combined before the one shuffle, unless next to
+    no links of a target lie together and none is hot: then the rows go to their target as they are.
     """
     node = links.keys.names("node")
     meet = [F.col(a) == F.col(b) for a, b in zip(links.src, node, strict=True)]
@@ -39,6 +40,8 @@ def _received(links: Links, ranks: DataFrame, result: Column) -> DataFrame:
         hot = F.broadcast(links.hot.select(*_named(links, "src", "node")))
         few = F.broadcast(ranks.join(hot, node, "left_semi"))
         sent = sent.unionByName(links.spread.join(few, meet).select(*passed))
+    if not links.combine:
+        sent = sent.repartition(links.partitions, *node)
     return sent.groupBy(*node).agg(result)
 
 

@@ -13,6 +13,8 @@ from edgetide.storage import checkpoint
 ROWS_PER_SLICE = 1_000_000
 MAX_HOT = 20_000
 BROADCAST_ROWS = 500_000
+# Keys are first counted by so many hash buckets, which tasks combine to a small table.
+BUCKETS = 16_384
 BROADCAST_BYTES = 64 << 20
 
 
@@ -33,6 +35,23 @@ def hot_keys(
     return None if hot.isEmpty() else hot
 
 
+def find_hot(
+    rows: DataFrame, key: list[str], size: str, threshold: int
+) -> DataFrame | None:
+    """``hot_keys`` of plain rows, which are counted by key only where a bucket of keys is that heavy.
+
+    A key cannot have more rows than its bucket, so nothing is missed; without a heavy bucket no rows
+    are shuffled.
+    """
+    bucket = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).alias("_bucket")
+    counts = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = checkpoint(counts.where(F.col("_rows") > threshold).select("_bucket"))
+    if heavy.isEmpty():
+        return None
+    few = rows.select(*key, bucket).join(F.broadcast(heavy), "_bucket", "left_semi")
+    return hot_keys(few.groupBy(*key).agg(F.count(F.lit(1)).alias(size)), key, size, threshold)
+
+
 def fits_broadcast(table: DataFrame, key: str) -> bool:
     """Whether a materialised table is small enough to broadcast, by rows and key bytes."""
     size = (
@@ -63,5 +82,4 @@ def rows_matching(rows: DataFrame, ids: DataFrame, key: str, threshold: int) ->
     """Rows whose key is among the materialised, distinct ``ids``."""
     if fits_broadcast(ids, key):
         return rows.join(F.broadcast(ids), key, "left_semi")
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
-    return join_unique(rows, ids, key, hot_keys(sizes, [key], "size", threshold), "left_semi")
+    return join_unique(rows, ids, key, find_hot(rows, [key], "size", threshold), "left_semi")

@@ -11,6 +11,7 @@ from edgetide.operators import lookup, stats, topk
 from edgetide.operators.links import prepare_links
 from edgetide.operators.rank import contributions, initial_ranks, rank, rank_edges, with_ids
 from edgetide.operators.incremental import RankHistory
+from edgetide.operators.stats import Edges, store_counted
 from edgetide.operators.trace import connection, trace, trace_each, trace_paths
 from edgetide.plans.job import rerun_job, run_job
 from edgetide.schema import DAMPING, ITERATIONS
@@ -50,13 +51,18 @@ def _on_stored(graph: str, make: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: make(store(GRAPHS[graph](spark, sf_dir), "edges")[0])
 
 
+def _on_counted(graph: str, make: Callable[[Edges], DataFrame]) -> Query:
+    """The same where the ranks are among them, which need the edges counted anyway."""
+    return lambda spark, sf_dir: make(store_counted(GRAPHS[graph](spark, sf_dir))[0])
+
+
 def _on_ranks(
     graph: str,
     make: Callable[[DataFrame], DataFrame],
     iterations: int = ITERATIONS,
     damping: float = DAMPING,
 ) -> Query:
-    return _on_stored(graph, lambda edges: make(rank_edges(edges, iterations, damping)))
+    return _on_graph(graph, lambda edges: make(rank_edges(edges, iterations, damping)))
 
 
 def _scores(ranks: DataFrame) -> DataFrame:
@@ -105,7 +111,7 @@ def _neighbors_batch(direction: str) -> Callable[[DataFrame], DataFrame]:
     )
 
 
-def _metadata(edges: DataFrame, dataset_name: str) -> DataFrame:
+def _metadata(edges: Edges, dataset_name: str) -> DataFrame:
     sizes, ranks = stats.graph_stats(edges), rank_edges(edges)
     return job_metadata(sizes, ranks, dataset_name, ITERATIONS, DAMPING, COMPLETED_AT)
 
@@ -325,10 +331,10 @@ def registered() -> dict[str, Query]:
         ),
         "node_score_by_id": _on_ranks("part_next", lambda r: _saved_score(r, "1999")),
         "node_score_missing": _on_ranks("part_next", lambda r: lookup.node_score(r, "none")),
-        "node_scores_batch": _on_stored(
+        "node_scores_batch": _on_counted(
             "part_supp", lambda e: lookup.node_scores(rank_edges(e), stats.nodes(e))
         ),
-        "node_scores_all": _on_stored(
+        "node_scores_all": _on_counted(
             "part_next", lambda e: lookup.node_scores(rank_edges(e), stats.nodes(e))
         ),
         "neighbors": _on_graph(
@@ -353,8 +359,8 @@ def registered() -> dict[str, Query]:
         "influenced_by_batch": _on_stored("part_supp", _neighbors_batch("incoming")),
         "neighbors_batch_indexed": _on_stored("part_supp", _neighbors_indexed("outgoing")),
         "influenced_by_batch_indexed": _on_stored("part_supp", _neighbors_indexed("incoming")),
-        "job_metadata": _on_stored("part_next", lambda e: _metadata(e, "part_next")),
-        "stats": _on_stored(
+        "job_metadata": _on_counted("part_next", lambda e: _metadata(e, "part_next")),
+        "stats": _on_counted(
             "page_links", lambda e: lookup.job_stats(_metadata(e, "page_links"))
         ),
         "trace_2hop": _on_stored("part_supp", _trace(2)),

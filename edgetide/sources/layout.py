@@ -18,7 +18,7 @@ from edgetide.operators.links import Links, fixed_layout
 from edgetide.operators.stats import CountedEdges
 from edgetide.storage import delete, finished
 
-_DESCRIPTION = "hashes int, partitions int, hot boolean"
+_DESCRIPTION = "hashes int, partitions int, hot boolean, combine boolean"
 
 
 def fingerprint(edges: CountedEdges) -> str:
@@ -75,6 +75,7 @@ def save_links(links: Links, folder: str) -> None:
         F.lit(links.keys.hashes).alias("hashes"),
         F.lit(links.partitions).alias("partitions"),
         F.lit(links.hot is not None).alias("hot"),
+        F.lit(links.combine).alias("combine"),
     )
     described.write.mode("overwrite").json(f"{folder}/description")
 
@@ -108,4 +109,6 @@ def open_links(spark: SparkSession, folder: str) -> Links | None:
         partitions,
         (),
         tuple(names),
+        # a layout described before this was known: combining is always right
+        known["combine"] is not False,
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from edgetide.operators.skew import ROWS_PER_SLICE, hot_keys, join_unique
+from edgetide.operators.skew import ROWS_PER_SLICE, find_hot, join_unique
 from edgetide.storage import checkpoint
 
 
@@ -130,8 +130,7 @@ def _heavy(rows: DataFrame, key: str, threshold: int) -> DataFrame | None:
     """Hot keys of a table; the row count alone, which Parquet knows, rules out most cases."""
     if rows.count() <= threshold:
         return None
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
-    return hot_keys(sizes, [key], "size", threshold)
+    return find_hot(rows, [key], "size", threshold)
 
 
 GRAPHS = {

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 import brute
 from edgetide.operators import links as layout
-from edgetide.operators import lookup
+from edgetide.operators import lookup, skew
 from edgetide.operators.links import fixed_layout, prepare_links
-from edgetide.operators.rank import initial_ranks, next_ranks
+from edgetide.operators.rank import initial_ranks, next_ranks, rank
 from edgetide.sources import tables
 from edgetide.sources.index import read_index, write_index
 from edgetide.storage import checkpoint, drop_scratch, scratch_path, shared_folder, store
@@ -266,3 +266,24 @@ def test_a_saved_score_reads_few_row_groups(spark, tmp_path):
     assert metric(found, "numOutputRows") <= 200_000 / 8 + 1
     # within the files' ranges, but in no Bloom filter
     assert metric(lookup.node_score(saved, "n5x", stored=None), "numOutputRows") == 0
+
+
+def test_sums_are_combined_only_where_it_saves(spark, make_edges):
+    pairs = [(f"n{i}", f"n{(i * 7 + 1) % 200}") for i in range(200)]
+    pairs += [(f"n{i}", f"n{(i * 11 + 3) % 200}") for i in range(100)]
+    hub = [*pairs, *((f"n{i}", "hub") for i in range(100))]
+    for edges, combined in ((pairs, False), (hub, True)):
+        links = prepare_links(make_edges(edges), rows_per_slice=60)
+        assert links.combine is combined
+        found = {row.nodeId: row.pagerank for row in rank(links, iterations=4).collect()}
+        assert found == pytest.approx(brute.ranks(edges, 4, 0.85), abs=1e-12)
+        links.release()
+
+
+def test_hot_keys_are_counted_where_a_bucket_is_heavy(spark, monkeypatch):
+    rows = spark.createDataFrame([(k,) for k, n in enumerate((5, 3, 1, 9)) for _ in range(n)], "k int")
+    for buckets in (1, 16_384):
+        monkeypatch.setattr(skew, "BUCKETS", buckets)
+        found = skew.find_hot(rows, ["k"], "size", 4)
+        assert {(row.k, row["size"]) for row in found.collect()} == {(0, 5), (3, 9)}
+        assert skew.find_hot(rows, ["k"], "size", 9) is None
