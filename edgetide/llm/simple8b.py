@@ -45,6 +45,8 @@ _FOUND = "doc_id bigint, file int, at long, n_tokens long, ids_crc32 long"
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs, at least 1."""
+    if not len(values) or values.max() < 1 << 32:
+        return np.maximum(np.frexp(values.astype(np.float64))[1], 1).astype(np.uint8)
     high = (values >> np.uint64(32)).astype(np.float64)
     low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
     bits = np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1])
@@ -72,12 +74,12 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not (need <= 60 // per).any():
             # longer runs need even narrower values
             break
-    step_of = np.array([1, *PER_WORD[1:]], np.int64)
-    follow = (np.arange(n + 1) + step_of[chosen]).tolist()
+    # as bytes, whose items cost no memory of their own
+    step = np.array([1, *PER_WORD[1:]], np.uint8)[chosen].tobytes()
     starts, at = [], 0
     while at < n:
         starts.append(at)
-        at = follow[at]
+        at += step[at]
     starts = np.array(starts, np.int64)
     selectors = chosen[starts]
     escaped = selectors == 0

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 END_ID = 0
-REMEMBERED = 250_000
+REMEMBERED = 600_000
 GROUP_CHARS = 1 << 22
 ROWS = 1024
 JOINED = 256
@@ -74,17 +74,19 @@ class Encoder:
     def _ids_of(self, cuts: list[str]) -> list[bytes]:
         """The ids of distinct cuts."""
         known, before = self._known, self._before
-        new = [cut for cut in cuts if cut not in known]
+        found = list(map(known.get, cuts))
+        new = [cut for cut, ids in zip(cuts, found, strict=True) if ids is None]
+        if not new:
+            return found
         if len(known) + len(new) > self._remembered:
             before = self._before = known
             known = self._known = {}
             new = cuts
+        known.update((cut, before[cut]) for cut in new if cut in before)
+        new = [cut for cut in new if cut not in known]
         if new:
-            known.update((cut, before[cut]) for cut in new if cut in before)
-            new = [cut for cut in new if cut not in known]
-            if new:
-                self._learn(new)
-        return [known[cut] for cut in cuts]
+            self._learn(new)
+        return list(map(known.__getitem__, cuts))
 
     def _group(self, texts: list[str]) -> list[bytes]:
         spaced = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n")
@@ -99,8 +101,9 @@ class Encoder:
                 pc.match_substring_regex(cuts, _OTHER_SPACE),
             )
         )
-        names = cuts.to_pylist()
-        heads = [names[i] for i in at[starts[:-1]]]
+        # as objects of numpy, which takes a tenth of the time of Arrow's own list
+        names = cuts.to_numpy(zero_copy_only=False).tolist()
+        heads = [names[i] for i in at[starts[:-1]].tolist()]
         whole = np.add.reduceat(odd[at], starts[:-1]) > 0
         whole |= [h[:1] == "\n" or "\0" in text for h, text in zip(heads, texts, strict=True)]
         inside = np.zeros(len(names), bool)
@@ -109,9 +112,9 @@ class Encoder:
         body &= ~np.repeat(whole, np.diff(starts))
         inside[at[body]] = True
         used = np.flatnonzero(inside)
-        ids = self._ids_of([names[i] for i in used])
+        ids = self._ids_of([names[i] for i in used.tolist()])
         sizes = np.zeros(len(names), np.int64)
-        sizes[used] = [len(x) // 4 for x in ids]
+        sizes[used] = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         pool = np.frombuffer(b"".join(ids), "<u4")
         # the ids of all cuts one after the other

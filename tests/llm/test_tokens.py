@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -55,6 +56,16 @@ def test_simple8b_packs_as_many_as_fit():
     assert len(simple8b.encode(np.full(4, 2**15, np.uint64))[0]) == 2
 
 
+def test_simple8b_keeps_no_object_for_each_value():
+    values = np.random.default_rng(2).integers(0, 50_257, simple8b.BLOCK_IDS)
+    simple8b.encode(values)
+    tracemalloc.start()
+    simple8b.encode(values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 55 * len(values)
+
+
 def test_written_tokens_read_back(make_docs, odd_texts, crowded, whole):
     docs = crowded(make_docs(odd_texts).repartition(3))
     rows = simple8b.round_trip(docs).orderBy("doc_id").collect()
