@@ -2,14 +2,14 @@
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgetide.operators.keys import Keys, shortest_keys
 from edgetide.operators.skew import ROWS_PER_SLICE, find_hot, hot_keys
-from edgetide.operators.stats import CountedEdges, Edges, nodes, store_counted, with_copies
+from edgetide.operators.stats import CountedEdges, Edges, store_counted, with_copies
 from edgetide.storage import drop_scratch, store
 
 # Bounds on the distinct edges per partition; in between, the session's setting decides.
@@ -17,6 +17,9 @@ FEW_ROWS = 50_000
 MANY_ROWS = 20_000_000
 # With fewer links of a target in a partition, combining them there takes more than it saves.
 FEW_TOGETHER = 2
+# From the second round on only links whose source is a target too carry anything; where they are at most
+# this part of all, they are kept apart.
+LATER_PART = 0.5
 
 
 @contextmanager
@@ -51,11 +54,12 @@ class Links:
                 sorted by src* and cached; ``weight`` is the edge's part of its source's rank.
     ``spread``  the same of hot sources, partitioned by both ends and cached, or None.
     ``sources`` one row per source (src*, out_degree, fanout), of a large graph a stored table.
-    ``nodes``   all node ids (nodeId), a stored table.
+    ``nodes``   all node ids and whether links lead there (nodeId, target), a stored table.
     ``keys``    what src* and dst* are: short keys in place of ids.
     ``hot``     the sources in ``spread`` (src*, fanout), or None.
     ``tables``  names under which this session knows a saved layout's files.
     ``combine`` whether a round's sums are combined before its shuffle.
+    ``later``   the rows of ``edges`` whose source is a target too, cached, or None where they are most.
     """
 
     edges: DataFrame
@@ -68,6 +72,11 @@ class Links:
     scratch: tuple[str, ...]
     tables: tuple[str, ...] = ()
     combine: bool = True
+    later: DataFrame | None = None
+
+    def after_first_round(self) -> "Links":
+        """The same for ranks that only targets have, as they all do once a round is done."""
+        return self if self.later is None else replace(self, edges=self.later)
 
     @property
     def src(self) -> list[str]:
@@ -91,12 +100,16 @@ class Links:
             *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in total.columns)
         )
 
+    def forget(self) -> None:
+        """Drop the cached edges once the rounds are done; the tables stay."""
+        for cached in (self.edges, self.spread, self.later):
+            if cached is not None:
+                cached.unpersist()
+
     def release(self) -> None:
         """Drop the cached edges and the stored tables; a saved layout's files stay."""
         spark = self.edges.sparkSession
-        self.edges.unpersist()
-        if self.spread is not None:
-            self.spread.unpersist()
+        self.forget()
         for path in self.scratch:
             drop_scratch(spark, path)
         for name in self.tables:
@@ -123,7 +136,7 @@ def prepare_links(edges: Edges, rows_per_slice: int | None = None) -> Links:
     if not isinstance(edges, CountedEdges):
         edges, edges_path = store_counted(edges)
         scratch.append(edges_path)
-    ids, ids_path = store(nodes(edges), "nodes")
+    ids, ids_path = store(_nodes(edges), "nodes")
     scratch.append(ids_path)
     keys = shortest_keys(ids)
     src, dst = keys.names("src"), keys.names("dst")
@@ -163,20 +176,47 @@ def prepare_links(edges: Edges, rows_per_slice: int | None = None) -> Links:
             .sortWithinPartitions(*src)
             .persist()
         )
+    targets = ids.where("target").count()
     return Links(
         placed, spread, sources, ids, keys, hot, partitions, tuple(scratch),
-        combine=_combines(counted, dst, links, ids.count(), partitions, threshold),
+        combine=_combines(counted, dst, links, targets, partitions, threshold),
+        later=later_edges(placed, sources, ids, keys, partitions) if links > threshold else None,
     )
 
 
+def _nodes(edges: CountedEdges) -> DataFrame:
+    """Every id seen at either end, once, and whether it is a target: (nodeId, target)."""
+
+    def end(node: str, target: bool):
+        return F.struct(F.col(node).alias("nodeId"), F.lit(target).alias("target"))
+
+    ends = edges.rows.select(F.inline(F.array(end("src", False), end("dst", True))))
+    return ends.groupBy("nodeId").agg(F.max("target").alias("target"))
+
+
+def later_edges(
+    placed: DataFrame, sources: DataFrame, nodes: DataFrame, keys: Keys, partitions: int
+) -> DataFrame | None:
+    """The placed edges whose source is a target, placed alike and cached; None where they are most."""
+    src = keys.names("src")
+    # not known of nodes kept before this was: they count as targets
+    targets = nodes.where("target is not false").select(*keys.of("nodeId", "src"))
+    live = sources.join(targets, src, "left_semi").select(*src, "fanout")
+    few, all_links = (table.agg(F.sum("fanout")).first()[0] or 0 for table in (live, sources))
+    if few > LATER_PART * all_links:
+        return None
+    with fixed_layout(placed.sparkSession, partitions):
+        return placed.join(live.select(*src), src, "left_semi").sortWithinPartitions(*src).persist()
+
+
 def _combines(
-    counted: DataFrame, dst: list[str], links: int, ids: int, partitions: int, threshold: int
+    counted: DataFrame, dst: list[str], links: int, targets: int, partitions: int, threshold: int
 ) -> bool:
     """Whether sums should be combined before the shuffle.
 
     They always are in a small graph and where a target is hot, as its contributions would all go
     to one task.
     """
-    if links <= threshold or links >= FEW_TOGETHER * ids * partitions:
+    if links <= threshold or links >= FEW_TOGETHER * targets * partitions:
         return True
     return find_hot(counted.select(*dst), dst, "fanin", threshold) is not None

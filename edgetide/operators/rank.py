@@ -34,7 +34,8 @@ def _received(links: Links, ranks: DataFrame, result: Column) -> DataFrame:
     """
     node = links.keys.names("node")
     meet = [F.col(a) == F.col(b) for a, b in zip(links.src, node, strict=True)]
-    passed = [*_named(links, "dst", "node"), "pagerank", "weight"]
+    share = (F.col("pagerank") * F.col("weight")).alias("share")
+    passed = [*_named(links, "dst", "node"), share]
     sent = links.edges.join(ranks, meet).select(*passed)
     if links.hot is not None:
         hot = F.broadcast(links.hot.select(*_named(links, "src", "node")))
@@ -46,7 +47,7 @@ def _received(links: Links, ranks: DataFrame, result: Column) -> DataFrame:
 
 
 def _sum() -> Column:
-    return F.sum(F.col("pagerank") * F.col("weight"))
+    return F.sum("share")
 
 
 def contributions(links: Links, ranks: DataFrame) -> DataFrame:
@@ -94,10 +95,11 @@ def rank(
     if checkpoint_every < 1:
         raise ValueError("checkpoint_every must be at least 1")
     with fixed_layout(links.edges.sparkSession, links.partitions):
+        later = links.after_first_round()
         done = rounds.last(iterations) if rounds else None
         ranks = initial_ranks(links) if done is None else rounds.read(done)
         for number in range((done or 0) + 1, iterations + 1):
-            ranks = next_ranks(links, ranks, damping)
+            ranks = next_ranks(links if number == 1 else later, ranks, damping)
             cut = number % checkpoint_every == 0
             if rounds and (cut or number == iterations):
                 ranks = rounds.keep(ranks, number)

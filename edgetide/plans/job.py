@@ -97,6 +97,7 @@ def run_job(
         try:
             rounds = Rounds(spark, f"{folder}/rounds", damping) if folder else None
             ranks = rank(links, iterations, damping, rounds=rounds)
+            links.forget()
             return save_version(
                 ranks, counted, links.sizes(), out_dir, dataset_name, iterations, damping,
                 completed_at, version, entries_per_list,

@@ -1,6 +1,6 @@
 """A graph's layout kept between jobs: bucketed tables that later rounds join without a shuffle.
 
-    <folder>/nodes         all ids
+    <folder>/nodes         all ids, and whether links lead there
     <folder>/sources       out-degrees
     <folder>/links         weighted links, bucketed and sorted by source
     <folder>/spread        the same of hot sources, bucketed by both ends, if there are any
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgetide.operators.keys import Keys
-from edgetide.operators.links import Links, fixed_layout
+from edgetide.operators.links import Links, fixed_layout, later_edges
 from edgetide.operators.stats import CountedEdges
 from edgetide.storage import delete, finished
 
@@ -90,6 +90,8 @@ def open_links(spark: SparkSession, folder: str) -> Links | None:
     kind = "bigint" if keys.hashes else "string"
     schema = ", ".join([*(f"{name} {kind}" for name in (*src, *dst)), "weight double"])
     names, spread, hot = [], None, None
+    sources = spark.read.parquet(f"{folder}/sources")
+    nodes = spark.read.schema("nodeId string, target boolean").parquet(f"{folder}/nodes")
     with fixed_layout(spark, partitions):
         edges, name = _opened(spark, f"{folder}/links", schema, src, partitions)
         names.append(name)
@@ -102,8 +104,8 @@ def open_links(spark: SparkSession, folder: str) -> Links | None:
     return Links(
         edges,
         spread,
-        spark.read.parquet(f"{folder}/sources"),
-        spark.read.schema("nodeId string").parquet(f"{folder}/nodes"),
+        sources,
+        nodes,
         keys,
         hot,
         partitions,
@@ -111,4 +113,5 @@ def open_links(spark: SparkSession, folder: str) -> Links | None:
         tuple(names),
         # a layout described before this was known: combining is always right
         known["combine"] is not False,
+        later_edges(edges, sources, nodes, keys, partitions),
     )

@@ -108,6 +108,14 @@ def test_hot_sources_are_spread(make_edges, rows_per_slice):
     links.release()
 
 
+def test_later_rounds_leave_out_sources_that_receive_nothing(make_edges):
+    edges = [(f"s{i}", f"t{i % 3}") for i in range(40)] + [("t0", "t1"), ("t1", "t0"), ("t1", "t2")]
+    links = prepare_links(make_edges(edges), rows_per_slice=20)
+    assert links.edges.count() == 43 and links.later.count() == 3
+    close(scores(rank(links, 6)), brute.ranks(edges, 6, 0.85))
+    links.release()
+
+
 @pytest.mark.parametrize("every", [0, -1])
 def test_the_plan_must_be_cut_at_some_time(tiny, every):
     links = prepare_links(tiny)
