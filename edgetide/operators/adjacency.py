@@ -8,8 +8,8 @@ the sorted list, so that no task and no row ever carries a hub whole.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgetide.operators.skew import fits_broadcast, hot_keys, join_unique
-from edgetide.operators.stats import Edges, store_counted
+from edgetide.operators.skew import fits_broadcast, hot_keys, in_heavy_buckets, join_unique
+from edgetide.operators.stats import CountedEdges, Edges, store_counted
 from edgetide.storage import checkpoint
 
 ENTRIES_PER_LIST = 100_000
@@ -55,19 +55,23 @@ def _cut(rows: DataFrame, key: str, other: str, limit: int) -> DataFrame:
 
 
 def neighbor_lists(
-    edges: Edges, key: str, other: str, limit: int = ENTRIES_PER_LIST
+    edges: Edges, key: str, other: str, limit: int = ENTRIES_PER_LIST, stored: bool = False
 ) -> DataFrame:
     """(key, part, count, entries): sorted neighbours per key; ``count`` covers all parts.
 
-    ``edges`` is read once; sizes and lists come from its stored, counted rows.
+    ``edges`` is read once; sizes and lists come from its stored, counted rows. Counted edges that
+    are ``stored`` already are read where they are.
     """
-    counted = store_counted(edges)[0].rows
-    sizes = counted.groupBy(key).agg(F.sum("copies").alias("size"))
-    long = checkpoint(sizes.where(F.col("size") > limit))
+    known = stored and isinstance(edges, CountedEdges)
+    counted = edges.rows if known else store_counted(edges)[0].rows
+    sizes = in_heavy_buckets(counted, [key], F.sum("copies"), limit)
+    if sizes is not None:
+        sizes = sizes.groupBy(key).agg(F.sum("copies").alias("size"))
+        long = checkpoint(sizes.where(F.col("size") > limit))
     none = F.lit(None).cast("bigint").alias("size")
     first = F.lit(0).cast("bigint").alias("part")
     columns = [key, other, none, first, F.col("copies").cast("int").alias("copies")]
-    if long.isEmpty():
+    if sizes is None or long.isEmpty():
         entries = counted.select(*columns)
     else:
         if fits_broadcast(long, key):
@@ -94,9 +98,11 @@ def neighbor_lists(
     )
 
 
-def adjacency(edges: Edges, limit: int = ENTRIES_PER_LIST) -> DataFrame:
+def adjacency(
+    edges: Edges, limit: int = ENTRIES_PER_LIST, stored: bool = False
+) -> DataFrame:
     """(nodeId, part, neighbors) for every source."""
-    return neighbor_lists(edges, "src", "dst", limit).select(
+    return neighbor_lists(edges, "src", "dst", limit, stored).select(
         F.col("src").alias("nodeId"), "part", F.col("entries").alias("neighbors")
     )
 

@@ -5,7 +5,7 @@ at most 1/MAX_HOT of all rows, which a plain shuffle handles; the hot ones are f
 broadcast. Nothing is dropped on either side.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgetide.storage import checkpoint
@@ -35,21 +35,32 @@ def hot_keys(
     return None if hot.isEmpty() else hot
 
 
-def find_hot(
-    rows: DataFrame, key: list[str], size: str, threshold: int
+def in_heavy_buckets(
+    rows: DataFrame, key: list[str], size: Column, threshold: int
 ) -> DataFrame | None:
-    """``hot_keys`` of plain rows, which are counted by key only where a bucket of keys is that heavy.
+    """The rows of every key whose ``size`` may exceed ``threshold``, and of few others; None if there are none.
 
-    A key cannot have more rows than its bucket, so nothing is missed; without a heavy bucket no rows
+    A key cannot be larger than its hash bucket, so nothing is missed; without a heavy bucket no rows
     are shuffled.
     """
     bucket = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).alias("_bucket")
-    counts = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = checkpoint(counts.where(F.col("_rows") > threshold).select("_bucket"))
+    counts = rows.groupBy(bucket).agg(size.alias("_size"))
+    heavy = checkpoint(counts.where(F.col("_size") > threshold).select("_bucket"))
     if heavy.isEmpty():
         return None
-    few = rows.select(*key, bucket).join(F.broadcast(heavy), "_bucket", "left_semi")
-    return hot_keys(few.groupBy(*key).agg(F.count(F.lit(1)).alias(size)), key, size, threshold)
+    found = rows.select("*", bucket).join(F.broadcast(heavy), "_bucket", "left_semi")
+    return found.drop("_bucket")
+
+
+def find_hot(
+    rows: DataFrame, key: list[str], size: str, threshold: int
+) -> DataFrame | None:
+    """``hot_keys`` of plain rows, which are counted by key only where a bucket of keys is that heavy."""
+    count = F.count(F.lit(1))
+    few = in_heavy_buckets(rows.select(*key), key, count, threshold)
+    if few is None:
+        return None
+    return hot_keys(few.groupBy(*key).agg(count.alias(size)), key, size, threshold)
 
 
 def fits_broadcast(table: DataFrame, key: str) -> bool:

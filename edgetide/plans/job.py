@@ -11,7 +11,9 @@ from edgetide.operators.rank import check_parameters, rank
 from edgetide.operators.stats import CountedEdges, Edges, store_counted
 from edgetide.schema import DAMPING, ITERATIONS
 from edgetide.sources.layout import fingerprint, open_links, save_links
-from edgetide.sources.results import job_metadata, read_results, write_metadata, write_rankings
+from edgetide.sources.results import (
+    holder_of, job_metadata, name_edges, read_results, write_edges, write_metadata, write_rankings,
+)
 from edgetide.sources.rounds import Rounds
 from edgetide.storage import delete, drop_scratch
 
@@ -42,11 +44,18 @@ def save_version(
     completed_at: str | None = None,
     version: str | None = None,
     entries_per_list: int = ENTRIES_PER_LIST,
+    holder: str | None = None,
 ) -> str:
-    """Write a new version of the results, metadata last; returns its name."""
+    """Write a new version of the results, metadata last; returns its name.
+
+    ``holder`` is an earlier version that holds the same edges' lists and index, which are not written again.
+    """
     version = version or new_version()
     folder = f"{out_dir}/version={version}"
-    write_rankings(ranks, counted, folder, entries_per_list)
+    write_rankings(ranks, folder)
+    if holder is None:
+        write_edges(counted, folder, entries_per_list)
+    name_edges(ranks.sparkSession, folder, holder or version, entries_per_list)
     completed_at = completed_at or datetime.now(timezone.utc).isoformat()
     write_metadata(
         job_metadata(sizes, ranks, dataset_name, iterations, damping, completed_at), folder
@@ -75,6 +84,7 @@ def run_job(
     version: str | None = None,
     entries_per_list: int = ENTRIES_PER_LIST,
     keep: bool = False,
+    holder: str | None = None,
 ) -> str:
     """Rank ``edges`` and save everything under ``out_dir``; returns the new version's name.
 
@@ -84,7 +94,8 @@ def run_job(
 
     With ``keep`` the graph's layout and some rounds' ranks are kept under ``out_dir`` by the graph's
     fingerprint. A later job with ``keep`` on the same edges joins in the kept layout, and one with
-    the same damping does only the rounds that are missing, also after a failure.
+    the same damping does only the rounds that are missing, also after a failure. ``holder`` names an
+    earlier version whose neighbour lists and index are of these edges.
     """
     check_parameters(iterations, damping)
     spark, path = edges.sparkSession, None
@@ -100,7 +111,7 @@ def run_job(
             links.forget()
             return save_version(
                 ranks, counted, links.sizes(), out_dir, dataset_name, iterations, damping,
-                completed_at, version, entries_per_list,
+                completed_at, version, entries_per_list, holder,
             )
         finally:
             links.release()
@@ -120,11 +131,15 @@ def rerun_job(
 ) -> str:
     """Other parameters for the graph of a saved version (the newest); needs no edge files.
 
-    Edges come from the version's own index, layout and rounds from what is kept of the graph.
+    Edges come from the version's index, layout and rounds from what is kept of the graph. Lists and
+    index are those of the saved version, which stays as long as one that refers to it, unless
+    ``entries_per_list`` differs.
     """
     saved = read_results(spark, out_dir, version)
+    holder, entries = holder_of(spark, out_dir, saved.version)
     name = saved.metadata.first()["dataset_name"]
     return run_job(
         saved.outgoing, out_dir, name, iterations, damping, completed_at,
         entries_per_list=entries_per_list, keep=True,
+        holder=holder if entries == entries_per_list else None,
     )

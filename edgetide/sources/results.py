@@ -8,6 +8,8 @@
     <out>/version=<v>/by_id     the same ordered by id, with Bloom filters, for look-ups by id
     <out>/version=<v>/graph     neighbour lists, JSON lines
     <out>/version=<v>/index     counted edges sorted by either end, Parquet, for look-ups
+    <out>/version=<v>/edges     one JSON line: the version that holds graph and index, this one or an
+                                earlier one of the same edges, and the most entries of a list's row
     <out>/version=<v>/metadata  one JSON line; a version without it does not exist for readers
 """
 
@@ -24,7 +26,9 @@ from edgetide.operators.stats import CountedEdges, Edges
 from edgetide.operators.topk import in_ranges, lines, numbered, top_list
 from edgetide.schema import ADJACENCY, METADATA, RANKS, STORED, TOP, TOP_LIST
 from edgetide.sources.index import INDEX_BUCKETS, read_index, write_index
-from edgetide.storage import delete, named
+from edgetide.storage import delete, finished, named
+
+_HOLDER = "version string, entries_per_list bigint"
 
 
 class ResultsNotReady(Exception):
@@ -85,13 +89,34 @@ def job_metadata(
     )
 
 
-def write_rankings(
-    ranks: DataFrame, edges: Edges, folder: str, limit: int = ENTRIES_PER_LIST
-) -> None:
-    """Everything but the metadata; ``limit`` is the most entries a neighbour list's row holds.
+def write_edges(edges: Edges, folder: str, limit: int = ENTRIES_PER_LIST) -> None:
+    """Neighbour lists and index; ``limit`` is the most entries a neighbour list's row holds."""
+    adjacency(edges, limit, stored=True).write.json(f"{folder}/graph")
+    write_index(edges, f"{folder}/index", INDEX_BUCKETS)
+
+
+def name_edges(spark: SparkSession, folder: str, holder: str, limit: int) -> None:
+    """Note in a version's ``folder`` that graph and index lie with the version ``holder``."""
+    row = spark.range(1).select(
+        F.lit(holder).alias("version"), F.lit(limit).cast("bigint").alias("entries_per_list")
+    )
+    row.write.json(f"{folder}/edges")
+
+
+def holder_of(spark: SparkSession, out_dir: str, version: str) -> tuple[str, int | None]:
+    """The version that holds a version's graph and index, and the most entries of a list's row there.
 
-    The ranks are ordered once: places, scores and text come from the same ranges.
+    A version written before this was noted holds its own, with a limit that is not known.
     """
+    path = f"{out_dir}/version={version}/edges"
+    if not finished(spark, path):
+        return version, None
+    found = spark.read.schema(_HOLDER).json(path).first()
+    return found["version"], found["entries_per_list"]
+
+
+def write_rankings(ranks: DataFrame, folder: str) -> None:
+    """All that depends on the ranks, which are ordered once: places, scores and text come from the same ranges."""
     spark = ranks.sparkSession
     ranged = in_ranges(ranks).persist()
     ranking = numbered(ranged)
@@ -105,8 +130,6 @@ def write_rankings(
     places.where(F.col("rank") <= TOP).orderBy("rank").write.json(f"{folder}/top")
     places.orderBy("rank").drop("rank").write.json(f"{folder}/stored")
     write_by_id(scores, f"{folder}/by_id")
-    adjacency(edges, limit).write.json(f"{folder}/graph")
-    write_index(edges, f"{folder}/index", INDEX_BUCKETS)
 
 
 def write_by_id(scores: DataFrame, path: str) -> None:
@@ -139,10 +162,17 @@ def _newest(spark: SparkSession, out_dir: str) -> str:
 
 
 def drop_versions(spark: SparkSession, out_dir: str, keep: int) -> None:
-    """Delete all but the newest ``keep`` finished versions; unfinished ones are left alone."""
-    finished = named(spark, out_dir, "version", "metadata/_SUCCESS")
-    for version in finished[:-keep] if keep > 0 else []:
-        delete(spark, f"{out_dir}/version={version}")
+    """Delete all but the newest ``keep`` finished versions and those that hold the edges of these.
+
+    Unfinished ones are left alone.
+    """
+    if keep <= 0:
+        return
+    versions = named(spark, out_dir, "version", "metadata/_SUCCESS")
+    held = {holder_of(spark, out_dir, version)[0] for version in versions[-keep:]}
+    for version in versions[:-keep]:
+        if version not in held:
+            delete(spark, f"{out_dir}/version={version}")
 
 
 def read_ranking(spark: SparkSession, path: str) -> DataFrame:
@@ -159,15 +189,16 @@ def read_results(spark: SparkSession, out_dir: str, version: str | None = None)
     """The newest finished version, or the named one."""
     version = version or _newest(spark, out_dir)
     folder = f"{out_dir}/version={version}"
+    held = f"{out_dir}/version={holder_of(spark, out_dir, version)[0]}"
     return Results(
         version,
         spark.read.schema(TOP_LIST).json(f"{folder}/top"),
         spark.read.schema(TOP_LIST).parquet(f"{folder}/places"),
         spark.read.schema(RANKS).parquet(f"{folder}/scores"),
-        spark.read.schema(ADJACENCY).json(f"{folder}/graph"),
+        spark.read.schema(ADJACENCY).json(f"{held}/graph"),
         spark.read.schema(METADATA).json(f"{folder}/metadata"),
-        read_index(spark, f"{folder}/index", "outgoing", INDEX_BUCKETS),
-        read_index(spark, f"{folder}/index", "incoming", INDEX_BUCKETS),
+        read_index(spark, f"{held}/index", "outgoing", INDEX_BUCKETS),
+        read_index(spark, f"{held}/index", "incoming", INDEX_BUCKETS),
         spark.read.schema(TOP_LIST).parquet(f"{folder}/scores"),
         spark.read.schema(TOP_LIST).parquet(f"{folder}/by_id"),
     )

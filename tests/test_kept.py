@@ -10,7 +10,7 @@ from edgetide.operators.rank import initial_ranks, next_ranks, rank
 from edgetide.operators.stats import store_counted
 from edgetide.plans.job import forget_kept, rerun_job, run_job
 from edgetide.sources.layout import fingerprint, open_links, save_links
-from edgetide.sources.results import read_results
+from edgetide.sources.results import drop_versions, read_results
 from edgetide.sources.rounds import Rounds
 from edgetide.storage import checkpoint
 
@@ -71,6 +71,24 @@ def test_more_rounds_go_on_from_kept_ones(spark, make_edges, tmp_path, rounds_do
     assert read_results(spark, out).metadata.first().dataset_name == "more"
 
 
+def test_a_rerun_shares_lists_and_index(spark, make_edges, tmp_path):
+    pairs = brute.random_edges(60, 400, seed=23)
+    out = str(tmp_path)
+    first = run_job(make_edges(pairs), out, "random", iterations=3, keep=True)
+    again = rerun_job(spark, out, iterations=4)
+    assert not (tmp_path / f"version={again}" / "index").exists()
+    before, after = (read_results(spark, out, version) for version in (first, again))
+    for old, new in ((before.graph, after.graph), (before.incoming.rows, after.incoming.rows)):
+        assert sorted(old.collect()) == sorted(new.collect())
+    # what a kept version refers to stays, another limit is written anew
+    drop_versions(spark, out, 1)
+    last = rerun_job(spark, out, iterations=4, entries_per_list=5)
+    assert max(len(row.neighbors) for row in read_results(spark, out).graph.collect()) == 5
+    assert (tmp_path / f"version={first}").exists() and not read_results(spark, out, again).graph.isEmpty()
+    drop_versions(spark, out, 1)
+    assert [path.name for path in tmp_path.glob("version=*")] == [f"version={last}"]
+
+
 def test_a_job_killed_in_a_round_goes_on_from_the_last_cut(
     spark, make_edges, tmp_path, rounds_done
 ):
