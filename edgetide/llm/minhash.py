@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgetide.llm.brown import tokens
-from edgetide.llm.common import bind
+from edgetide.llm.common import bind, small_batches
 from edgetide.llm.components import components
 from edgetide.storage import drop_scratch, store
 
@@ -348,4 +348,5 @@ def near_duplicates(
         F.col(id_column).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
-    return Search(rows, words, percent, kept).result()
+    with small_batches(docs.sparkSession):  # what is left to run afterwards needs no Python
+        return Search(rows, words, percent, kept).result()

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edgetide.llm.common import small_batches
 from edgetide.llm.tokens import encoded
 from edgetide.storage import store
 
@@ -160,7 +161,8 @@ def pack_documents(
     def pack(batches):
         return _pack_partition(batches, tokenizer, length, most)
 
-    level, _ = store(rows.mapInArrow(pack, _PIECES), "pieces")
+    with small_batches(docs.sparkSession):
+        level, _ = store(rows.mapInArrow(pack, _PIECES), "pieces")
     parts = (level.agg(F.max("part")).first()[0] or 0) + 1
     done, depth = [], 0
     while True:

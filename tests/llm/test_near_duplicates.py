@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from edgetide.llm import embeddings, minhash
+from edgetide.llm.common import BATCH_BYTES
 from edgetide.llm.components import components
 from edgetide.llm.embeddings import near_duplicate_vectors
 from edgetide.llm.minhash import near_duplicates
@@ -280,3 +281,29 @@ def test_thinned_pivots_lie_apart_and_cover_the_sample():
     pivots = embeddings._thinned(sample, 0.9)
     near = pivots @ pivots.T - 2 * np.eye(len(pivots))
     assert near.max() < 0.9 and (sample @ pivots.T).max(1).min() >= 0.9
+
+
+def test_texts_reach_python_in_small_batches(spark, make_docs, tmp_path, monkeypatch):
+    rng = random.Random(7)
+    base = [f"{rng.getrandbits(40):010x}" for _ in range(12_000)]
+    texts = [" ".join([*base, f"own{i}", f"more{i}"]) for i in range(120)]
+    confirm, folder = minhash._confirm, str(tmp_path)
+
+    def noted(batches, words, percent):
+        def seen():
+            for number, batch in enumerate(batches):
+                with open(f"{folder}/{id(batches)}-{number}", "w") as file:
+                    file.write(str(batch.nbytes))
+                yield batch
+
+        return confirm(seen(), words, percent)
+
+    monkeypatch.setattr(minhash, "_confirm", noted)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    found = near_duplicates(make_docs(texts))
+    assert spark.conf.get(name) == before
+    assert {row.component_id for row in found.collect()} == {0}
+    sizes = [int(path.read_text()) for path in tmp_path.iterdir()]
+    assert sum(sizes) > 4 * BATCH_BYTES  # pairs of 260 KB
+    assert max(sizes) < BATCH_BYTES + (1 << 20)
