@@ -12,8 +12,11 @@ from edgetide.operators.skew import ROWS_PER_SLICE, find_hot, hot_keys
 from edgetide.operators.stats import CountedEdges, Edges, store_counted, with_copies
 from edgetide.storage import drop_scratch, store
 
-# Bounds on the distinct edges per partition; in between, the session's setting decides.
+# Bounds on the distinct edges per partition; in between, the session's setting decides. Each round costs
+# a block for every pair of partitions, so beyond some partitions the lower bound is a higher one.
 FEW_ROWS = 50_000
+FEW_PARTITIONS = 24
+USUAL_ROWS = 300_000
 MANY_ROWS = 20_000_000
 # With fewer links of a target in a partition, combining them there takes more than it saves.
 FEW_TOGETHER = 2
@@ -60,6 +63,7 @@ class Links:
     ``tables``  names under which this session knows a saved layout's files.
     ``combine`` whether a round's sums are combined before its shuffle.
     ``later``   the rows of ``edges`` whose source is a target too, cached, or None where they are most.
+    ``later_partitions`` in how many partitions these lie.
     """
 
     edges: DataFrame
@@ -73,10 +77,13 @@ class Links:
     tables: tuple[str, ...] = ()
     combine: bool = True
     later: DataFrame | None = None
+    later_partitions: int = 0
 
     def after_first_round(self) -> "Links":
         """The same for ranks that only targets have, as they all do once a round is done."""
-        return self if self.later is None else replace(self, edges=self.later)
+        if self.later is None:
+            return self
+        return replace(self, edges=self.later, partitions=self.later_partitions)
 
     @property
     def src(self) -> list[str]:
@@ -118,7 +125,8 @@ class Links:
 
 def partitions_for(spark: SparkSession, rows: int) -> int:
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(usual, -(-rows // FEW_ROWS)), -(-rows // MANY_ROWS))
+    wanted = max(min(FEW_PARTITIONS, -(-rows // FEW_ROWS)), -(-rows // USUAL_ROWS))
+    return max(1, min(usual, wanted), -(-rows // MANY_ROWS))
 
 
 def prepare_links(edges: Edges, rows_per_slice: int | None = None) -> Links:
@@ -177,10 +185,13 @@ def prepare_links(edges: Edges, rows_per_slice: int | None = None) -> Links:
             .persist()
         )
     targets = ids.where("target").count()
+    later, later_partitions = None, 0
+    if links > threshold:
+        later, later_partitions = later_edges(placed, sources, ids, keys, partitions)
     return Links(
         placed, spread, sources, ids, keys, hot, partitions, tuple(scratch),
         combine=_combines(counted, dst, links, targets, partitions, threshold),
-        later=later_edges(placed, sources, ids, keys, partitions) if links > threshold else None,
+        later=later, later_partitions=later_partitions,
     )
 
 
@@ -196,17 +207,26 @@ def _nodes(edges: CountedEdges) -> DataFrame:
 
 def later_edges(
     placed: DataFrame, sources: DataFrame, nodes: DataFrame, keys: Keys, partitions: int
-) -> DataFrame | None:
-    """The placed edges whose source is a target, placed alike and cached; None where they are most."""
+) -> tuple[DataFrame | None, int]:
+    """The placed edges whose source is a target, cached, and in how many partitions; None where they are most.
+
+    They lie in no more partitions than they and the nodes are worth: a round among few links would
+    otherwise cost what its partitions do.
+    """
     src = keys.names("src")
     # not known of nodes kept before this was: they count as targets
     targets = nodes.where("target is not false").select(*keys.of("nodeId", "src"))
     live = sources.join(targets, src, "left_semi").select(*src, "fanout")
     few, all_links = (table.agg(F.sum("fanout")).first()[0] or 0 for table in (live, sources))
     if few > LATER_PART * all_links:
-        return None
-    with fixed_layout(placed.sparkSession, partitions):
-        return placed.join(live.select(*src), src, "left_semi").sortWithinPartitions(*src).persist()
+        return None, 0
+    spark = placed.sparkSession
+    own = min(partitions, partitions_for(spark, max(few, nodes.count())))
+    with fixed_layout(spark, partitions):
+        rows = placed.join(live.select(*src), src, "left_semi")
+        if own < partitions:
+            rows = rows.repartition(own, *src)
+        return rows.sortWithinPartitions(*src).persist(), own
 
 
 def _combines(

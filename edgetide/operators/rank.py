@@ -94,17 +94,23 @@ def rank(
     check_parameters(iterations, damping)
     if checkpoint_every < 1:
         raise ValueError("checkpoint_every must be at least 1")
-    with fixed_layout(links.edges.sparkSession, links.partitions):
-        later = links.after_first_round()
-        done = rounds.last(iterations) if rounds else None
-        ranks = initial_ranks(links) if done is None else rounds.read(done)
-        for number in range((done or 0) + 1, iterations + 1):
-            ranks = next_ranks(links if number == 1 else later, ranks, damping)
+    spark, later = links.edges.sparkSession, links.after_first_round()
+    done = rounds.last(iterations) if rounds else None
+    ranks = initial_ranks(links) if done is None else rounds.read(done)
+    for number in range((done or 0) + 1, iterations + 1):
+        here = links if number == 1 else later
+        # the later links' layout is another one: the ranks go there once
+        moves = here.partitions != later.partitions and iterations > 1
+        with fixed_layout(spark, here.partitions):
+            ranks = next_ranks(here, ranks, damping)
             cut = number % checkpoint_every == 0
             if rounds and (cut or number == iterations):
                 ranks = rounds.keep(ranks, number)
-            elif (cut or links.hot is not None) and number < iterations:
+            elif (cut or links.hot is not None or moves) and number < iterations:
                 ranks = checkpoint(ranks)
+        if moves:
+            ranks = ranks.repartition(later.partitions, *links.keys.names("node"))
+    with fixed_layout(spark, (later if iterations > 1 else links).partitions):
         return checkpoint(with_ids(links, ranks))
 
 

@@ -101,6 +101,7 @@ def open_links(spark: SparkSession, folder: str) -> Links | None:
             spread, name = _opened(spark, f"{folder}/spread", schema, by, partitions)
             names.append(name)
             spread, hot = spread.persist(), spark.read.parquet(f"{folder}/hot")
+    later, later_partitions = later_edges(edges, sources, nodes, keys, partitions)
     return Links(
         edges,
         spread,
@@ -113,5 +114,6 @@ def open_links(spark: SparkSession, folder: str) -> Links | None:
         tuple(names),
         # a layout described before this was known: combining is always right
         known["combine"] is not False,
-        later_edges(edges, sources, nodes, keys, partitions),
+        later,
+        later_partitions,
     )

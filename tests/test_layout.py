@@ -77,6 +77,17 @@ def test_partition_count_follows_the_data(spark):
     assert layout.partitions_for(spark, 100_000_000_000) == 5000
 
 
+def test_a_partition_of_a_larger_graph_holds_more(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "200")
+    try:
+        found = [layout.partitions_for(spark, n) for n in (500_000, 3_600_000, 36_000_000, 216_000_000)]
+    finally:
+        spark.conf.set(name, before)
+    assert found == [10, 24, 120, 200]
+
+
 def test_layout_settings_are_put_back(spark):
     names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
     before = [spark.conf.get(name) for name in names]

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -5,6 +7,7 @@ from hypothesis import strategies as st
 import brute
 from brute import TINY
 from edgetide.operators import keys
+from edgetide.operators import links as layout
 from edgetide.operators.links import prepare_links
 from edgetide.operators.rank import rank, rank_edges
 
@@ -116,6 +119,22 @@ def test_later_rounds_leave_out_sources_that_receive_nothing(make_edges):
     links.release()
 
 
+@pytest.mark.parametrize("iterations", [1, 2, 7])
+def test_few_later_links_lie_in_few_partitions(make_edges, monkeypatch, iterations):
+    monkeypatch.setattr(layout, "FEW_ROWS", 100)
+    edges = [(f"s{i}", f"t{i % 9}") for i in range(700)] + [(f"t{i}", f"t{i // 2}") for i in range(9)]
+    links = prepare_links(make_edges(edges), rows_per_slice=500)
+    monkeypatch.setattr(layout, "FEW_ROWS", 1000)
+    later, partitions = layout.later_edges(
+        links.edges, links.sources, links.nodes, links.keys, links.partitions
+    )
+    assert (links.partitions, partitions) == (8, 1)
+    moved = replace(links, later=later, later_partitions=partitions)
+    close(scores(rank(moved, iterations)), brute.ranks(edges, iterations, 0.85))
+    moved.release()
+    links.release()
+
+
 @pytest.mark.parametrize("every", [0, -1])
 def test_the_plan_must_be_cut_at_some_time(tiny, every):
     links = prepare_links(tiny)
