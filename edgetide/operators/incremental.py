@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgetide.functions.sums import order_free_sum
 from edgetide.operators.links import fixed_layout, prepare_links
 from edgetide.operators.rank import check_parameters, initial_ranks, next_ranks, with_ids
 from edgetide.operators.skew import ROWS_PER_SLICE, rows_matching
@@ -148,8 +149,9 @@ class RankHistory:
             targets = checkpoint(sent.select("dst").distinct())
             into = checkpoint(rows_matching(every, targets, "dst", rows_per_slice))
             scores = self.round(number, k - 1).withColumnRenamed("nodeId", "src")
-            part = F.col("pagerank") * F.col("copies") / F.col("out_degree")
-            received = F.lit(1.0 - self.damping) + F.lit(float(self.damping)) * F.sum(part)
+            part = F.col("pagerank") * (F.col("copies") / F.col("out_degree"))
+            total = order_free_sum(part)
+            received = F.lit(1.0 - self.damping) + F.lit(float(self.damping)) * total
             fresh = checkpoint(
                 into.join(scores, "src")
                 .join(degrees, "src")

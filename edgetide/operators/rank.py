@@ -8,6 +8,7 @@ Inside the rounds a rank table is (node*, pagerank) with the short keys of ``Lin
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edgetide.functions.sums import order_free_sum
 from edgetide.operators.links import Links, fixed_layout, prepare_links
 from edgetide.operators.stats import Edges
 from edgetide.schema import CHECKPOINT_EVERY, DAMPING, ITERATIONS
@@ -47,7 +48,7 @@ def _received(links: Links, ranks: DataFrame, result: Column) -> DataFrame:
 
 
 def _sum() -> Column:
-    return F.sum("share")
+    return order_free_sum(F.col("share"))
 
 
 def contributions(links: Links, ranks: DataFrame) -> DataFrame:

@@ -1,11 +1,15 @@
+import math
+import random
 from dataclasses import replace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import brute
 from brute import TINY
+from edgetide.functions.sums import order_free_sum
 from edgetide.operators import keys
 from edgetide.operators import links as layout
 from edgetide.operators.links import prepare_links
@@ -60,6 +64,26 @@ def test_order_and_partitioning_do_not_matter(make_edges):
     )
 
 
+def test_partition_count_changes_no_bit(make_edges, monkeypatch):
+    edges = brute.random_edges(200, 6000, seed=41)
+    found = []
+    for partitions in (1, 3, 8):
+        monkeypatch.setattr(layout, "partitions_for", lambda *_, n=partitions: n)
+        found.append(scores(rank_edges(make_edges(edges).repartition(partitions + 4))))
+    assert found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize("size", [1.0, 1e-13, 1e7])
+def test_a_sum_is_rounded_once_in_any_order(spark, size):
+    rng = random.Random(42)
+    values = [size * rng.random() ** rng.randrange(1, 9) for _ in range(3000)]
+    expected = math.fsum(values)
+    for partitions in (1, 7, 16):
+        rng.shuffle(values)
+        rows = spark.createDataFrame([(x,) for x in values], "x double").repartition(partitions)
+        assert rows.agg(order_free_sum(F.col("x"))).first()[0] == expected
+
+
 def test_doubled_edges_change_nothing(make_edges):
     edges = brute.random_edges(40, 300, seed=4)
     doubled = scores(rank_edges(make_edges(edges + edges)))
